@@ -8,12 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _next_points(contour: Column) -> Column:
     """The contour shifted by one, so that point i meets point i + 1."""
     return F.concat(F.slice(contour, 2, F.greatest(F.size(contour) - 1, F.lit(0))), F.slice(contour, 1, 1))
 
 
 def _edges(contour: Column) -> Column:
+    return _once(contour, _edges_of)
+
+
+def _edges_of(contour: Column) -> Column:
     return F.zip_with(
         contour,
         _next_points(contour),
@@ -80,6 +89,10 @@ def contour_shape(moments: Column, perimeter: Column) -> Column:
 
     Quantities that divide by zero (points, lines, circles) are NULL.
     """
+    return _once(moments, lambda m: _shape_of(m, perimeter))
+
+
+def _shape_of(moments: Column, perimeter: Column) -> Column:
     m00 = F.when(moments["m00"] > 0, moments["m00"])
     mu20 = (moments["m20"] - moments["m10"] * moments["m10"] / m00) / m00
     mu11 = (moments["m11"] - moments["m10"] * moments["m01"] / m00) / m00
@@ -112,6 +125,10 @@ def _between(p: Column, q: Column, first: int) -> Column:
 
 def close_contour(contour: Column) -> Column:
     """All whole points along the contour, with the closing edge at the end."""
+    return _once(contour, _close)
+
+
+def _close(contour: Column) -> Column:
     count = F.size(contour)
     empty = F.array().cast("array<array<int>>")
     inner = F.when(
@@ -129,6 +146,10 @@ def close_contour(contour: Column) -> Column:
 
 def minimize_contour(contour: Column) -> Column:
     """Drop points that lie on a straight or diagonal run of their neighbours."""
+    return _once(contour, _minimize)
+
+
+def _minimize(contour: Column) -> Column:
     count = F.size(contour)
 
     def kept(point, i):
@@ -145,8 +166,10 @@ def minimize_contour(contour: Column) -> Column:
 
 def covers(contour: Column, x: Column, y: Column) -> Column:
     """Whether the filled contour holds the whole point, its border included."""
-    edges = _edges(contour)
+    return _once(_edges(contour), lambda edges: _covered(edges, x, y))
+
 
+def _covered(edges: Column, x: Column, y: Column) -> Column:
     def side(e):
         return (e["u"] - e["x"]) * (y - e["y"]) - (e["v"] - e["y"]) * (x - e["x"])
 

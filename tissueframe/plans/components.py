@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.plans.lineage import cut
+from tissueframe.plans.lineage import store
 from tissueframe.plans.skew import attach
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:
     """Smallest node of the component of every node, as ``(id, component)``.
 
-    ``edges`` has columns ``a`` and ``b``. Each round every node takes the
-    smallest label around it and then follows its label's own label, which
+    ``edges`` has columns ``a`` and ``b``. In each round every node takes the
+    smallest label around it and then follows that label's own label, which
     shortens long chains by half; rounds go on until nothing changes, so no
-    component is cut short. The label lookup is salted because the label of a
-    large component is shared by a large part of the nodes. Meant for graphs of
-    bounded degree, as the cell and run graphs of this package are.
+    component is cut short. Each round is one job whose labels are written to
+    the shared folder. The label lookup is salted because the label of a large
+    component is shared by a large part of the nodes. Meant for graphs of
+    bounded degree, as the cell graphs of this package are.
     """
     links = edges.select("a", "b").where("a <> b")
-    links = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(
-        nodes.select(F.col(node).alias("id")).distinct().withColumn("component", F.col("id"))
+    links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = store(links.distinct(), "links")
+    labels = store(
+        nodes.select(F.col(node).alias("id")).distinct().withColumn("component", F.col("id")), "components"
     )
     while True:
         around = (
@@ -35,11 +37,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id") -
             F.col("component").alias("old"),
             F.least("component", F.coalesce("near", "component")).alias("component"),
         )
-        hooked = cut(hooked)
-        own = hooked.select(F.col("id").alias("component"), F.col("component").alias("jump"))
+        own = labels.select(F.col("id").alias("component"), F.col("component").alias("jump"))
         jumped = attach(hooked, own, ["component"], "left", spread=["id"])
-        fresh = cut(
-            jumped.select("id", "old", F.least("component", "jump").alias("component"))
+        fresh = store(
+            jumped.select("id", "old", F.least("component", "jump").alias("component")), "components"
         )
         moved = fresh.where(F.col("old") != F.col("component")).limit(1).count()
         labels = fresh.select("id", "component")

@@ -6,11 +6,10 @@ window below is bounded by the width of one image row.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tissueframe.plans.components import connected_components
-
 
 def merge_runs(runs: DataFrame) -> DataFrame:
     """Join runs of a row that overlap or touch."""
@@ -83,33 +82,47 @@ def erode(runs: DataFrame, canvas: DataFrame, kernel: int) -> DataFrame:
     return complement(clip(widen(outside, low, high, low, high), canvas), canvas)
 
 
+def _holes(frame: pd.DataFrame) -> pd.DataFrame:
+    """Gaps of one canvas that are not connected to its border."""
+    frame = frame.sort_values(["y", "x0"]).reset_index(drop=True)
+    ys, starts, ends = (frame[c].tolist() for c in ("y", "x0", "x1"))
+    width, height = int(frame["width"].iloc[0]), int(frame["height"].iloc[0])
+    parent = list(range(len(ys)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    above, here = [], []
+    for i, y in enumerate(ys):
+        if here and ys[here[0]] != y:
+            above = here if ys[here[0]] == y - 1 else []
+            here = []
+        here.append(i)
+        for j in above:
+            if starts[j] <= ends[i] and starts[i] <= ends[j]:
+                parent[root(j)] = root(i)
+    open_roots = {
+        root(i)
+        for i, y in enumerate(ys)
+        if y in (0, height - 1) or starts[i] == 0 or ends[i] == width - 1
+    }
+    closed = [root(i) not in open_roots for i in range(len(ys))]
+    return frame.loc[closed, ["sample", "y", "x0", "x1"]]
+
+
 def fill_holes(runs: DataFrame, canvas: DataFrame) -> DataFrame:
     """Add the gaps that no 4-connected way leads out of.
 
-    Gaps of neighbouring rows that share a column are linked; a component that
-    touches the border of the canvas stays empty.
+    Gaps of neighbouring rows that share a column are connected. One task
+    handles one canvas, whose size is fixed by the caller (at most
+    ``chunk`` x ``chunk`` cells however large the slide is).
     """
     gaps = complement(runs, canvas).join(canvas, "sample")
-    stride = F.lit(1 << 20)
-    gaps = gaps.withColumn(
-        "id", F.struct("sample", (F.col("y").cast("long") * stride + F.col("x0")).alias("at"))
-    )
-    above = gaps.select(
-        "sample", (F.col("y") + 1).alias("y"), F.col("x0").alias("u0"), F.col("x1").alias("u1"), F.col("id").alias("b")
-    )
-    touching = gaps.join(above, ["sample", "y"]).where(
-        (F.col("x0") <= F.col("u1")) & (F.col("u0") <= F.col("x1"))
-    )
-    parts = connected_components(gaps, touching.select(F.col("id").alias("a"), "b"))
-    named = gaps.join(parts, "id")
-    border = (
-        (F.col("x0") == 0)
-        | (F.col("y") == 0)
-        | (F.col("x1") == F.col("width") - 1)
-        | (F.col("y") == F.col("height") - 1)
-    )
-    open_parts = named.where(border).select("component").distinct()
-    holes = named.join(open_parts, "component", "left_anti").select("sample", "y", "x0", "x1")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in gaps.select("sample", "y", "x0", "x1").schema)
+    holes = gaps.groupBy("sample").applyInPandas(_holes, shape)
     return merge_runs(runs.select("sample", "y", "x0", "x1").unionByName(holes))
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tissueframe import schemas
 from tissueframe.functions.jsonx import format_params
 from tissueframe.functions.scalar import base_name, sample_of_path
 
-PATH = F.col("_metadata.file_path")
+def _path() -> Column:
+    return F.col("_metadata.file_path")
 
 
 def read_samplesheet(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
@@ -43,7 +44,7 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
     rows = (
         spark.read.schema(schemas.POSITIONS)
         .csv(path)
-        .withColumn("sample", sample_of_path(PATH))
+        .withColumn("sample", sample_of_path(_path()))
         .withColumn("grid_ord", F.monotonically_increasing_id())
     )
     return rows.where(F.col("barcode") != "barcode").select("sample", *schemas.OBS_COLUMNS, "grid_ord")
@@ -55,7 +56,7 @@ def read_grid_info(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(schemas.GRID_INFO)
         .option("multiLine", True)
         .json(path)
-        .withColumn("sample", sample_of_path(PATH))
+        .withColumn("sample", sample_of_path(_path()))
     )
 
 
@@ -67,7 +68,7 @@ def write_grid_info(info: DataFrame, path: str) -> None:
 def read_roi(spark: SparkSession, path: str) -> DataFrame:
     """Regions ``sample, roi``; the JSON object is read as a map of axes."""
     text = spark.read.option("wholetext", True).text(path)
-    return text.select(sample_of_path(PATH).alias("sample"), F.from_json("value", schemas.ROI).alias("roi"))
+    return text.select(sample_of_path(_path()).alias("sample"), F.from_json("value", schemas.ROI).alias("roi"))
 
 
 def with_full_roi(samples: DataFrame, roi: DataFrame) -> DataFrame:
@@ -86,7 +87,7 @@ def read_nuclei(spark: SparkSession, path: str) -> DataFrame:
     """
     found = spark.read.schema(schemas.NUCLEI_JSON).option("multiLine", True).json(path)
     return found.select(
-        sample_of_path(PATH).alias("sample"), base_name(PATH).alias("tile"), F.explode("nuc").alias("ids", "_n")
+        sample_of_path(_path()).alias("sample"), base_name(_path()).alias("tile"), F.explode("nuc").alias("ids", "_n")
     ).select("sample", "tile", "ids", "_n.*")
 
 
@@ -106,7 +107,7 @@ def read_features(spark: SparkSession, path: str, model: str, factor: float) ->
     packed = [c for c in raw.columns if "feat" in c]
     kept = [c for c in raw.columns if "feat" not in c]
     numbers = {c: F.col(c).cast("int") for c in kept if c != "barcode"}
-    return raw.withColumn("sample", sample_of_path(PATH)).withColumns(numbers).select(
+    return raw.withColumn("sample", sample_of_path(_path())).withColumns(numbers).select(
         "sample",
         *kept,
         F.array(*[F.col(c).cast("float") for c in packed]).alias("features"),
