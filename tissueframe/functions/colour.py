@@ -17,8 +17,8 @@ def od_to_rgb(density: Column) -> Column:
 
 
 def concentration_to_rgb(density: Column) -> Column:
-    """As :func:`od_to_rgb` without the lower limit on the density."""
-    return (F.lit(255) * F.exp(-density)).cast("int")
+    """As :func:`od_to_rgb` without the lower limit; keeps the low 8 bits, as a byte does."""
+    return (F.lit(255) * F.exp(-density)).cast("int").bitwiseAND(F.lit(255))
 
 
 def lasso2(od: list[Column], first: list[Column], second: list[Column], lam: float = 0.01) -> Column:

@@ -14,3 +14,8 @@ def revcomp(seq: Column) -> Column:
 def canonical(kmer: Column) -> Column:
     """The smaller of a k-mer and its reverse complement."""
     return F.least(kmer, revcomp(kmer))
+
+
+def capital(base: Column) -> Column:
+    """Nucleotide letters in upper case; other letters stay as they are."""
+    return F.translate(base, "acgtn", "ACGTN")

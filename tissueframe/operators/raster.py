@@ -288,7 +288,8 @@ def tissue_mask(
 
     Tiles become disks (or squares) of ``up`` diameters' radius on a canvas of
     at most ``chunk`` cells a side; the union is dilated, its holes are filled,
-    and it is eroded again. All steps work on horizontal runs.
+    and it is eroded again. Tiles are drawn and merged as horizontal runs before
+    one canvas meets in one task.
     """
     step = F.ceil(F.greatest("x", "y") / chunk).cast("int")
     canvas_info = info.select(
@@ -319,5 +320,4 @@ def tissue_mask(
         x0, x1 = F.col("_cx") - reach, F.col("_cx") + reach
     drawn = rows.select("sample", (F.col("_cy") + F.col("_dy")).alias("y"), x0.alias("x0"), x1.alias("x1"))
     shape = R.merge_runs(R.clip(drawn, canvas))
-    grown = R.dilate(shape, canvas, kernel)
-    return R.runs_to_cells(R.erode(R.fill_holes(grown, canvas), canvas, kernel))
+    return R.runs_to_cells(R.close_canvas(shape, canvas, kernel))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tissueframe.functions.sequence import capital
+
 # CIGAR letters by what they advance.
 ALIGNED = ("M", "=", "X")
 READ_ONLY = ("I", "S")
@@ -55,7 +57,7 @@ def pileup(alignments: DataFrame, min_mapq: int = 50, min_bq: int = 0) -> DataFr
         "species",
         "chrom",
         (F.col("pos") + F.col("_s.r") + F.col("_i")).alias("pos"),
-        F.upper(F.substr(F.col("seq"), at, F.lit(1))).alias("base"),
+        capital(F.substr(F.col("seq"), at, F.lit(1))).alias("base"),
         quality.alias("_q"),
     )
     if min_bq > 0:
@@ -74,7 +76,7 @@ def pileup_with_ref(piles: DataFrame, contigs: DataFrame, size: int) -> DataFram
     )
     keyed = piles.withColumn("_chunk", F.floor((F.col("pos") - 1) / size))
     met = keyed.join(chunks, ["chrom", "_chunk"], "left")
-    base = F.upper(F.substr(F.col("_ref"), (F.col("pos") - F.col("offset")).cast("int"), F.lit(1)))
+    base = capital(F.substr(F.col("_ref"), (F.col("pos") - F.col("offset")).cast("int"), F.lit(1)))
     return met.withColumn("ref", base).drop("_chunk", "offset", "_ref")
 
 

@@ -1,8 +1,4 @@
-"""Binary rasters as horizontal runs ``(sample, y, x0, x1)``, both ends included.
-
-Morphology on runs costs one row per run instead of one per pixel, and every
-window below is bounded by the width of one image row.
-"""
+"""Binary canvases as horizontal runs ``(sample, y, x0, x1)``, both ends included."""
 
 from __future__ import annotations
 
@@ -12,10 +8,9 @@ from pyspark.sql import functions as F
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """Join runs of a row that overlap or touch."""
+    """Join runs of a row that overlap or touch; a row is as long as the canvas is wide."""
     row = Window.partitionBy("sample", "y").orderBy("x0", "x1")
-    before = row.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("x1").over(before)
+    reach = F.max("x1").over(row.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(reach.isNull() | (F.col("x0") > reach + 1), 1).otherwise(0)
     grouped = runs.withColumn("_start", starts).withColumn(
         "_island", F.sum("_start").over(row.rowsBetween(Window.unboundedPreceding, 0))
@@ -25,14 +20,9 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     ).drop("_island")
 
 
-def cells_to_runs(cells: DataFrame) -> DataFrame:
-    """Distinct cells ``(sample, x, y)`` as runs."""
-    return merge_runs(cells.select("sample", "y", F.col("x").alias("x0"), F.col("x").alias("x1")))
-
-
 def clip(runs: DataFrame, canvas: DataFrame) -> DataFrame:
-    """Cut runs to the canvas ``(sample, width, height)``."""
-    inside = runs.join(canvas, "sample").where(
+    """Cut runs to the canvas ``(sample, width, height)``; equal runs collapse."""
+    inside = runs.distinct().join(canvas, "sample").where(
         (F.col("y") >= 0) & (F.col("y") < F.col("height")) & (F.col("x1") >= 0) & (F.col("x0") < F.col("width"))
     )
     return inside.select(
@@ -43,51 +33,47 @@ def clip(runs: DataFrame, canvas: DataFrame) -> DataFrame:
     )
 
 
-def complement(runs: DataFrame, canvas: DataFrame) -> DataFrame:
-    """The gaps of every row of the canvas; a row without runs is one gap."""
-    rows = canvas.select(
-        "sample", "width", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")
-    )
-    ends = rows.select("sample", "y", F.lit(-1).alias("x0"), F.lit(-1).alias("x1")).unionByName(
-        rows.select("sample", "y", F.col("width").alias("x0"), F.col("width").alias("x1"))
-    )
-    row = Window.partitionBy("sample", "y").orderBy("x0")
-    walked = runs.select("sample", "y", "x0", "x1").unionByName(ends).withColumn("_next", F.lead("x0").over(row))
-    gaps = walked.select(
-        "sample", "y", (F.col("x1") + 1).alias("x0"), (F.col("_next") - 1).alias("x1")
-    )
-    return gaps.where(F.col("x0") <= F.col("x1"))
+def _shifted(mask, offsets, axis, outside):
+    """All shifted copies of a raster, filled with ``outside`` where they run off it."""
+    import numpy as np
 
+    pad = [(0, 0), (0, 0)]
+    pad[axis] = (-min(offsets), max(offsets))
+    wide = np.pad(mask, pad, constant_values=outside)
+    size = mask.shape[axis]
+    for o in offsets:
+        start = o - min(offsets)
+        yield wide[start : start + size] if axis == 0 else wide[:, start : start + size]
 
-def widen(runs: DataFrame, left: int, right: int, up: int, down: int) -> DataFrame:
-    """Dilation by a rectangle: ``left``/``right`` in x, ``up``/``down`` in y."""
-    tall = runs.withColumn(
-        "y", F.explode(F.sequence(F.col("y") - up, F.col("y") + down))
-    )
-    return merge_runs(
-        tall.select("sample", "y", (F.col("x0") - left).alias("x0"), (F.col("x1") + right).alias("x1"))
-    )
+
+def _close(mask, kernel: int):
+    """Dilate by a square, fill the holes, erode by the same square."""
+    import numpy as np
+
+    # The anchor of an even square is the cell right of its middle.
+    offsets = range(-(kernel // 2), kernel - kernel // 2)
+    for axis in (0, 1):
+        mask = np.logical_or.reduce(list(_shifted(mask, offsets, axis, False)))
+    mask = mask | _holes(mask)
+    for axis in (0, 1):
+        mask = np.logical_and.reduce(list(_shifted(mask, offsets, axis, True)))
+    return mask
 
 
-def dilate(runs: DataFrame, canvas: DataFrame, kernel: int) -> DataFrame:
-    """Dilation by a ``kernel`` square whose anchor is its cell ``kernel // 2``."""
-    low, high = kernel - 1 - kernel // 2, kernel // 2
-    return clip(widen(runs, low, high, low, high), canvas)
+def _row_runs(row):
+    import numpy as np
 
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], row.astype(np.int8), [0]))))
+    return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
-def erode(runs: DataFrame, canvas: DataFrame, kernel: int) -> DataFrame:
-    """Erosion by the same square; cells outside the canvas do not count."""
-    low, high = kernel - 1 - kernel // 2, kernel // 2
-    outside = complement(runs, canvas)
-    return complement(clip(widen(outside, low, high, low, high), canvas), canvas)
 
+def _holes(mask):
+    """Empty cells that no 4-connected way leads out of."""
+    import numpy as np
 
-def _holes(frame: pd.DataFrame) -> pd.DataFrame:
-    """Gaps of one canvas that are not connected to its border."""
-    frame = frame.sort_values(["y", "x0"]).reset_index(drop=True)
-    ys, starts, ends = (frame[c].tolist() for c in ("y", "x0", "x1"))
-    width, height = int(frame["width"].iloc[0]), int(frame["height"].iloc[0])
-    parent = list(range(len(ys)))
+    height, width = mask.shape
+    gaps = [(y, a, b) for y in range(height) for a, b in _row_runs(~mask[y])]
+    parent = list(range(len(gaps)))
 
     def root(i):
         while parent[i] != i:
@@ -95,35 +81,43 @@ def _holes(frame: pd.DataFrame) -> pd.DataFrame:
             i = parent[i]
         return i
 
-    above, here = [], []
-    for i, y in enumerate(ys):
-        if here and ys[here[0]] != y:
-            above = here if ys[here[0]] == y - 1 else []
-            here = []
-        here.append(i)
-        for j in above:
-            if starts[j] <= ends[i] and starts[i] <= ends[j]:
-                parent[root(j)] = root(i)
-    open_roots = {
-        root(i)
-        for i, y in enumerate(ys)
-        if y in (0, height - 1) or starts[i] == 0 or ends[i] == width - 1
-    }
-    closed = [root(i) not in open_roots for i in range(len(ys))]
-    return frame.loc[closed, ["sample", "y", "x0", "x1"]]
-
-
-def fill_holes(runs: DataFrame, canvas: DataFrame) -> DataFrame:
-    """Add the gaps that no 4-connected way leads out of.
-
-    Gaps of neighbouring rows that share a column are connected. One task
-    handles one canvas, whose size is fixed by the caller (at most
-    ``chunk`` x ``chunk`` cells however large the slide is).
+    # Two pointers over neighbouring rows: gaps are sorted by row, then column.
+    behind = 0
+    for i, (y, a, b) in enumerate(gaps):
+        while gaps[behind][0] < y - 1 or (gaps[behind][0] == y - 1 and gaps[behind][2] < a):
+            behind += 1
+        j = behind
+        while j < i and gaps[j][0] == y - 1 and gaps[j][1] <= b:
+            parent[root(j)] = root(i)
+            j += 1
+    border = {root(i) for i, (y, a, b) in enumerate(gaps) if y in (0, height - 1) or a == 0 or b == width - 1}
+    filled = np.zeros_like(mask)
+    for i, (y, a, b) in enumerate(gaps):
+        if root(i) not in border:
+            filled[y, a : b + 1] = True
+    return filled
+
+
+def close_canvas(runs: DataFrame, canvas: DataFrame, kernel: int) -> DataFrame:
+    """Closing with filled holes of each canvas, again as runs.
+
+    One task handles one canvas as a raster. Its size is fixed by the caller (at
+    most ``chunk`` x ``chunk`` cells however large the slide is) and its runs
+    were merged before, so the group is bounded by that.
     """
-    gaps = complement(runs, canvas).join(canvas, "sample")
-    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in gaps.select("sample", "y", "x0", "x1").schema)
-    holes = gaps.groupBy("sample").applyInPandas(_holes, shape)
-    return merge_runs(runs.select("sample", "y", "x0", "x1").unionByName(holes))
+
+    def per_canvas(frame: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        mask = np.zeros((int(frame["height"].iloc[0]), int(frame["width"].iloc[0])), dtype=bool)
+        for y, a, b in zip(frame["y"], frame["x0"], frame["x1"]):
+            mask[y, a : b + 1] = True
+        closed = _close(mask, kernel)
+        rows = [(frame["sample"].iloc[0], y, a, b) for y in range(len(closed)) for a, b in _row_runs(closed[y])]
+        return pd.DataFrame(rows, columns=["sample", "y", "x0", "x1"])
+
+    sized = runs.join(canvas, "sample")
+    return sized.groupBy("sample").applyInPandas(per_canvas, "sample string, y int, x0 int, x1 int")
 
 
 def runs_to_cells(runs: DataFrame) -> DataFrame:

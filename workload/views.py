@@ -112,11 +112,19 @@ class Data:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._seen: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._seen:
+            self._seen[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._seen[name]
 
     def view(self, name: str) -> DataFrame:
+        if name not in self._seen:
+            self._seen[name] = self._make(name)
+        return self._seen[name]
+
+    def _make(self, name: str) -> DataFrame:
         tables = {t: self.table(t) for t in TABLES if "{" + t + "}" in VIEWS[name]}
         text = VIEWS[name]
         for base in NEEDS.get(name, ()):
