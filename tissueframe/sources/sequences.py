@@ -105,13 +105,25 @@ def _fastq_records(part: FileRange) -> Iterator[tuple[str, str, str]]:
         window = []
 
 
+# File name endings of the two formats; each may be followed by .gz.
+FASTQ_ENDINGS = (".fastq", ".fq")
+FASTA_ENDINGS = (".fa", ".fna", ".fasta")
+
+
+def _endings(options, usual: tuple[str, ...]) -> tuple[str, ...]:
+    listed = options.get("endings")
+    plain = tuple(listed.split(",")) if listed else usual
+    return plain + tuple(f"{e}.gz" for e in plain)
+
+
 class FastqReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
+        self.endings = _endings(options, FASTQ_ENDINGS)
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
 
     def partitions(self):
-        return _ranges(_files(self.path, (".fastq", ".fq", ".fastq.gz", ".fq.gz")), self.split)
+        return _ranges(_files(self.path, self.endings), self.split)
 
     def read(self, partition):
         import pyarrow as pa
@@ -149,12 +161,12 @@ class FastqSource(DataSource):
 class FastaReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
+        self.endings = _endings(options, FASTA_ENDINGS)
         self.chunk = int(options.get("chunk", 100_000))
         self.overlap = int(options.get("overlap", 0))
 
     def partitions(self):
-        endings = tuple(f"{e}{z}" for e in (".fa", ".fna", ".fasta") for z in ("", ".gz"))
-        return [FileRange(path) for path, _ in _files(self.path, endings)]
+        return [FileRange(path) for path, _ in _files(self.path, self.endings)]
 
     def read(self, partition):
         import pyarrow as pa
@@ -173,7 +185,7 @@ class FastaReader(DataSourceReader):
                     yield batch(name, offset, "".join(held))
                 name, held, size, offset = line[1:].split(" ")[0], [], 0, 0
                 continue
-            held.append(line.strip())
+            held.append(line)
             size += len(held[-1])
             while size >= step + keep:
                 text = "".join(held)
@@ -202,21 +214,26 @@ class FastaSource(DataSource):
         return FastaReader(self.options)
 
 
-def read_fastq(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read_fastq(
+    spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, endings: tuple[str, ...] = FASTQ_ENDINGS
+) -> DataFrame:
     """Reads ``sample, mate, read_id, seq, qual``; mate and sample come from the path."""
     spark.dataSource.register(FastqSource)
-    raw = spark.read.format("fastq").option("splitbytes", str(split_bytes)).load(path)
+    raw = spark.read.format("fastq").option("splitbytes", str(split_bytes)).option("endings", ",".join(endings)).load(path)
     return raw.select(
         sample_of_path(F.col("path")).alias("sample"), mate_of_path(F.col("path")).alias("mate"), "read_id", "seq", "qual"
     )
 
 
-def read_fasta(spark: SparkSession, path: str, chunk: int = 100_000, overlap: int = 0) -> DataFrame:
-    """Contig chunks ``species, name, offset, seq`` in upper case."""
+def read_fasta(
+    spark: SparkSession, path: str, chunk: int = 100_000, overlap: int = 0, endings: tuple[str, ...] = FASTA_ENDINGS
+) -> DataFrame:
+    """Contig chunks ``species, name, offset, seq`` with ACGTN in upper case."""
     spark.dataSource.register(FastaSource)
-    raw = spark.read.format("fasta").option("chunk", str(chunk)).option("overlap", str(overlap)).load(path)
+    options = {"chunk": str(chunk), "overlap": str(overlap), "endings": ",".join(endings)}
+    raw = spark.read.format("fasta").options(**options).load(path)
     species = F.coalesce(F.nullif(F.regexp_extract("path", "(host|graft)", 1), F.lit("")), species_of_path(F.col("path")))
-    return raw.select(species.alias("species"), "name", "offset", F.upper("seq").alias("seq"))
+    return raw.select(species.alias("species"), "name", "offset", F.translate("seq", "acgtn", "ACGTN").alias("seq"))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:

@@ -47,15 +47,15 @@ def _(d):
 
 # Places in a few blobs: nuclei on a coarse map of their slide.
 def blobs(d):
-    x = F.floor(F.col("centroid_x") / 20).cast("int")
-    y = F.floor(F.col("centroid_y") / 20).cast("int")
-    inside = (x % 40 < 24) & (y % 50 < 30)
+    x = F.floor(F.col("centroid_x") / 50).cast("int")
+    y = F.floor(F.col("centroid_y") / 50).cast("int")
+    inside = (x % 20 < 12) & (y % 24 < 15)
     return d.nuclei.select("sample", x.alias("x"), y.alias("y")).where(inside)
 
 
 @query("dbscan")
 def _(d):
-    return objects.dbscan(blobs(d), eps=8, min_samples=6)
+    return objects.dbscan(blobs(d), eps=5, min_samples=4)
 
 
 @query("drop_noise", sql("objects", "SELECT sample, label FROM (SELECT sample, label % 5 - 1 AS label FROM objects) WHERE label <> -1"))
@@ -110,8 +110,8 @@ def _(d):
 def _(d):
     # Nuclei as dark dots of a unit-range thumbnail.
     dots = blobs(d).distinct().select("sample", "x", "y", *[F.lit(0.5).alias(c) for c in "rgb"])
-    dims = d.slides.select("sample", F.ceil(F.col("x") / 20).cast("int").alias("width"), F.ceil(F.col("y") / 20).cast("int").alias("height"))
-    return objects.detect_objects(dots, dims, eps=8, min_samples=6)
+    dims = d.slides.select("sample", F.ceil(F.col("x") / 50).cast("int").alias("width"), F.ceil(F.col("y") / 50).cast("int").alias("height"))
+    return objects.detect_objects(dots, dims, eps=5, min_samples=4)
 
 
 @query("json_params", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
