@@ -113,7 +113,7 @@ def _between(p: Column, q: Column, first: int) -> Column:
     steps = F.greatest(F.abs(q[0] - p[0]), F.abs(q[1] - p[1])).cast("int")
 
     def at(t, i):
-        walked = F.floor(p[i] + t * ((q[i] - p[i]) / steps)).cast("int")
+        walked = F.floor(p[i] + t * F.try_divide(q[i] - p[i], steps)).cast("int")
         return F.when(t == steps, q[i].cast("int")).otherwise(walked)
 
     def run(start):
@@ -185,7 +185,7 @@ def _covered(edges: Column, x: Column, y: Column) -> Column:
         F.filter(
             edges,
             lambda e: ((e["y"] > y) != (e["v"] > y))
-            & (x < (e["u"] - e["x"]) * (y - e["y"]) / (e["v"] - e["y"]) + e["x"]),
+            & (x < F.try_divide((e["u"] - e["x"]) * (y - e["y"]), e["v"] - e["y"]) + e["x"]),
         )
     )
     return on_border | (crossings % 2 == 1)

@@ -42,7 +42,7 @@ def _assign(
 ) -> DataFrame:
     sized = info.select("sample", (F.col("spot_diameter_fullres") * F.lit(float(factor))).alias("_side"))
     placed = attach(nuclei, sized, ["sample"], "inner" if not keep_unassigned else "left", spread=["ids"])
-    x, y, side = F.col("centroid_x"), F.col("centroid_y"), F.col("_side")
+    x, y, side = F.col("centroid_x").cast("long"), F.col("centroid_y").cast("long"), F.col("_side")
     placed = placed.withColumn("cx", cell_of(x, side)).withColumn("cy", cell_of(y, side))
     cells = _spot_cells(grid, info, factor)
     met = attach(placed, cells, ["sample", "cx", "cy"], "left" if keep_unassigned else "inner", spread=["ids"])

@@ -49,13 +49,13 @@ def od_covariance(colours: DataFrame, by: Sequence[str]) -> DataFrame:
     return centred.groupBy(*by).agg(
         F.sum("n").alias("n_pixels"),
         *[
-            (
+            F.try_divide(
                 F.sum(
                     F.col("n")
                     * (F.col(OD[i]) - F.col(f"_{OD[i]}"))
                     * (F.col(OD[j]) - F.col(f"_{OD[j]}"))
-                )
-                / (F.sum("n") - 1)
+                ),
+                F.sum("n") - 1,
             ).alias(f"c{i}{j}")
             for i, j in pairs
         ],
@@ -250,8 +250,10 @@ def normalise_stain(
     # The reference is one image, hence one row; its size is fixed.
     source = source.join(F.broadcast(target.limit(1)))
     mixed = concentrations(attach(shifted, source, ["sample"], "inner", spread=["x", "y"]), lam)
-    c1 = F.col("c1") * (F.col("t_max_c1") / F.col("max_c1"))
-    c2 = F.col("c2") * (F.col("t_max_c2") / F.col("max_c2"))
+    # A stain the slide lacks stays absent.
+    c1, c2 = (
+        F.col(c) * F.coalesce(F.try_divide(f"t_max_{c}", f"max_{c}"), F.lit(0.0)) for c in ("c1", "c2")
+    )
     return mixed.select(
         "sample",
         "x",
@@ -277,7 +279,7 @@ def he_channels(pixels: DataFrame, stains: DataFrame, by: Sequence[str]) -> Data
     )
     top = raw.groupBy(*by).agg(F.max("_h").alias("_mh"), F.max("_e").alias("_me"))
     scaled = attach(raw, top, by, "inner", spread=["x", "y"])
-    return scaled.withColumn("h", F.col("_h") / F.col("_mh")).withColumn("e", F.col("_e") / F.col("_me")).drop(
+    return scaled.withColumns({"h": F.try_divide("_h", "_mh"), "e": F.try_divide("_e", "_me")}).drop(
         "_h", "_e", "_mh", "_me", *STAIN
     )
 

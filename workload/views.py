@@ -34,7 +34,7 @@ VIEWS = {
                     ELSE 'no_neoplasia' END AS cell_type,
                CAST((event_id * 37) % 101 AS DOUBLE) / 100 AS cell_type_prob,
                value * 2 AS perimeter_length,
-               value AS area,
+               value * CAST('0.7390851332151607' AS DOUBLE) AS area,
                CAST(event_id % 180 AS DOUBLE) - 90 AS orientation,
                CAST(event_id % 97 AS DOUBLE) / 97 AS eccentricity
         FROM {events}""",
