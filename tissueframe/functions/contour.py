@@ -18,7 +18,8 @@ def _next_points(contour: Column) -> Column:
     return F.concat(F.slice(contour, 2, F.greatest(F.size(contour) - 1, F.lit(0))), F.slice(contour, 1, 1))
 
 
-def _edges(contour: Column) -> Column:
+def edges_of(contour: Column) -> Column:
+    """Edges ``(x, y) -> (u, v)`` of the closed contour, as an array of structs."""
     return _once(contour, _edges_of)
 
 
@@ -42,7 +43,7 @@ def _total(edges: Column, term) -> Column:
 def contour_perimeter(contour: Column) -> Column:
     """Length of the closed polygon."""
     return _total(
-        _edges(contour),
+        edges_of(contour),
         lambda e: F.sqrt((e["u"] - e["x"]) * (e["u"] - e["x"]) + (e["v"] - e["y"]) * (e["v"] - e["y"])),
     )
 
@@ -52,7 +53,7 @@ def contour_moments(contour: Column) -> Column:
 
     Clockwise contours give the same moments as counter-clockwise ones.
     """
-    edges = _edges(contour)
+    edges = edges_of(contour)
 
     def cross(e):
         return e["x"] * e["v"] - e["u"] * e["y"]
@@ -164,12 +165,9 @@ def _minimize(contour: Column) -> Column:
     return F.filter(contour, kept)
 
 
-def covers(contour: Column, x: Column, y: Column) -> Column:
-    """Whether the filled contour holds the whole point, its border included."""
-    return _once(_edges(contour), lambda edges: _covered(edges, x, y))
+def covered(edges: Column, x: Column, y: Column) -> Column:
+    """Whether the contour of these edges holds the whole point, its border included."""
 
-
-def _covered(edges: Column, x: Column, y: Column) -> Column:
     def side(e):
         return (e["u"] - e["x"]) * (y - e["y"]) - (e["v"] - e["y"]) * (x - e["x"])
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.functions.contour import contour_moments, contour_perimeter, contour_shape, covers
+from tissueframe.functions.contour import contour_moments, contour_perimeter, contour_shape, covered, edges_of
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.schemas import CELL_CLASSES
+from tissueframe.plans.spread import spread_small
 
 
 def measure_nuclei(nuclei: DataFrame, scale: float = 1.0) -> DataFrame:
     """Per-nucleus table from ``(sample, ids, centroid, contour, type, type_prob)``."""
-    shaped = nuclei.withColumn("_m", contour_moments(F.col("contour"))).withColumn(
+    shaped = spread_small(nuclei).withColumn("_m", contour_moments(F.col("contour"))).withColumn(
         "_p", contour_perimeter(F.col("contour"))
     )
     shape = contour_shape(F.col("_m"), F.col("_p"))
@@ -55,29 +56,42 @@ def rasterize_nuclei(nuclei: DataFrame) -> DataFrame:
     """Label raster ``(sample, x, y, label)`` of filled contours; label is id + 1.
 
     Where nuclei overlap the one whose id is last in string order is kept. A
-    nucleus becomes the cells of its bounding box, tested against its own
-    contour; nuclei never meet each other before the per-cell choice.
+    nucleus becomes the cells of its bounding box, tested against its own edges;
+    nuclei never meet each other before the per-cell choice.
     """
     xs = F.transform("contour", lambda p: p[0])
     ys = F.transform("contour", lambda p: p[1])
-    boxed = nuclei.where(F.size("contour") > 0).select(
+    boxed = spread_small(nuclei.where(F.size("contour") > 0)).select(
         "sample",
-        "ids",
-        "contour",
+        string_order("ids").alias("_key"),
+        edges_of(F.col("contour")).alias("_edges"),
         F.array_min(ys).alias("_y0"),
         F.array_max(ys).alias("_y1"),
         F.explode(F.sequence(F.array_min(xs), F.array_max(xs))).alias("x"),
     )
     cells = boxed.withColumn("y", F.explode(F.sequence(F.col("_y0"), F.col("_y1"))))
-    filled = cells.where(covers(F.col("contour"), F.col("x"), F.col("y")))
-    return last_writer(filled)
+    return last_writer(cells.where(covered(F.col("_edges"), F.col("x"), F.col("y"))))
+
+
+DIGITS = 17
+
+
+def string_order(ids: str) -> Column:
+    """A number that sorts whole-number texts of at most 17 digits as strings do.
+
+    Digits are padded on the right, then the length decides (``1`` before
+    ``10``). Numbers aggregate in hash tables, strings would have to be sorted.
+    """
+    text = F.col(ids)
+    return F.rpad(text, DIGITS, "0").cast("long") * 32 + F.length(text)
 
 
 def last_writer(cells: DataFrame) -> DataFrame:
     """One label per raster cell: the last id in string order, plus one."""
-    return cells.groupBy("sample", "x", "y").agg(
-        (F.max("ids").cast("int") + 1).alias("label")
-    )
+    best = cells.groupBy("sample", "x", "y").agg(F.max("_key").alias("_key"))
+    padded = F.shiftright("_key", 5).cast("string")
+    digits = F.substr(F.lpad(padded, DIGITS, "0"), F.lit(1), (F.col("_key") % 32).cast("int"))
+    return best.select("sample", "x", "y", (digits.cast("int") + 1).alias("label"))
 
 
 def auto_offset(nuclei: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tissueframe.functions.scalar import axis_scale, in_disk, trunc_int
 from tissueframe.plans import runs as R
 from tissueframe.plans.skew import attach
+from tissueframe.plans.spread import spread_small
 
 FOUR_NEIGHBOURS = ((1, 0), (-1, 0), (0, 1), (0, -1))
 
@@ -164,7 +165,7 @@ def _around(labels: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy")),
         *[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in FOUR_NEIGHBOURS],
     )
-    sent = labels.withColumn("_t", F.explode(targets))
+    sent = spread_small(labels).withColumn("_t", F.explode(targets))
     return sent.withColumn("x", F.col("x") + F.col("_t.dx")).withColumn("y", F.col("y") + F.col("_t.dy")).withColumn(
         "_self", (F.col("_t.dx") == 0) & (F.col("_t.dy") == 0)
     ).drop("_t")
@@ -210,7 +211,7 @@ def expand_labels(labels: DataFrame, d: int, by: Sequence[str] = ("sample",)) ->
     """
     by = list(by)
     steps = F.sequence(F.lit(-d), F.lit(d))
-    own = labels.select(*by, "x", "y", "label")
+    own = spread_small(labels.select(*by, "x", "y", "label"))
     sideways = own.withColumn("_dx", F.explode(steps)).select(
         *by, (F.col("x") + F.col("_dx")).alias("x"), "y", (F.abs("_dx").cast("long") * (1 << 40) + F.col("label")).alias("_k")
     )

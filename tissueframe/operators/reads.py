@@ -2,41 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.functions.sequence import canonical
+from tissueframe.functions.sequence import revcomp
+from tissueframe.plans.spread import spread_small
 
 # Texts are cut into pieces of this length before k-mers are taken, because a
-# substring of a long string costs its position.
-PIECE = 256
+# substring of a long string costs the length of the string.
+PIECE = 64
 
 
-def kmers(df: DataFrame, keys: list[str], k: int, seq: str = "seq", alphabet: str | None = None) -> DataFrame:
+def kmers(
+    df: DataFrame, keys: list[str], k: int, seq: str = "seq", alphabet: str | None = None, keep_short: bool = False
+) -> DataFrame:
     """All canonical k-mers of each sequence, one row per position.
 
-    The whole sequence is used: pieces overlap by ``k - 1``. With ``alphabet``
-    given (``ACGT``), k-mers holding any other letter are left out.
+    The whole sequence is used: pieces overlap by ``k - 1``. The reverse
+    complement is taken once per piece and read from its other end. With
+    ``alphabet`` given (``ACGT``), k-mers holding any other letter are left out.
+    ``keep_short`` gives a sequence without any k-mer one row with NULL, and
+    turns k-mers left out into NULL, so that every sequence stays in sight.
     """
     s = F.col(seq)
-    long_enough = df.where(F.length(s) >= k)
-    piece = long_enough.select(
-        *keys,
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE)),
-                lambda at: F.substr(s, at, F.lit(PIECE + k - 1)),
-            )
-        ).alias("_piece"),
-    )
+    starts = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE)))
+    explode = F.explode_outer if keep_short else F.explode
+    piece = spread_small(df).select(
+        *keys, explode(F.transform(starts, lambda at: F.substr(s, at, F.lit(PIECE + k - 1)))).alias("_piece")
+    ).withColumn("_back", revcomp(F.col("_piece")))
+    size = F.length("_piece")
     cut = piece.select(
-        *keys,
-        "_piece",
-        F.explode(F.sequence(F.lit(1), F.length("_piece") - k + 1)).alias("_at"),
-    ).select(*keys, F.substr(F.col("_piece"), F.col("_at"), F.lit(k)).alias("_raw"))
-    if alphabet:
-        cut = cut.where(F.translate(F.col("_raw"), alphabet, "") == "")
-    return cut.select(*keys, canonical(F.col("_raw")).alias("kmer"))
+        *keys, "_piece", "_back", size.alias("_size"), explode(F.sequence(F.lit(1), size - k + 1)).alias("_at")
+    )
+    ahead = F.substr(F.col("_piece"), F.col("_at"), F.lit(k))
+    behind = F.substr(F.col("_back"), F.col("_size") - k + 2 - F.col("_at"), F.lit(k))
+    found = cut.select(*keys, F.least(ahead, behind).alias("kmer"))
+    if not alphabet:
+        return found
+    plain = F.translate(F.col("kmer"), alphabet, "") == ""
+    if keep_short:
+        return found.withColumn("kmer", F.when(plain, F.col("kmer")))
+    return found.where(plain)
 
 
 def build_kmer_index(contigs: DataFrame, k: int, host: str = "host", graft: str = "graft", alphabet: str | None = None) -> DataFrame:
@@ -61,27 +67,21 @@ def save_kmer_index(index: DataFrame, table: str, buckets: int, overwrite: bool
 def match_reads(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | None = None, alphabet: str | None = None) -> DataFrame:
     """K-mer hits per read: ``n_graft, n_host, n_both, n_missing``.
 
-    K-mers of one read are counted before they meet the index. A k-mer shared by
-    many reads is the left side of a left join and is split by the adaptive skew
-    rule, since the counts are shuffled again by read anyway.
+    Reads are a left join away from the index and are summed per read straight
+    after it, in the joining task first. K-mers of one read hardly repeat, so
+    counting them before the join would only add a shuffle; a k-mer shared by
+    many reads is split by the adaptive skew rule, which may cut the left side
+    of a left join. Reads without k-mers keep a row of zeros.
     """
     keys = keys or ["sample", "read_id"]
-    counted = kmers(reads, keys, k, "seq", alphabet).groupBy(*keys, "kmer").agg(F.count("*").alias("n"))
-    met = counted.join(index, "kmer", "left")
+    met = kmers(reads, keys, k, "seq", alphabet, keep_short=True).join(index, "kmer", "left")
     host, graft = F.coalesce("in_host", F.lit(False)), F.coalesce("in_graft", F.lit(False))
-
-    def hits(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
-
-    votes = met.groupBy(*keys).agg(
-        hits(graft & ~host).alias("n_graft"),
-        hits(host & ~graft).alias("n_host"),
-        hits(host & graft).alias("n_both"),
-        hits(~host & ~graft).alias("n_missing"),
+    return met.groupBy(*keys).agg(
+        F.count_if(graft & ~host).alias("n_graft"),
+        F.count_if(host & ~graft).alias("n_host"),
+        F.count_if(host & graft).alias("n_both"),
+        F.count_if(F.col("kmer").isNotNull() & ~host & ~graft).alias("n_missing"),
     )
-    # Reads shorter than k have no k-mer and therefore no hit.
-    filled = reads.select(*keys).distinct().join(votes, keys, "left")
-    return filled.na.fill(0, ["n_graft", "n_host", "n_both", "n_missing"])
 
 
 def read_class(matches: DataFrame) -> DataFrame:

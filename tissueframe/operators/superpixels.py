@@ -14,6 +14,7 @@ from tissueframe.operators.stain import MEASURES
 from tissueframe.plans.lineage import store
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.plans.skew import attach
+from tissueframe.plans.spread import spread_small
 
 # Id step between patches, and the level cells are scaled to.
 PATCH_STEP = 10000
@@ -100,7 +101,7 @@ def superpixels(
     side = max(1, round(pixels_per_segment**0.5))
     keys = ["sample", "pi", "pj"]
     lab = rgb_to_lab(F.col("r"), F.col("g"), F.col("b"))
-    cut = patch_index(pixels, s).withColumn("_lab", lab)
+    cut = patch_index(spread_small(pixels), s).withColumn("_lab", lab)
     points = cut.select(
         *keys,
         "x",

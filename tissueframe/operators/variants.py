@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import capital
+from tissueframe.plans.spread import spread_small
 
 # CIGAR letters by what they advance.
 ALIGNED = ("M", "=", "X")
@@ -47,7 +48,7 @@ def pileup(alignments: DataFrame, min_mapq: int = 50, min_bq: int = 0) -> DataFr
     out. Bases are counted per task before the shuffle, so deep positions do not
     gather in one place.
     """
-    good = alignments.where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
+    good = spread_small(alignments).where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
     segments = good.select("sample", "species", "chrom", "pos", "seq", "qual", F.explode(aligned_segments(F.col("cigar"))).alias("_s"))
     bases = segments.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_s.n") - 1)))
     at = F.col("_s.q") + F.col("_i") + 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tissueframe.plans.spread import spread_small
 
 
 def cell_of(value: Column, size: Column) -> Column:
@@ -46,7 +47,7 @@ def band_join(
     applies as the result is not assumed to keep the join's partitioning.
     """
     width = F.lit(size)
-    left = points.withColumn("_cell", cell_of(F.col(point), width))
+    left = spread_small(points).withColumn("_cell", cell_of(F.col(point), width))
     right = ranges.withColumn(
         "_cell", F.explode(cells_between(F.col(low), F.col(high) - 1, width))
     )

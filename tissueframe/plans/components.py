@@ -37,11 +37,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id") -
             F.col("component").alias("old"),
             F.least("component", F.coalesce("near", "component")).alias("component"),
         )
-        own = labels.select(F.col("id").alias("component"), F.col("component").alias("jump"))
-        jumped = attach(hooked, own, ["component"], "left", spread=["id"])
-        fresh = store(
-            jumped.select("id", "old", F.least("component", "jump").alias("component")), "components"
-        )
+        own = labels.where(F.col("component") != F.col("id"))
+        own = own.select(F.col("id").alias("component"), F.col("component").alias("jump"))
+        jumped = attach(hooked, own, ["component"], "left", spread=["id"], salts=4)
+        # Roots point to themselves and are not looked up.
+        nearest = F.least("component", F.coalesce("jump", "component"))
+        fresh = store(jumped.select("id", "old", nearest.alias("component")), "components")
         moved = fresh.where(F.col("old") != F.col("component")).limit(1).count()
         labels = fresh.select("id", "component")
         if moved == 0:
