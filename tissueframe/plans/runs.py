@@ -116,7 +116,9 @@ def close_canvas(runs: DataFrame, canvas: DataFrame, kernel: int) -> DataFrame:
         rows = [(frame["sample"].iloc[0], y, a, b) for y in range(len(closed)) for a, b in _row_runs(closed[y])]
         return pd.DataFrame(rows, columns=["sample", "y", "x0", "x1"])
 
-    sized = runs.join(canvas, "sample")
+    # Few bytes, much arithmetic: canvases are spread by count, not by size.
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = runs.join(canvas, "sample").repartition(parts, "sample")
     return sized.groupBy("sample").applyInPandas(per_canvas, "sample string, y int, x0 int, x1 int")
 
 
