@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.functions.scalar import axis_scale, in_disk, trunc_int
+from tissueframe.functions.scalar import axis_scale, trunc_int
 from tissueframe.plans import runs as R
 from tissueframe.plans.skew import attach
 from tissueframe.plans.spread import spread_small
@@ -313,11 +313,9 @@ def tissue_mask(
     if square:
         x0, x1 = F.col("_cx") - F.col("_r"), F.col("_cx") + F.col("_r") - 1
     else:
-        # Widest dx with dx^2 + dy^2 < r^2, in whole numbers.
-        inside = F.filter(
-            F.sequence(F.lit(0), F.col("_r")), lambda dx: in_disk(dx, F.col("_dy"), F.col("_r"))
-        )
-        reach = F.size(inside) - 1
+        # Widest dx with dx^2 + dy^2 < r^2; roots of whole squares are exact.
+        rest = F.col("_r") * F.col("_r") - F.col("_dy") * F.col("_dy")
+        reach = (F.ceil(F.sqrt(rest.cast("double"))) - 1).cast("int")
         x0, x1 = F.col("_cx") - reach, F.col("_cx") + reach
     drawn = rows.select("sample", (F.col("_cy") + F.col("_dy")).alias("y"), x0.alias("x0"), x1.alias("x1"))
     shape = R.merge_runs(R.clip(drawn, canvas))
