@@ -228,6 +228,7 @@ def detect_objects(
     """Objects of each slide with box, area, rank by area and slide size."""
     cells = foreground(detect_scale(thumbs), a, b)
     found = drop_noise(dbscan(cells, eps, min_samples))
-    sized = object_area(object_boxes(found, dims, **boxes))
+    # Equal boxes must tie: their areas may differ in the last bits.
+    sized = object_area(object_boxes(found, dims, **boxes)).withColumn("area", F.round("area", 12))
     ranked = rank_first(sized, ["sample"], "area", ["label"])
     return attach_dims(ranked, dims)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tissueframe.functions.colour import concentration_to_rgb, lasso2, to_od
 from tissueframe.operators.raster import channel_mean, expand_labels, patch_index
 from tissueframe.plans.lineage import store
-from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.plans.skew import attach
 from tissueframe.schemas import DEFAULT_STAIN
 

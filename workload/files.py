@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tissueframe.operators import grid, reads
+from tissueframe.operators import reads
 from tissueframe.plans.lineage import scratch_path
 from tissueframe.sources import mtx, sequences, tables
 from workload.imaging import HEX, HEX_SQL, hex_grid, hex_info, rounded, shapes

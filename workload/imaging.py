@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tissueframe.functions import contour as C
 from tissueframe.functions.scalar import round_even
-from tissueframe.operators import assignment, grid, nuclei, raster, spots, superpixels
+from tissueframe.operators import assignment, grid, nuclei, raster, spots
 from workload.views import Data, num, sql
 
 QUERIES: dict = {}
@@ -227,6 +227,13 @@ def _(d):
     return grid.sample_tiles(hex_grid(d), 20, seed=7).select("sample", "barcode")
 
 
+# With more draws than tiles a slide gives all of its tiles.
+@query("sample_tiles_all", sql("slides", f"WITH {HEX_SQL} SELECT sample, barcode FROM grid WHERE array_col % 2 = 0"))
+def _(d):
+    flagged = hex_grid(d).withColumn("in_tissue", (F.col("array_col") % 2 == 0).cast("int"))
+    return grid.sample_tiles(flagged, 100).select("sample", "barcode")
+
+
 ROI_SQL = """roi AS (SELECT sample, 100 AS width, 100 AS height, CAST(trunc(100 * 0.33::DOUBLE) AS INT) AS x0,
     CAST(trunc(100 * 0.1::DOUBLE) AS INT) AS y0, CAST(trunc(100 * 0.5::DOUBLE) AS INT) AS w, CAST(trunc(100 * 0.255::DOUBLE) AS INT) AS h FROM thumbs)"""
 

@@ -120,12 +120,29 @@ def _(d):
     return objects.build_samplesheet(d.objects, "/slides/", "/rois/", 0.2526)
 
 
-@query("detect_objects")
+# The same clusters with every place counted once, then boxes, ranks and sizes.
+DETECT_SQL = DBSCAN_SQL.replace("count(*) AS w", "1 AS w").replace(
+    "SELECT sample, x, y, CAST(coalesce(label, -1)", ", found AS (SELECT sample, x, y, CAST(coalesce(label, -1)"
+) + f"""),
+    q AS (SELECT sample, label, quantile_cont(x, {num(0.05)}) AS a0, quantile_cont(x, {num(0.95)}) AS b0, quantile_cont(y, {num(0.05)}) AS a1,
+          quantile_cont(y, {num(0.95)}) AS b1 FROM found WHERE label <> -1 GROUP BY 1, 2),
+    dims AS (SELECT concat('S', s_suppkey) AS sample, CAST(ceil((2900 + (s_suppkey * 37) % 400) / 50) AS INT) AS width,
+             CAST(ceil((3060 + (s_suppkey * 53) % 300) / 50) AS INT) AS height FROM supplier),
+    wide AS (SELECT sample, label, width, height, (a0 - {num(0.35)} * (b0 - a0)) / width AS s0, (b0 + {num(0.35)} * (b0 - a0)) / width AS e0,
+          (a1 - {num(0.35)} * (b1 - a1)) / height AS s1, (b1 + {num(0.35)} * (b1 - a1)) / height AS e1 FROM q JOIN dims USING (sample)),
+    boxes AS (SELECT sample, label, width, height, greatest(s0, 0) AS loc0, CASE WHEN greatest(s0, 0) + (e0 - s0) > 1 THEN 1 - greatest(s0, 0) ELSE e0 - s0 END AS size0,
+          greatest(s1, 0) AS loc1, CASE WHEN greatest(s1, 0) + (e1 - s1) > 1 THEN 1 - greatest(s1, 0) ELSE e1 - s1 END AS size1 FROM wide)
+    SELECT sample, label, round(loc0, 6) AS loc0, round(size0, 6) AS size0, round(loc1, 6) AS loc1, round(size1, 6) AS size1, round(round(size0 * size1, 12), 6) AS area,
+           row_number() OVER (PARTITION BY sample ORDER BY round(size0 * size1, 12) DESC, label) AS rank, width, height, CAST(width AS BIGINT) * height AS apx FROM boxes"""
+
+
+@query("detect_objects", DETECT_SQL.replace("WITH ", "WITH RECURSIVE ", 1))
 def _(d):
     # Nuclei as dark dots of a unit-range thumbnail.
     dots = blobs(d).distinct().select("sample", "x", "y", *[F.lit(0.5).alias(c) for c in "rgb"])
     dims = d.slides.select("sample", F.ceil(F.col("x") / 50).cast("int").alias("width"), F.ceil(F.col("y") / 50).cast("int").alias("height"))
-    return objects.detect_objects(dots, dims, eps=5, min_samples=4)
+    found = objects.detect_objects(dots, dims, eps=5, min_samples=4)
+    return rounded(found, "loc0", "size0", "loc1", "size1", "area")
 
 
 @query("json_params", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
