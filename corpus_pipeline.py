@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tissueframe.llm import linedup, quality
+from tissueframe.llm import decontaminate, linedup, packing, quality, simhash
+from tissueframe.llm.queries import tokenizer_path
 from tissueframe.plans.lineage import store
 
 
@@ -22,9 +23,27 @@ def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return linedup.clean_lines(docs)
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet"))
+
+
+def pack_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token sequences: one row per piece, with its ids."""
+    return packing.pack(docs, tokenizer_path(), ids=True)
+
+
 STAGES = [
     ("quality", judge_quality),
     ("lines", drop_lines),
+    ("copies", drop_copies),
+    ("leaks", drop_leaks),
+    ("packing", pack_tokens),
 ]
 
 #: A trained model, random walks and a tokenizer are beyond SQL.

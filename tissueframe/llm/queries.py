@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissueframe.llm import linedup, quality
+from tissueframe.llm import decontaminate, linedup, packing, quality, sharding, simhash
 from tissueframe.llm.textops import held_out
 
 
@@ -17,6 +17,32 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file the contract names."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), tokenizer_path())
+
+
+def op2_walk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op3_trie_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op5_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source",
+    )
+
+
 def op7_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, _table(spark, folder, "labels"))
@@ -32,7 +58,9 @@ def op8_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_attention_quality, op8_line_runs)}
+QUERIES = {f.__name__: f for f in (
+    op1_harmonic_packing, op2_walk_decontamination, op3_trie_simhash, op5_interleaved_shards, op7_attention_quality, op8_line_runs
+)}
 
 CHECKS = {
     # Every shortest run of min_words words from or to each line, spelt out as text; its first place decides.
