@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tissueframe.llm import decontaminate, linedup, packing, quality, sharding, simhash
+from tissueframe.llm import decontaminate, language, linedup, packing, quality, rules, secrets, sharding, simhash, substrings
 from tissueframe.llm.textops import held_out
 
 
@@ -36,6 +36,12 @@ def op3_trie_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_anchor_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.drop_repeated_passages(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op5_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -43,6 +49,14 @@ def op5_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_backoff_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.train(docs)
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, _table(spark, folder, "labels"))
@@ -58,8 +72,18 @@ def op8_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, folder, "documents"))
+
+
+def op10_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return rules.apply_rules(docs.select("doc_id", "text"), rules.references(docs)).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op2_walk_decontamination, op3_trie_simhash, op5_interleaved_shards, op7_attention_quality, op8_line_runs
+    op1_harmonic_packing, op2_walk_decontamination, op3_trie_simhash, op4_anchor_substrings, op5_interleaved_shards,
+    op6_backoff_language, op7_attention_quality, op8_line_runs, op9_owned_secrets, op10_divergence_rules,
 )}
 
 CHECKS = {

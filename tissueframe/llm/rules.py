@@ -30,7 +30,7 @@ CLASS_WORDS = 20
 COMMON_WORDS = 60
 #: Distances above which a document is unlike a language.
 CLASS_LIMIT = 0.25
-COMMON_LIMIT = 0.75
+COMMON_LIMIT = 0.5
 #: Common words of a language's histogram; all other words share one more bin.
 COMMON = 64
 RARE = 20_000
