@@ -42,12 +42,14 @@ BLOCK = 20_000
 SHORTEST = 8
 #: Words an item may differ by, as a share of its words.
 TOLERANCE = 0.2
-RECALL = 0.95
+#: Chance that a window with one edit is found; an item has several windows.
+RECALL = 0.99
 #: Emitted places that form one key.
-PLACES = 5
+PLACES = 4
 #: Chance that two windows one edit apart differ at an emitted place, measured over walks (see tests).
-DISAGREE = 0.25
-WALKS = 2
+DISAGREE = 0.16
+#: Independent walks; keys of one walk are alike, so several are needed.
+WALKS = 3
 
 #: Upper word counts of the length classes; beyond the last one windows stay that long.
 CLASSES = (12, 18, 27, 40)
