@@ -36,16 +36,20 @@ def test_expand_labels_brute_force(spark):
     rng = np.random.default_rng(3)
     cells = {(int(x), int(y)): int(v) for x, y, v in rng.integers(0, [30, 30, 6], (60, 3)) if v > 0}
     df = spark.createDataFrame([("s", x, y, v) for (x, y), v in cells.items()], "sample string, x int, y int, label int")
+    canvas = spark.createDataFrame([("s", 30, 30)], "sample string, width int, height int")
     d = 4
     expected = {}
-    for x in range(-d, 30 + d):
-        for y in range(-d, 30 + d):
+    for x in range(30):
+        for y in range(30):
             if (x, y) in cells:
                 continue
             near = [((x - a) ** 2 + (y - b) ** 2, v) for (a, b), v in cells.items() if (x - a) ** 2 + (y - b) ** 2 <= d * d]
             if near:
                 expected[(x, y)] = min(near)[1]
-    assert {(r.x, r.y): r.label for r in raster.expand_labels(df, d).collect()} == expected
+    assert {(r.x, r.y): r.label for r in raster.expand_labels(df, d, canvas).collect()} == expected
+    shifted = spark.createDataFrame([("s", 5, 7, 10, 12)], "sample string, x0 int, y0 int, width int, height int")
+    inside = {k: v for k, v in expected.items() if 5 <= k[0] < 15 and 7 <= k[1] < 19}
+    assert {(r.x, r.y): r.label for r in raster.expand_labels(df, d, shifted).collect()} == inside
 
 
 def test_pixel_mask_limits(spark):

@@ -45,9 +45,24 @@ def test_allele_limits_are_inclusive(spark):
 
 def test_reference_base_from_chunks(spark):
     contigs = spark.createDataFrame([("human", "c", 0, "ACGTA"), ("human", "c", 4, "AGGGC")], "species string, name string, offset long, seq string")
-    piles = spark.createDataFrame([("c", p) for p in (1, 4, 5, 8)], "chrom string, pos long")
-    found = {r.pos: r.ref for r in variants.pileup_with_ref(piles, contigs, 4).collect()}
-    assert found == {1: "A", 4: "T", 5: "A", 8: "G"}
+    contigs = contigs.union(spark.createDataFrame([("mouse", "c", 0, "TTTTT")], contigs.schema))
+    piles = spark.createDataFrame([("human", "c", p) for p in (1, 4, 5, 8)] + [("mouse", "c", 1)], "species string, chrom string, pos long")
+    found = {(r.species, r.pos): r.ref for r in variants.pileup_with_ref(piles, contigs, 4).collect()}
+    assert found == {("human", 1): "A", ("human", 4): "T", ("human", 5): "A", ("human", 8): "G", ("mouse", 1): "T"}
+
+
+def test_intervals_meet_aligned_segments(spark):
+    schema = "read_id string, species string, chrom string, pos long, cigar string"
+    reads_ = spark.createDataFrame(
+        [("near", "human", "c", 95, "10M"), ("jump", "human", "c", 95, "5M100N5M"), ("other", "mouse", "c", 95, "10M"), ("plain", "human", "c", 50, None)], schema
+    )
+    intervals = spark.createDataFrame(
+        [("human", "c", 40, 100, "exon", "g"), ("human", "c", 100, 200, "intron", "g"), ("human", "c", 200, 230, "exon", "g")],
+        "species string, chrom string, start long, end long, kind string, gene_id string",
+    )
+    for size in (16, 1000):
+        found = sorted((r.read_id, r.kind, r.start, r.junction) for r in counts.annotate_intervals(reads_, intervals, size).collect())
+        assert found == [("jump", "exon", 40, True), ("jump", "exon", 200, True), ("near", "exon", 40, False), ("near", "intron", 100, False), ("plain", "exon", 40, False)]
 
 
 def test_umis_count_once_and_empty_barcodes_stay(spark):
@@ -67,11 +82,13 @@ def test_splicing_rules(spark):
     )
     found = {r.gene_id: (r.spliced, r.unspliced, r.ambiguous) for r in counts.splice_counts(df).collect()}
     assert found == {"g": (1, 1, 1), "h": (0, 0, 1)}
+    listed = spark.createDataFrame([("s", "z")], "sample string, barcode string")
+    assert counts.splice_counts(df, listed).count() == 0
 
 
 def test_interval_join_plans_as_equality(spark):
-    a = spark.range(2000).select(F.lit("c").alias("chrom"), F.col("id").alias("pos"))
-    i = spark.createDataFrame([("c", 5, 9, "exon", "g"), ("c", 95, 205, "intron", "h")], "chrom string, start long, end long, kind string, gene_id string")
+    a = spark.range(2000).select(F.lit("human").alias("species"), F.lit("c").alias("chrom"), F.col("id").alias("pos"), F.lit("1M").alias("cigar"))
+    i = spark.createDataFrame([("human", "c", 5, 9, "exon", "g"), ("human", "c", 95, 205, "intron", "h")], "species string, chrom string, start long, end long, kind string, gene_id string")
     met = counts.annotate_intervals(a, i, size=64)
     plan = met._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tissueframe.functions.scalar import squared_distance
 from tissueframe.plans.cells import cell_of, cover
 from tissueframe.plans.skew import attach
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 
 def _spot_cells(grid: DataFrame, info: DataFrame, factor: float) -> DataFrame:
@@ -42,7 +42,7 @@ def _assign(
     keep_unassigned: bool,
 ) -> DataFrame:
     sized = info.select("sample", (F.col("spot_diameter_fullres") * F.lit(float(factor))).alias("_side"))
-    placed = attach(spread_small(nuclei), sized, ["sample"], "inner" if not keep_unassigned else "left", spread=["ids"])
+    placed = attach(spread(nuclei, "sample", "ids"), sized, ["sample"], "inner" if not keep_unassigned else "left", spread=["ids"])
     x, y, side = F.col("centroid_x").cast("long"), F.col("centroid_y").cast("long"), F.col("_side")
     placed = placed.withColumn("cx", cell_of(x, side)).withColumn("cy", cell_of(y, side))
     cells = _spot_cells(grid, info, factor)

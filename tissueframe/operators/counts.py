@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.plans.cells import band_join
+from tissueframe.operators.variants import aligned_segments
+from tissueframe.plans.cells import overlap_join
 
 
 def _tagged(alignments: DataFrame) -> DataFrame:
@@ -45,21 +46,44 @@ def seq_metrics(alignments: DataFrame, by: tuple[str, ...] = ("sample", "species
 
 
 def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int = 10_000) -> DataFrame:
-    """Alignments with the exon and intron intervals holding their position.
+    """Alignments with the exon and intron intervals their aligned segments overlap.
 
-    ``intervals`` has ``chrom, start, end, kind, gene_id``, half open.
+    ``intervals`` has ``species, chrom, start, end, kind, gene_id``, half open,
+    and ``strand`` if strands are to agree (alignments need it too). A read whose
+    alignment jumps (``N``) overlaps what its segments cover and not the gap;
+    ``junction`` marks it. An alignment meets an interval once.
     """
     named = intervals.withColumnRenamed("gene_id", "hit_gene")
-    return band_join(alignments, named, ["chrom"], "pos", "start", "end", size)
+    by = ["species", "chrom"]
+    if "strand" in named.columns:
+        by = by + ["strand"] if "strand" in alignments.columns else by
+        named = named if "strand" in by else named.drop("strand")
+    start = F.col("pos").cast("long")
+    mapped = F.col("cigar").isNotNull() & (F.col("cigar") != "*")
+    segments = F.transform(
+        aligned_segments(F.when(mapped, F.col("cigar")).otherwise("1M")),
+        lambda s: F.struct((start + s["r"]).alias("lo"), (start + s["r"] + s["n"]).alias("hi")),
+    )
+    placed = alignments.withColumn("_parts", segments).where(F.size("_parts") > 0).withColumns({
+        "_lo": F.element_at("_parts", 1)["lo"], "_hi": F.element_at("_parts", -1)["hi"],
+        "junction": F.coalesce(F.col("cigar").contains("N"), F.lit(False)),
+    })
+    met = overlap_join(placed, named, by, ("_lo", "_hi"), "start", "end", size)
+    covers = F.exists("_parts", lambda s: (s["lo"] < F.col("end")) & (F.col("start") < s["hi"]))
+    return met.where(covers).drop("_parts", "_lo", "_hi")
 
 
-def splice_counts(annotated: DataFrame) -> DataFrame:
+def splice_counts(annotated: DataFrame, barcodes: DataFrame | None = None) -> DataFrame:
     """Spliced, unspliced and ambiguous molecules per barcode and gene.
 
     A molecule touching an intron is unspliced, one seen in exons only is
     spliced; a molecule (barcode and UMI) seen in several genes is ambiguous in
-    each of them.
+    each of them. With ``barcodes`` (``sample, barcode``) only molecules of
+    listed barcodes count.
     """
+    if barcodes is not None:
+        listed = barcodes.select("sample", F.col("barcode").alias("cb")).distinct()
+        annotated = annotated.join(listed, ["sample", "cb"], "left_semi")
     molecules = annotated.groupBy("sample", "cb", "ub", "hit_gene").agg(
         F.bool_or(F.col("kind") == "intron").alias("_intron")
     )

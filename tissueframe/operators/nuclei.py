@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from tissueframe.functions.contour import contour_moments, contour_perimeter, contour_shape, covered, edges_of
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.schemas import CELL_CLASSES
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 
 def measure_nuclei(nuclei: DataFrame, scale: float = 1.0) -> DataFrame:
     """Per-nucleus table from ``(sample, ids, centroid, contour, type, type_prob)``."""
-    shaped = spread_small(nuclei).withColumn("_m", contour_moments(F.col("contour"))).withColumn(
+    shaped = spread(nuclei, "sample", "ids").withColumn("_m", contour_moments(F.col("contour"))).withColumn(
         "_p", contour_perimeter(F.col("contour"))
     )
     shape = contour_shape(F.col("_m"), F.col("_p"))
@@ -61,9 +61,9 @@ def rasterize_nuclei(nuclei: DataFrame) -> DataFrame:
     """
     xs = F.transform("contour", lambda p: p[0])
     ys = F.transform("contour", lambda p: p[1])
-    boxed = spread_small(nuclei.where(F.size("contour") > 0)).select(
+    boxed = spread(nuclei.where(F.size("contour") > 0), "sample", "ids").select(
         "sample",
-        string_order("ids").alias("_key"),
+        F.col("ids").cast("string").alias("_key"),
         edges_of(F.col("contour")).alias("_edges"),
         F.array_min(ys).alias("_y0"),
         F.array_max(ys).alias("_y1"),
@@ -73,25 +73,13 @@ def rasterize_nuclei(nuclei: DataFrame) -> DataFrame:
     return last_writer(cells.where(covered(F.col("_edges"), F.col("x"), F.col("y"))))
 
 
-DIGITS = 17
-
-
-def string_order(ids: str) -> Column:
-    """A number that sorts whole-number texts of at most 17 digits as strings do.
+def last_writer(cells: DataFrame) -> DataFrame:
+    """One label per raster cell: the last id in string order as a number, plus one.
 
-    Digits are padded on the right, then the length decides (``1`` before
-    ``10``). Numbers aggregate in hash tables, strings would have to be sorted.
+    Ids are compared whole, as strings; an id that is no whole number is an error.
     """
-    text = F.col(ids)
-    return F.rpad(text, DIGITS, "0").cast("long") * 32 + F.length(text)
-
-
-def last_writer(cells: DataFrame) -> DataFrame:
-    """One label per raster cell: the last id in string order, plus one."""
     best = cells.groupBy("sample", "x", "y").agg(F.max("_key").alias("_key"))
-    padded = F.shiftright("_key", 5).cast("string")
-    digits = F.substr(F.lpad(padded, DIGITS, "0"), F.lit(1), (F.col("_key") % 32).cast("int"))
-    return best.select("sample", "x", "y", (digits.cast("int") + 1).alias("label"))
+    return best.select("sample", "x", "y", (F.col("_key").cast("long") + 1).alias("label"))
 
 
 def auto_offset(nuclei: DataFrame) -> DataFrame:

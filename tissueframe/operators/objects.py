@@ -14,7 +14,7 @@ from tissueframe.plans.lineage import store
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.plans.ranking import consecutive
 from tissueframe.plans.skew import attach
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 
 def eps_pairs(points: DataFrame, eps: float) -> DataFrame:
@@ -46,7 +46,7 @@ def neighbour_counts(points: DataFrame, eps: int) -> DataFrame:
     counts. A row is as long as the image is wide.
     """
     places = points.groupBy("sample", "x", "y").agg(F.count("*").alias("w"))
-    rows = spread_small(places).withColumn("_dy", F.explode(F.sequence(F.lit(-eps), F.lit(eps))))
+    rows = spread(places, "sample", "x", "y").withColumn("_dy", F.explode(F.sequence(F.lit(-eps), F.lit(eps))))
     reach = F.floor(F.sqrt(F.lit(eps * eps) - F.col("_dy") * F.col("_dy"))).cast("int")
     steps = rows.select(
         "sample",

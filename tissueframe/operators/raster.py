@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tissueframe.functions.scalar import axis_scale, trunc_int
 from tissueframe.plans import runs as R
 from tissueframe.plans.skew import attach
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 FOUR_NEIGHBOURS = ((1, 0), (-1, 0), (0, 1), (0, -1))
 
@@ -165,7 +165,7 @@ def _around(labels: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy")),
         *[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in FOUR_NEIGHBOURS],
     )
-    sent = spread_small(labels).withColumn("_t", F.explode(targets))
+    sent = spread(labels, "sample", "x", "y").withColumn("_t", F.explode(targets))
     return sent.withColumn("x", F.col("x") + F.col("_t.dx")).withColumn("y", F.col("y") + F.col("_t.dy")).withColumn(
         "_self", (F.col("_t.dx") == 0) & (F.col("_t.dy") == 0)
     ).drop("_t")
@@ -202,16 +202,18 @@ def label_adjacency(labels: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("border"))
 
 
-def expand_labels(labels: DataFrame, d: int, by: Sequence[str] = ("sample",)) -> DataFrame:
-    """Empty cells within ``d`` of a label, with the nearest label (ties: smallest).
+def expand_labels(labels: DataFrame, d: int, canvas: DataFrame, by: Sequence[str] = ("sample",)) -> DataFrame:
+    """Empty cells of the raster within ``d`` of a label, with the nearest label (ties: smallest).
 
-    ``labels`` lists the labelled cells only, all of them. The nearest label is
+    ``labels`` lists the labelled cells only, all of them. ``canvas`` has one row
+    per raster: ``width``, ``height`` and, if it does not begin at 0, ``x0`` and
+    ``y0``; cells outside are not filled. The nearest label is
     found first along each row and then across rows, so a cell is sent to
     ``2 (2d + 1)`` places instead of to a whole disk.
     """
     by = list(by)
     steps = F.sequence(F.lit(-d), F.lit(d))
-    own = spread_small(labels.select(*by, "x", "y", "label"))
+    own = spread(labels.select(*by, "x", "y", "label"), *by, "x", "y")
     sideways = own.withColumn("_dx", F.explode(steps)).select(
         *by, (F.col("x") + F.col("_dx")).alias("x"), "y", (F.abs("_dx").cast("long") * (1 << 40) + F.col("label")).alias("_k")
     )
@@ -227,6 +229,10 @@ def expand_labels(labels: DataFrame, d: int, by: Sequence[str] = ("sample",)) ->
     )
     nearest = across.groupBy(*by, "x", "y").agg(F.min("_k").alias("_k"))
     empty = nearest.where(F.shiftright("_k", 40) > 0)
+    origin = [F.col(c) if c in canvas.columns else F.lit(0) for c in ("x0", "y0")]
+    edges = canvas.select(*by, origin[0].alias("_x0"), origin[1].alias("_y0"), F.col("width").alias("_w"), F.col("height").alias("_h"))
+    empty = attach(empty, edges, by, "inner", spread=["x", "y"])
+    empty = empty.where("x >= _x0 AND x < _x0 + _w AND y >= _y0 AND y < _y0 + _h")
     return empty.select(*by, "x", "y", F.col("_k").bitwiseAND(F.lit((1 << 40) - 1)).cast("int").alias("label"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import revcomp
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 # Texts are cut into pieces of this length before k-mers are taken, because a
 # substring of a long string costs the length of the string.
@@ -27,7 +27,7 @@ def kmers(
     s = F.col(seq)
     starts = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE)))
     explode = F.explode_outer if keep_short else F.explode
-    piece = spread_small(df).select(
+    piece = spread(df, *keys).select(
         *keys, explode(F.transform(starts, lambda at: F.substr(s, at, F.lit(PIECE + k - 1)))).alias("_piece")
     ).withColumn("_back", revcomp(F.col("_piece")))
     size = F.length("_piece")
@@ -71,17 +71,21 @@ def match_reads(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | No
     after it, in the joining task first. K-mers of one read hardly repeat, so
     counting them before the join would only add a shuffle; a k-mer shared by
     many reads is split by the adaptive skew rule, which may cut the left side
-    of a left join. Reads without k-mers keep a row of zeros.
+    of a left join. Only k-mers go to the join; reads without any get their row
+    of zeros from the list of reads afterwards.
     """
     keys = keys or ["sample", "read_id"]
-    met = kmers(reads, keys, k, "seq", alphabet, keep_short=True).join(index, "kmer", "left")
+    met = kmers(reads, keys, k, "seq", alphabet).join(index, "kmer", "left")
     host, graft = F.coalesce("in_host", F.lit(False)), F.coalesce("in_graft", F.lit(False))
-    return met.groupBy(*keys).agg(
+    hits = met.groupBy(*keys).agg(
         F.count_if(graft & ~host).alias("n_graft"),
         F.count_if(host & ~graft).alias("n_host"),
         F.count_if(host & graft).alias("n_both"),
-        F.count_if(F.col("kmer").isNotNull() & ~host & ~graft).alias("n_missing"),
+        F.count_if(~host & ~graft).alias("n_missing"),
     )
+    zeros = reads.select(*keys, *[F.lit(0).cast("long").alias(n) for n in hits.columns if n not in keys]).distinct()
+    names = [n for n in hits.columns if n not in keys]
+    return hits.unionByName(zeros).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
 def read_class(matches: DataFrame) -> DataFrame:

@@ -230,7 +230,9 @@ def normalise_stain(
 
     Colours are shifted, the representative patch of each slide gives its stain
     rows and maxima, and every pixel's stain amounts are rescaled to the
-    reference's maxima and mixed with the reference's stain rows.
+    reference's maxima and mixed with the reference's stain rows. The job fails
+    if ``reference`` is not exactly one image with stain, or if a slide has no
+    patch with enough tissue: no slide is left out silently.
     """
     ref = color_shift(reference)
     ref_colours = colour_counts(ref, ["sample"])
@@ -246,8 +248,16 @@ def normalise_stain(
     stains = stain_of_colours(colours, keys).where(F.col("h_r").isNotNull())
     maxima = max_concentration(colours, stains, keys, lam)
     source = representative_patch(stains.join(maxima, keys)).drop("pi", "pj")
-    # The reference is one image, hence one row; its size is fixed.
-    source = source.join(F.broadcast(target.limit(1)))
+    # One image, hence one row; more or none is an error in that row.
+    single = F.col("_n") == 1
+    target = target.agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in target.columns])
+    wrong = F.raise_error(F.lit("the reference must be exactly one image with two stains")).cast("double")
+    target = target.select(*[F.when(single, F.col(c)).otherwise(wrong).alias(c) for c in target.columns if c != "_n"])
+    slides = shifted.select("sample").distinct().join(source, "sample", "left")
+    poor = F.raise_error(F.concat(F.lit("no patch with enough tissue in slide "), F.col("sample").cast("string"))).cast("double")
+    names = [*STAIN, "max_c1", "max_c2"]
+    slides = slides.withColumns({c: F.when(F.col("h_r").isNotNull(), F.col(c)).otherwise(poor) for c in names if c != "h_r"})
+    source = slides.join(F.broadcast(target))
     mixed = concentrations(attach(shifted, source, ["sample"], "inner", spread=["x", "y"]), lam)
     # A stain the slide lacks stays absent.
     c1, c2 = (
@@ -337,7 +347,10 @@ def cells_od(
     used = blocks.join(busy, keys, "left_semi")
     stains = with_default_stain(stain_matrix(used, keys))
     he = he_channels(used, stains, keys).select(*keys, "x", "y", "h", "e")
-    rings = expand_labels(cut, distance, by=keys)
+    frames = busy.withColumns({
+        "x0": F.col("pj") * block, "y0": F.col("pi") * block, "width": F.lit(block), "height": F.lit(block)
+    })
+    rings = expand_labels(cut, distance, frames, by=keys)
     parts = cut.select(*keys, "x", "y", "label", F.lit("nuc").alias("part")).unionByName(
         rings.select(*keys, "x", "y", "label", F.lit("cy").alias("part"))
     )
@@ -345,7 +358,7 @@ def cells_od(
     merged = merge_fragments(measured)
     centres = nuclei.select(
         "sample",
-        (F.col("ids").cast("int") + 1).alias("label"),
+        (F.col("ids").cast("long") + 1).alias("label"),
         "ids",
         F.col("centroid_x").alias("x"),
         F.col("centroid_y").alias("y"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,22 +15,30 @@ from tissueframe.operators.stain import MEASURES
 from tissueframe.plans.lineage import store
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.plans.skew import attach
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 # Id step between patches, and the level cells are scaled to.
 PATCH_STEP = 10000
 MEDIAN_LEVEL = 0.18
 
 
-def superpixel_id(patch: Column, local: Column) -> Column:
-    """Slide-wide id of a patch's superpixel."""
-    return (patch * PATCH_STEP + local).cast("int")
+def patch_step(s: int, pixels_per_segment: int) -> int:
+    """Step between the ids of two patches: the usual one, or the next power of ten that a patch's segments need."""
+    side = max(1, round(pixels_per_segment**0.5))
+    step = PATCH_STEP
+    while step < math.ceil(s / side) ** 2:
+        step *= 10
+    return step
+
+
+def superpixel_id(patch: Column, local: Column, step: int = PATCH_STEP) -> Column:
+    """Slide-wide id of a patch's superpixel; ``local`` must stay below ``step``."""
+    return (patch.cast("long") * step + local).cast("long")
 
 
-def superpixel_patch(uspx: Column, compat: bool = False) -> Column:
+def superpixel_patch(uspx: Column, compat: bool = False, step: int = PATCH_STEP) -> Column:
     """Patch of a superpixel id. ``compat`` divides by 1000 as the reference does."""
-    step = 1000 if compat else PATCH_STEP
-    return F.floor(uspx / step).cast("int")
+    return F.floor(uspx / (1000 if compat else step)).cast("int")
 
 
 def superpixel_sizes(labels: DataFrame) -> DataFrame:
@@ -65,15 +74,15 @@ def median_normalise(
 
 
 def od_per_cell(
-    cells: DataFrame, labels: DataFrame, factor: int = 4, compat: bool = False, by: Sequence[str] = ("sample",)
+    cells: DataFrame, labels: DataFrame, factor: int = 4, compat: bool = False, by: Sequence[str] = ("sample",), step: int = PATCH_STEP
 ) -> DataFrame:
     """Per-cell density report: superpixel, its patch and size, scaled measures.
 
     The scaling is over the whole slide; pass ``by=("sample", "ipatch")`` for
-    patch-wise scaling.
+    patch-wise scaling. ``step`` is the id step the labels were made with.
     """
     placed = assign_superpixel(cells, labels, factor)
-    placed = placed.withColumn("ipatch", superpixel_patch(F.col("uspx"), compat))
+    placed = placed.withColumn("ipatch", superpixel_patch(F.col("uspx"), compat, step))
     scaled = median_normalise(placed, MEASURES, by)
     return attach_superpixel_size(scaled, labels, factor)
 
@@ -97,11 +106,13 @@ def superpixels(
     square lattice of about ``pixels_per_segment`` cells; a pixel only compares
     the nine seeds around its own lattice cell, which arrive as one array by an
     equality join, so no row is multiplied. ``meta`` has the slide's ``width``.
+    The number of ``rounds`` is the method's own parameter, as in the published
+    k-means form: labels are the nearest seeds after that many moves.
     """
     side = max(1, round(pixels_per_segment**0.5))
     keys = ["sample", "pi", "pj"]
     lab = rgb_to_lab(F.col("r"), F.col("g"), F.col("b"))
-    cut = patch_index(spread_small(pixels), s).withColumn("_lab", lab)
+    cut = patch_index(spread(pixels, "sample", "x", "y"), s).withColumn("_lab", lab)
     points = cut.select(
         *keys,
         "x",
@@ -151,4 +162,4 @@ def superpixels(
     final = labelled(seeds).select(*keys, "x", "y", local.alias("_local"))
     wide = attach(final, meta.select("sample", "width"), ["sample"], "inner", spread=["x", "y"])
     patch = F.col("pi") * (F.floor(F.col("width") / s) + 1) + F.col("pj")
-    return wide.select("sample", "x", "y", superpixel_id(patch, F.col("_local")).alias("label"))
+    return wide.select("sample", "x", "y", superpixel_id(patch, F.col("_local"), patch_step(s, pixels_per_segment)).alias("label"))

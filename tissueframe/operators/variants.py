@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import capital
-from tissueframe.plans.spread import spread_small
+from tissueframe.plans.spread import spread
 
 # CIGAR letters by what they advance.
 ALIGNED = ("M", "=", "X")
@@ -48,7 +48,7 @@ def pileup(alignments: DataFrame, min_mapq: int = 50, min_bq: int = 0) -> DataFr
     out. Bases are counted per task before the shuffle, so deep positions do not
     gather in one place.
     """
-    good = spread_small(alignments).where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
+    good = spread(alignments, "sample", "species", "read_id").where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
     segments = good.select("sample", "species", "chrom", "pos", "seq", "qual", F.explode(aligned_segments(F.col("cigar"))).alias("_s"))
     bases = segments.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_s.n") - 1)))
     at = F.col("_s.q") + F.col("_i") + 1
@@ -70,13 +70,14 @@ def pileup_with_ref(piles: DataFrame, contigs: DataFrame, size: int) -> DataFram
     """Reference base beside each pileup row.
 
     ``contigs`` are chunks of at most ``size`` letters (plus any overlap) whose
-    offsets are multiples of ``size``; positions are one based.
+    offsets are multiples of ``size``; positions are one based. Contigs are told
+    apart by species, as two genomes share names.
     """
     chunks = contigs.select(
-        F.col("name").alias("chrom"), F.floor(F.col("offset") / size).alias("_chunk"), F.col("offset"), F.col("seq").alias("_ref")
+        "species", F.col("name").alias("chrom"), F.floor(F.col("offset") / size).alias("_chunk"), F.col("offset"), F.col("seq").alias("_ref")
     )
     keyed = piles.withColumn("_chunk", F.floor((F.col("pos") - 1) / size))
-    met = keyed.join(chunks, ["chrom", "_chunk"], "left")
+    met = keyed.join(chunks, ["species", "chrom", "_chunk"], "left")
     base = capital(F.substr(F.col("_ref"), (F.col("pos") - F.col("offset")).cast("int"), F.lit(1)))
     return met.withColumn("ref", base).drop("_chunk", "offset", "_ref")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.plans.lineage import store
+from tissueframe.plans.lineage import drop_stored, store
 from tissueframe.plans.skew import attach
 
 
@@ -43,7 +43,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id") -
         # Roots point to themselves and are not looked up.
         nearest = F.least("component", F.coalesce("jump", "component"))
         fresh = store(jumped.select("id", "old", nearest.alias("component")), "components")
-        moved = fresh.where(F.col("old") != F.col("component")).limit(1).count()
+        drop_stored(labels)
         labels = fresh.select("id", "component")
-        if moved == 0:
+        labels._stored_at = fresh._stored_at
+        if fresh.where(F.col("old") != F.col("component")).isEmpty():
             return labels

@@ -1,12 +1,15 @@
-"""Lineage cuts and shared scratch space that survive the loss of executors."""
+"""Tables between two jobs, in storage that survives the loss of executors."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_folders: dict[str, SparkSession] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
@@ -28,24 +31,51 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table written between two jobs."""
-    return f"{shared_dir(spark).rstrip('/')}/tissueframe/{name}-{uuid.uuid4().hex}"
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear(spark: SparkSession | None = None) -> None:
+    """Delete what sessions (or the given one) stored; also done when Python ends.
+
+    Frames built on stored tables can no longer be read afterwards.
+    """
+    for folder, owner in list(_folders.items()):
+        if spark is None or owner is spark:
+            try:
+                _delete(owner, folder)
+            except Exception:  # the session has ended before; its folder stays
+                pass
+            del _folders[folder]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage and forget how it was computed."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+atexit.register(clear)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table written between two jobs, below a folder of this application."""
+    folder = f"{shared_dir(spark).rstrip('/')}/tissueframe/{spark.sparkContext.applicationId}"
+    _folders[folder] = spark
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Unlike :func:`cut` the result keeps size statistics and column pruning.
+    Unlike a checkpoint the result keeps size statistics and column pruning.
+    Stored tables stay until :func:`drop_stored` or :func:`clear`.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete the table behind a frame of :func:`store`, once nothing reads it any more."""
+    path = getattr(df, "_stored_at", None)
+    if path:
+        _delete(df.sparkSession, path)

@@ -11,7 +11,6 @@ from tissueframe.plans.skew import attach
 
 # Relative rank error of the sketch is 1 / SKETCH; the bracket keeps three times
 # that on both sides, so about 6 / SKETCH of a group's rows reach the exact step.
-# Groups of at most SKETCH rows are ordered as they are.
 SKETCH = 20_000
 
 
@@ -46,16 +45,17 @@ def exact_quantiles(
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
-    small = F.col("_n") <= sketch
+    # Below this many rows the sketch's margin is less than one rank, and the bracket is the whole range.
+    narrow = F.col("_n") * margin < 3
     wanted = F.array(
         *[
             F.struct(
                 F.lit(i).alias("q"),
                 (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-                F.when(small | F.lit(edges[2 * i] == 0.0), F.col("_min"))
+                F.when(narrow | F.lit(edges[2 * i] == 0.0), F.col("_min"))
                 .otherwise(F.col("_edges")[2 * i])
                 .alias("low"),
-                F.when(small | F.lit(edges[2 * i + 1] == 1.0), F.col("_max"))
+                F.when(narrow | F.lit(edges[2 * i + 1] == 1.0), F.col("_max"))
                 .otherwise(F.col("_edges")[2 * i + 1])
                 .alias("high"),
             )
@@ -98,6 +98,9 @@ def exact_quantiles(
     point = F.when(
         part > 0, (1 - part) * F.col("lo") + part * F.col("hi")
     ).otherwise(F.col("lo"))
+    # The bracket holds the rank, or the job fails.
+    missed = F.raise_error(F.lit("a quantile lies outside the sketch's bracket")).cast("double")
+    point = F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed).otherwise(point)
     result = (
         ends.withColumn("_p", point)
         .groupBy(*key)
@@ -109,10 +112,3 @@ def exact_quantiles(
         )
     )
     return result if by else result.drop("_all")
-
-
-def bounded_quantile(value, p: float, weight=None):
-    """Exact quantile for groups with a proven small number of distinct values."""
-    if weight is None:
-        return F.expr("percentile({v}, {p})".format(v=value, p=p))
-    return F.expr("percentile({v}, {p}, {w})".format(v=value, p=p, w=weight))

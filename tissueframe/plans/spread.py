@@ -1,23 +1,16 @@
-"""Dealing small inputs over all cores before they are blown up."""
+"""Dealing rows over the cluster before each of them is multiplied."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Input that a task should at least have before rows are multiplied.
-TASK_BYTES = 8 << 20
 
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Repartition ``df`` when its size is known to be too small to fill the cores.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` hash partitioned by ``keys``, which should tell its rows apart.
 
     One row of a text or a contour becomes thousands of rows, yet a file of a few
-    megabytes is read by one task. The planner's size estimate decides: below
-    ``TASK_BYTES`` per core the shuffle is cheap and worth it, above it the scan
-    has enough partitions and nothing is added. Streams are left alone.
+    megabytes is read by one task. Shuffling the rows while they are few costs
+    little against what they become; adaptive execution merges partitions that
+    turn out small.
     """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * TASK_BYTES else df
+    return df.repartition(*keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -236,6 +236,32 @@ def read_fasta(
     return raw.select(species.alias("species"), "name", "offset", F.translate("seq", "acgtn", "ACGTN").alias("seq"))
 
 
+def read_gtf(spark: SparkSession, path: str) -> DataFrame:
+    """Exon and intron intervals ``species, chrom, start, end, kind, gene_id, strand`` of GTF text.
+
+    Intervals are half open on one-based positions, as alignments count them.
+    Introns are the gaps between consecutive exons of a transcript; an interval
+    that several transcripts of a gene share comes once. Species is in the path.
+    """
+    lines = spark.read.text(path).where(~F.col("value").startswith("#"))
+    field = F.split("value", "\t")
+
+    def attribute(name):
+        return F.nullif(F.regexp_extract("value", rf'{name} "([^"]+)"', 1), F.lit(""))
+
+    exons = lines.where(field[2] == "exon").select(
+        species_of_path(F.col("_metadata.file_path")).alias("species"), field[0].alias("chrom"), field[3].cast("long").alias("start"),
+        (field[4].cast("long") + 1).alias("end"), attribute("gene_id").alias("gene_id"), field[6].alias("strand"),
+        attribute("transcript_id").alias("_transcript"),
+    )
+    # A transcript has few exons, so its window is small.
+    after = Window.partitionBy("species", "chrom", "strand", "gene_id", "_transcript").orderBy("start", "end")
+    gaps = exons.withColumn("_next", F.lead("start").over(after)).where(F.col("_next") > F.col("end"))
+    names = ["species", "chrom", "start", "end", "kind", "gene_id", "strand"]
+    introns = gaps.withColumns({"start": F.col("end"), "end": F.col("_next"), "kind": F.lit("intron")}).select(*names)
+    return exons.withColumn("kind", F.lit("exon")).select(*names).unionByName(introns).distinct()
+
+
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignments of SAM text with cell, molecule and gene tags; ``*`` is NULL."""
     lines = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != ""))

@@ -195,3 +195,22 @@ def _(d):
     path = scratch_path(d.spark, "run")
     tables.export_run(d.spark, {"target_mpp": 0.25, "grid_type": "hex"}, d.slides, path)
     return d.spark.read.schema("sample STRING, x INT").json(f"{path}/info")
+
+
+@query("file_gtf", """WITH exons AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'mouse' ELSE 'human' END AS species, concat('chr', p_partkey % 7) AS chrom,
+        concat('G', p_partkey) AS gene_id, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand, 10 * p_partkey + k * (p_size + 4) AS lo, 10 * p_partkey + k * (p_size + 4) + 5 AS hi, k
+      FROM part, (VALUES (0), (1), (2)) v(k) WHERE k <= p_size % 3)
+    SELECT species, chrom, lo AS start, hi AS "end", 'exon' AS kind, gene_id, strand FROM exons
+    UNION ALL SELECT a.species, a.chrom, a.hi, b.lo, 'intron', a.gene_id, a.strand FROM exons a JOIN exons b ON a.gene_id = b.gene_id AND b.k = a.k + 1 AND b.lo > a.hi""")
+def _(d):
+    # Transcript T repeats the first exon of the gene's main transcript.
+    path = scratch_path(d.spark, "gtf")
+    start = F.expr("10 * p_partkey + k * (p_size + 4)")
+    exon = d.part.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("p_size") % 3)))
+    twice = exon.withColumn("t", F.explode(F.when(F.col("k") == 0, F.array(F.lit("M"), F.lit("T"))).otherwise(F.array(F.lit("M")))))
+    strand = F.when(F.col("p_partkey") % 2 == 0, "+").otherwise("-")
+    note = F.format_string('gene_id "G%s"; transcript_id "%s%s";', F.col("p_partkey").cast("string"), F.col("t"), F.col("p_partkey").cast("string"))
+    line = F.concat_ws("\t", F.concat(F.lit("chr"), (F.col("p_partkey") % 7).cast("string")), F.lit("x"), F.lit("exon"), start.cast("string"), (start + 4).cast("string"), F.lit("."), strand, F.lit("."), note)
+    species = F.when(F.col("p_size") % 2 == 0, "mouse").otherwise("human")
+    twice.select(species.alias("species"), line.alias("value")).write.partitionBy("species").text(path)
+    return sequences.read_gtf(d.spark, path)

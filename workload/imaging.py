@@ -312,10 +312,10 @@ def _(d):
     SELECT dx, dy FROM range(-3, 4) a(dx), range(-3, 4) b(dy) WHERE dx * dx + dy * dy <= 9),
     near AS (SELECT sample, x + dx AS x, y + dy AS y, dx * dx + dy * dy AS d2, label FROM raster, steps WHERE label > 0)
     SELECT n.sample, CAST(n.x AS INT) AS x, CAST(n.y AS INT) AS y, arg_min(n.label, n.d2 * 1000000 + n.label) AS label
-    FROM near n WHERE NOT EXISTS (SELECT 1 FROM raster r WHERE r.sample = n.sample AND r.x = n.x AND r.y = n.y AND r.label > 0)
+    FROM near n WHERE n.x BETWEEN 0 AND 99 AND n.y BETWEEN 0 AND 99 AND NOT EXISTS (SELECT 1 FROM raster r WHERE r.sample = n.sample AND r.x = n.x AND r.y = n.y AND r.label > 0)
     GROUP BY 1, 2, 3"""))
 def _(d):
-    return raster.expand_labels(d.raster.where("label > 0"), 3)
+    return raster.expand_labels(d.raster.where("label > 0"), 3, d.thumbs)
 
 
 @query("focus", sql("pixels", """WITH grey AS (SELECT sample, x, y, r + g + b AS v FROM pixels),

@@ -25,7 +25,8 @@ def query(name: str, check: str | None = None):
 
 # ----------------------------------------------------------------------- reads
 
-K = 5
+# The k of the k-mer index; passages of that many letters occur in the reads.
+K = 25
 
 
 def kmers_sql(source: str, keys: str) -> str:
@@ -151,8 +152,11 @@ def _(d):
 # Genes: one exon and one intron per part, on the documents' coordinates.
 INTERVALS_SQL = """intervals AS (SELECT concat('d', CAST(floor(p_partkey / 20) AS INT)) AS chrom, 5 * (p_partkey % 19) + k * (3 + p_size % 6) AS lo,
       5 * (p_partkey % 19) + (k + 1) * (3 + p_size % 6) AS hi, CASE k WHEN 0 THEN 'exon' ELSE 'intron' END AS kind, concat('G', p_partkey) AS gene
+        , CASE WHEN p_size % 3 = 0 THEN 'mouse' ELSE 'human' END AS species
     FROM part, (VALUES (0), (1)) v(k)),
-  overlap AS (SELECT a.sample, a.read_id, a.cb, a.ub, a.pos, i.kind, i.gene AS hit_gene FROM alignments a JOIN intervals i ON a.chrom = i.chrom AND a.pos >= lo AND a.pos < hi)"""
+  segs(cigar, r, n) AS (VALUES ('2M1D2M', 0, 2), ('2M1D2M', 3, 2), ('1S3M1I', 0, 3), ('2M3N3M', 0, 2), ('2M3N3M', 5, 3), ('5M', 0, 5)),
+  overlap AS (SELECT DISTINCT a.sample, a.read_id, a.cb, a.ub, a.pos, i.kind, i.gene AS hit_gene, lo, hi, a.cigar LIKE '%N%' AS junction
+    FROM alignments a JOIN segs USING (cigar) JOIN intervals i ON a.species = i.species AND a.chrom = i.chrom AND a.pos + r < hi AND lo < a.pos + r + n)"""
 
 
 def intervals(d):
@@ -160,6 +164,7 @@ def intervals(d):
     step = 3 + F.col("p_size") % 6
     start = 5 * (F.col("p_partkey") % 19)
     return wide.select(
+        F.when(F.col("p_size") % 3 == 0, "mouse").otherwise("human").alias("species"),
         F.concat(F.lit("d"), F.floor(F.col("p_partkey") / 20).cast("string")).alias("chrom"),
         (start + F.col("k") * step).alias("start"),
         (start + (F.col("k") + 1) * step).alias("end"),
@@ -168,10 +173,10 @@ def intervals(d):
     )
 
 
-@query("annotate_intervals", sql("alignments", f"WITH {INTERVALS_SQL} SELECT sample, read_id, ub, pos, kind, hit_gene FROM overlap"))
+@query("annotate_intervals", sql("alignments", f"WITH {INTERVALS_SQL} SELECT sample, read_id, ub, pos, kind, hit_gene, junction FROM overlap"))
 def _(d):
     found = counts.annotate_intervals(d.alignments, intervals(d), size=32)
-    return found.select("sample", "read_id", "ub", "pos", "kind", "hit_gene")
+    return found.select("sample", "read_id", "ub", "pos", "kind", "hit_gene", "junction")
 
 
 @query("splice_counts", sql("alignments", f"""WITH {INTERVALS_SQL},
@@ -186,10 +191,12 @@ def _(d):
 # -------------------------------------------------------------------- variants
 
 PILE_SQL = """steps(cigar, q, r) AS (VALUES ('2M1D2M', 0, 0), ('2M1D2M', 1, 1), ('2M1D2M', 2, 3), ('2M1D2M', 3, 4),
-      ('1S3M1I', 1, 0), ('1S3M1I', 2, 1), ('1S3M1I', 3, 2), ('5M', 0, 0), ('5M', 1, 1), ('5M', 2, 2), ('5M', 3, 3), ('5M', 4, 4)),
+      ('1S3M1I', 1, 0), ('1S3M1I', 2, 1), ('1S3M1I', 3, 2),
+      ('2M3N3M', 0, 0), ('2M3N3M', 1, 1), ('2M3N3M', 2, 5), ('2M3N3M', 3, 6), ('2M3N3M', 4, 7), ('5M', 0, 0), ('5M', 1, 1), ('5M', 2, 2), ('5M', 3, 3), ('5M', 4, 4)),
   pile AS (SELECT sample, species, chrom, pos + r AS pos, translate(substr(seq, q + 1, 1), 'acgtn', 'ACGTN') AS base, count(*) AS n
     FROM alignments JOIN steps USING (cigar) WHERE mapq >= 10 AND ascii(substr(qual, q + 1, 1)) - 33 >= 21 GROUP BY 1, 2, 3, 4, 5),
-  withref AS (SELECT p.*, translate(nullif(substr(text, CAST(pos AS INT), 1), ''), 'acgtn', 'ACGTN') AS ref FROM pile p LEFT JOIN documents d ON p.chrom = concat('d', doc_id))"""
+  withref AS (SELECT p.*, translate(nullif(substr(text, CAST(pos AS INT), 1), ''), 'acgtn', 'ACGTN') AS ref FROM pile p LEFT JOIN (SELECT 'human' AS genome, doc_id, text FROM documents UNION ALL SELECT 'mouse', doc_id, reverse(text) FROM documents) d
+      ON p.chrom = concat('d', doc_id) AND p.species = genome)"""
 
 
 def piles(d):
@@ -226,7 +233,7 @@ def _(d):
     return rounded(variants.snv_baf(referenced(d), min_cov=8, min_alt=4, min_maf=0.3), "maf")
 
 
-@query("contig_sizes", "SELECT 'human' AS species, concat('d', doc_id) AS name, max(length(text)) AS length FROM documents GROUP BY 2")
+@query("contig_sizes", "SELECT species, concat('d', doc_id) AS name, max(length(text)) AS length FROM documents, (VALUES ('human'), ('mouse')) v(species) GROUP BY 1, 2")
 def _(d):
     # Chunks of 500 letters, as the sequence reader gives them.
     at = F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(500)))

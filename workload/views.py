@@ -68,7 +68,7 @@ VIEWS = {
         FROM {lineitem}
         GROUP BY l_linenumber % 3, CASE WHEN l_returnflag = 'A' THEN 'mouse' ELSE 'human' END,
                  l_suppkey, l_returnflag, l_partkey""",
-    # Alignments with three CIGAR shapes; documents serve as contigs.
+    # Alignments with four CIGAR shapes; documents serve as contigs of two genomes.
     "alignments": """
         SELECT concat('A', l_linenumber % 2) AS sample,
                CASE WHEN l_linestatus = 'F' THEN 'mouse' ELSE 'human' END AS species,
@@ -76,14 +76,14 @@ VIEWS = {
                concat('d', l_suppkey) AS chrom,
                CAST(1 + l_partkey % 100 AS BIGINT) AS pos,
                CAST(l_quantity AS INT) AS mapq,
-               CASE l_linenumber % 3 WHEN 0 THEN '2M1D2M' WHEN 1 THEN '1S3M1I' ELSE '5M' END AS cigar,
+               CASE l_linenumber % 4 WHEN 0 THEN '2M1D2M' WHEN 1 THEN '1S3M1I' WHEN 2 THEN '2M3N3M' ELSE '5M' END AS cigar,
                concat(l_returnflag, l_linestatus, 'ACG') AS seq,
                CASE WHEN l_tax < CAST('0.03' AS DOUBLE) THEN 'I5I5I' ELSE 'IIIII' END AS qual,
                concat('B', l_suppkey) AS cb,
                concat('U', l_orderkey) AS ub,
                concat('G', l_partkey) AS gene_id
         FROM {lineitem}""",
-    # Two mates per read pair, whole texts; even and odd passages as two genomes.
+    # Two mates per read pair, whole texts; passages as two genomes that share some.
     "reads": """
         SELECT concat('L', CAST(floor(doc_id / 2) AS BIGINT) % 4) AS sample,
                concat('r', CAST(floor(doc_id / 2) AS BIGINT)) AS read_id,
@@ -91,9 +91,12 @@ VIEWS = {
                text AS seq
         FROM {documents}""",
     "genomes": """
-        SELECT CASE WHEN item_id % 2 = 0 THEN 'host' ELSE 'graft' END AS species,
+        SELECT CASE WHEN item_id % 5 IN (0, 2) THEN 'host' ELSE 'graft' END AS species,
                concat('c', item_id) AS name, text AS seq
-        FROM {benchmark}""",
+        FROM {benchmark}
+        UNION ALL
+        SELECT 'host' AS species, concat('b', item_id) AS name, text AS seq
+        FROM {benchmark} WHERE item_id % 5 = 4""",
     # Feature vectors of tiles.
     "vectors": """
         SELECT concat('E', label % 2) AS sample, vec_id AS tile, label, embedding AS features
@@ -143,10 +146,12 @@ class Data:
     def contigs(self) -> DataFrame:
         from pyspark.sql import functions as F
 
-        return self.documents.select(
-            F.lit("human").alias("species"), F.concat(F.lit("d"), "doc_id").alias("name"),
-            F.lit(0).cast("long").alias("offset"), F.col("text").alias("seq"),
-        )
+        both = F.explode(F.array(
+            F.struct(F.lit("human").alias("species"), F.col("text").alias("seq")),
+            F.struct(F.lit("mouse").alias("species"), F.reverse("text").alias("seq")),
+        ))
+        named = self.documents.select(F.concat(F.lit("d"), "doc_id").alias("name"), F.lit(0).cast("long").alias("offset"), both.alias("_c"))
+        return named.select("_c.species", "name", "offset", "_c.seq")
 
 
 def sql(views: str, body: str) -> str:
