@@ -92,11 +92,29 @@ def test_matrix_market_folder(spark, tmp_path):
 def test_written_matrix_is_a_valid_file(spark, tmp_path):
     counts = spark.createDataFrame([("s", "b", "g2", 4), ("s", "a", "g1", 1), ("s", "b", "g1", 2)], "sample string, barcode string, gene_id string, count int")
     mtx.write_mtx(counts, str(tmp_path / "out"))
-    parts = sorted((tmp_path / "out" / "matrix.mtx.gz" / "sample=s").glob("part-*.gz"))
+    parts = sorted((tmp_path / "out" / "matrix.mtx.gz" / "sample=s" / "species=none").glob("part-*.gz"))
     text = b"".join(gzip.decompress(p.read_bytes()) for p in parts).decode().splitlines()
     assert text == [mtx.HEADER, "2 2 3", "1 1 1", "1 2 2", "2 2 4"]
 
 
+def test_matrix_keeps_names_and_empty_rows(spark, tmp_path):
+    counts = spark.createDataFrame([("s", "human", "b1", "g1", 4), ("s", "mouse", "b1", "g1", 5)], "sample string, species string, barcode string, gene_id string, count int")
+    genes = spark.createDataFrame([("s", "human", f"g{i:03}", f"name {i}", "T") for i in range(300)], "sample string, species string, gene_id string, gene_name string, gene_type string")
+    barcodes = spark.createDataFrame([("s", "human", "b0")], "sample string, species string, barcode string")
+    root = str(tmp_path / "out")
+    mtx.write_mtx(counts, root, genes, barcodes)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        found = sorted((r.species, r.barcode, r.gene_id, r["count"]) for r in mtx.read_mtx(spark, root, written=True).collect())
+        assert found == [("human", "b1", "g1", 4), ("mouse", "b1", "g1", 5)]
+        back = {(r.species, r.gene_id): (r.gene_name, r.gene_type, r.ordinal) for r in mtx.read_mtx_genes(spark, root, written=True).collect()}
+        assert len(back) == 302 and back["human", "g007"] == ("name 7", "T", 8) and back["mouse", "g1"] == ("g1", mtx.GENE_TYPE, 1)
+        assert [(r.ordinal, r.barcode) for r in mtx.read_mtx_barcodes(spark, root, written=True).where("species = 'human'").orderBy("ordinal").collect()] == [(1, "b0"), (2, "b1")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def png(path, rows):
     raw = b"".join(b"\0" + bytes(v for p in row for v in p) for row in rows)
     def chunk(kind, data):

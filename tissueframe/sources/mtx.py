@@ -2,83 +2,129 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tissueframe.functions.scalar import sample_of_path
 from tissueframe.operators.matrix import assign_ordinals
 
 HEADER = "%%MatrixMarket matrix coordinate integer general"
+GENE_TYPE = "Gene Expression"
 
+# A matrix is known by sample and, where two genomes are counted, species.
+KEYS = ["sample", "species"]
+_NO_SPECIES = "none"
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, sample and reading order."""
-    return spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        sample_of_path(F.col("_metadata.file_path")).alias("sample"),
-        F.monotonically_increasing_id().alias("line"),
-    )
+
+def _key(path: Column) -> list[Column]:
+    species = F.regexp_extract(path, "species=([^/]+)", 1)
+    return [sample_of_path(path).alias("sample"), F.coalesce(F.nullif(species, F.lit("")), F.lit(_NO_SPECIES)).alias("species")]
+
+
+def _dimension(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of dimension tables with their one-based number; a table is one file and is read as one row."""
+    files = spark.read.text(path, wholetext=True).select(*_key(F.col("_metadata.file_path")), "value")
+    lines = files.select(*KEYS, F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\r\n")), "\r?\n")).alias("_at", "value"))
+    return lines.where("value <> ''").select(*KEYS, (F.col("_at") + 1).cast("long").alias("ordinal"), "value")
 
 
-def _ordered(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one-file dimension tables with their one-based number."""
-    lines = _lines(spark, path)
-    first = lines.groupBy("file").agg(F.min("line").alias("first"))
-    return lines.join(first, "file").select(
-        "sample", "value", (F.col("line") - F.col("first") + 1).alias("ordinal")
+def _genes(spark: SparkSession, path: str) -> DataFrame:
+    part = F.split("value", "\t")
+    return _dimension(spark, path).select(
+        *KEYS, "ordinal", part[0].alias("gene_id"), F.get(part, F.lit(1)).alias("gene_name"), F.get(part, F.lit(2)).alias("gene_type")
     )
 
 
-def read_mtx(spark: SparkSession, root: str) -> DataFrame:
-    """Long counts ``sample, barcode, gene_id, gene_name, count`` of all matrices below ``root``.
+def _barcodes(spark: SparkSession, path: str) -> DataFrame:
+    return _dimension(spark, path).select(*KEYS, "ordinal", F.col("value").alias("barcode"))
 
-    Each matrix is a folder with ``matrix.mtx*``, ``features.tsv*`` and
-    ``barcodes.tsv*``; the folder (or ``sample=`` part of the path) names the
-    sample. The size line is the first plain line after the header of a file;
-    parts of a matrix written in several files carry it in the first part only.
-    """
-    base = root.rstrip("/")
-    lines = _lines(spark, f"{base}/*/matrix.mtx*")
+
+def _entries(spark: SparkSession, path: str) -> DataFrame:
+    """Coordinates and counts. The size line is the first plain line of a file with a header."""
+    where = F.col("_metadata.file_path")
+    lines = spark.read.text(path).select(
+        "value", where.alias("file"), F.col("_metadata.file_block_start").alias("block"), *_key(where),
+        F.monotonically_increasing_id().alias("line"),
+    )
     heads = lines.where(F.col("value").startswith("%%")).select("file").distinct()
     plain = lines.where(~F.col("value").startswith("%") & (F.col("value") != ""))
-    sizes = (
-        plain.where("block = 0").join(heads, "file").groupBy("file").agg(F.min("line").alias("line")).select("line")
-    )
-    entries = plain.join(sizes, "line", "left_anti")
+    sizes = plain.where("block = 0").join(heads, "file").groupBy("file").agg(F.min("line").alias("line")).select("line")
     field = F.split(F.trim("value"), r"\s+")
-    triples = entries.select(
-        "sample", field[0].cast("long").alias("g"), field[1].cast("long").alias("c"), field[2].cast("int").alias("count")
-    )
-    part = F.split("value", "\t")
-    genes = _ordered(spark, f"{base}/*/features.tsv*").select(
-        "sample", F.col("ordinal").alias("g"), part[0].alias("gene_id"), F.get(part, F.lit(1)).alias("gene_name")
-    )
-    barcodes = _ordered(spark, f"{base}/*/barcodes.tsv*").select("sample", F.col("ordinal").alias("c"), F.col("value").alias("barcode"))
-    return triples.join(genes, ["sample", "g"]).join(barcodes, ["sample", "c"]).select(
-        "sample", "barcode", "gene_id", "gene_name", "count"
+    return plain.join(sizes, "line", "left_anti").select(
+        *KEYS, field[0].cast("long").alias("g"), field[1].cast("long").alias("c"), field[2].cast("int").alias("count")
     )
 
 
-def write_mtx(counts: DataFrame, root: str) -> None:
-    """Write ``sample, barcode, gene_id, count`` as one matrix folder per sample.
+def _paths(root: str, written: bool) -> tuple[str, str, str]:
+    base = root.rstrip("/")
+    if written:
+        return tuple(f"{base}/{n}.gz/*/*/*" for n in ("matrix.mtx", "features.tsv", "barcodes.tsv"))
+    return tuple(f"{base}/*/{n}*" for n in ("matrix.mtx", "features.tsv", "barcodes.tsv"))
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("species", F.nullif("species", F.lit(_NO_SPECIES)))
+
+
+def read_mtx(spark: SparkSession, root: str, written: bool = False) -> DataFrame:
+    """Long counts ``sample, species, barcode, gene_id, gene_name, count`` of all matrices below ``root``.
+
+    Each matrix is a folder with ``matrix.mtx*``, ``features.tsv*`` and
+    ``barcodes.tsv*``; the folder (or ``sample=`` part of the path) names the
+    sample, a ``species=`` part the species. ``written`` reads what
+    :func:`write_mtx` wrote, where each table is a folder by sample and species.
+    """
+    matrix, genes, barcodes = _paths(root, written)
+    dims = _genes(spark, genes).withColumnRenamed("ordinal", "g"), _barcodes(spark, barcodes).withColumnRenamed("ordinal", "c")
+    met = _entries(spark, matrix).join(dims[0], [*KEYS, "g"]).join(dims[1], [*KEYS, "c"])
+    return _named(met.select(*KEYS, "barcode", "gene_id", "gene_name", "count"))
+
+
+def read_mtx_genes(spark: SparkSession, root: str, written: bool = False) -> DataFrame:
+    """All genes ``sample, species, ordinal, gene_id, gene_name, gene_type``, with counts or not."""
+    return _named(_genes(spark, _paths(root, written)[1]))
+
 
-    Ordinals follow key order. Gene and barcode tables are one file per matrix;
+def read_mtx_barcodes(spark: SparkSession, root: str, written: bool = False) -> DataFrame:
+    """All barcodes ``sample, species, ordinal, barcode``, with counts or not."""
+    return _named(_barcodes(spark, _paths(root, written)[2]))
+
+
+def write_mtx(counts: DataFrame, root: str, genes: DataFrame | None = None, barcodes: DataFrame | None = None) -> None:
+    """Write ``sample, species, barcode, gene_id, count`` as one matrix per sample and species.
+
+    ``species`` may be missing. ``genes`` (``sample, species, gene_id, gene_name,
+    gene_type``) and ``barcodes`` (``sample, species, barcode``) list dimension rows
+    that have no counts as well; ids without a row there are added, their name is
+    the id. Ordinals follow key order. Dimension tables are one file per matrix;
     the entries are range partitioned in matrix order, so a large matrix is
     several gzip parts whose concatenation is the matrix file. Header and size
     line come first.
     """
     base = root.rstrip("/")
-    genes = assign_ordinals(counts.select("sample", "gene_id").distinct(), ["sample"], ["gene_id"], "g")
-    barcodes = assign_ordinals(counts.select("sample", "barcode").distinct(), ["sample"], ["barcode"], "c")
-    _write_dimension(genes.select("sample", F.col("g").alias("n"), F.concat_ws("\t", "gene_id", "gene_id").alias("value")), f"{base}/features.tsv.gz")
-    _write_dimension(barcodes.select("sample", F.col("c").alias("n"), F.col("barcode").alias("value")), f"{base}/barcodes.tsv.gz")
-    entries = counts.join(genes, ["sample", "gene_id"]).join(barcodes, ["sample", "barcode"])
+
+    def keyed(df: DataFrame) -> DataFrame:
+        species = F.coalesce("species", F.lit(_NO_SPECIES)) if "species" in df.columns else F.lit(_NO_SPECIES)
+        return df.withColumn("species", species)
+
+    counts = keyed(counts)
+    gene_rows = counts.select(*KEYS, "gene_id", F.lit(None).cast("string").alias("gene_name"), F.lit(None).cast("string").alias("gene_type"))
+    if genes is not None:
+        gene_rows = gene_rows.unionByName(keyed(genes).select(*gene_rows.columns))
+    gene_rows = gene_rows.groupBy(*KEYS, "gene_id").agg(F.max("gene_name").alias("gene_name"), F.max("gene_type").alias("gene_type"))
+    barcode_rows = counts.select(*KEYS, "barcode")
+    if barcodes is not None:
+        barcode_rows = barcode_rows.unionByName(keyed(barcodes).select(*KEYS, "barcode"))
+    g = assign_ordinals(gene_rows, KEYS, ["gene_id"], "g")
+    c = assign_ordinals(barcode_rows.distinct(), KEYS, ["barcode"], "c")
+    text = F.concat_ws("\t", "gene_id", F.coalesce("gene_name", "gene_id"), F.coalesce("gene_type", F.lit(GENE_TYPE)))
+    _write_dimension(g.select(*KEYS, F.col("g").alias("n"), text.alias("value")), f"{base}/features.tsv.gz")
+    _write_dimension(c.select(*KEYS, F.col("c").alias("n"), F.col("barcode").alias("value")), f"{base}/barcodes.tsv.gz")
+    entries = counts.where("count <> 0").join(g, [*KEYS, "gene_id"]).join(c, [*KEYS, "barcode"])
     sizes = (
-        genes.groupBy("sample").agg(F.max("g").alias("ng"))
-        .join(barcodes.groupBy("sample").agg(F.max("c").alias("nc")), "sample")
-        .join(counts.groupBy("sample").agg(F.count("*").alias("nn")), "sample")
+        g.groupBy(*KEYS).agg(F.max("g").alias("ng"))
+        .join(c.groupBy(*KEYS).agg(F.max("c").alias("nc")), KEYS)
+        .join(counts.where("count <> 0").groupBy(*KEYS).agg(F.count("*").alias("nn")), KEYS, "left").na.fill(0, ["nn"])
     )
     head = F.explode(
         F.array(
@@ -86,32 +132,13 @@ def write_mtx(counts: DataFrame, root: str) -> None:
             F.struct(F.lit(0).cast("long").alias("g"), F.concat_ws(" ", "ng", "nc", "nn").alias("value")),
         )
     )
-    rows = entries.select("sample", "g", "c", F.concat_ws(" ", "g", "c", "count").alias("value")).unionByName(
-        sizes.select("sample", head.alias("_h")).select("sample", "_h.g", F.lit(0).cast("long").alias("c"), "_h.value")
+    rows = entries.select(*KEYS, "g", "c", F.concat_ws(" ", "g", "c", "count").alias("value")).unionByName(
+        sizes.select(*KEYS, head.alias("_h")).select(*KEYS, "_h.g", F.lit(0).cast("long").alias("c"), "_h.value")
     )
-    placed = rows.repartitionByRange("sample", "g", "c").sortWithinPartitions("sample", "g", "c")
-    placed.select("sample", "value").write.partitionBy("sample").mode("overwrite").option("compression", "gzip").text(f"{base}/matrix.mtx.gz")
+    placed = rows.repartitionByRange(*KEYS, "g", "c").sortWithinPartitions(*KEYS, "g", "c")
+    placed.select(*KEYS, "value").write.partitionBy(*KEYS).mode("overwrite").option("compression", "gzip").text(f"{base}/matrix.mtx.gz")
 
 
 def _write_dimension(rows: DataFrame, path: str) -> None:
-    placed = rows.repartition("sample").sortWithinPartitions("sample", "n")
-    placed.select("sample", "value").write.partitionBy("sample").mode("overwrite").option("compression", "gzip").text(path)
-
-
-def read_written_mtx(spark: SparkSession, root: str) -> DataFrame:
-    """Counts written by :func:`write_mtx`, where each table is a folder by sample."""
-    base = root.rstrip("/")
-    lines = _lines(spark, f"{base}/matrix.mtx.gz/*/*")
-    heads = lines.where(F.col("value").startswith("%%")).select("file").distinct()
-    plain = lines.where(~F.col("value").startswith("%"))
-    sizes = plain.join(heads, "file").groupBy("file").agg(F.min("line").alias("line")).select("line")
-    entries = plain.join(sizes, "line", "left_anti")
-    field = F.split("value", " ")
-    triples = entries.select(
-        "sample", field[0].cast("long").alias("g"), field[1].cast("long").alias("c"), field[2].cast("int").alias("count")
-    )
-    genes = _ordered(spark, f"{base}/features.tsv.gz/*/*").select(
-        "sample", F.col("ordinal").alias("g"), F.split("value", "\t")[0].alias("gene_id")
-    )
-    barcodes = _ordered(spark, f"{base}/barcodes.tsv.gz/*/*").select("sample", F.col("ordinal").alias("c"), F.col("value").alias("barcode"))
-    return triples.join(genes, ["sample", "g"]).join(barcodes, ["sample", "c"]).select("sample", "barcode", "gene_id", "count")
+    placed = rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "n")
+    placed.select(*KEYS, "value").write.partitionBy(*KEYS).mode("overwrite").option("compression", "gzip").text(path)

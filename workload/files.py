@@ -6,6 +6,8 @@ returns what the reader makes of them.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from tissueframe.operators import reads
@@ -81,12 +83,24 @@ def _(d):
     return tables.read_nuclei(d.spark, path).select("sample", "ids", "type")
 
 
-@query("file_mtx", sql("matrix", "SELECT sample, barcode, gene_id, CAST(sum(count) AS INT) AS count FROM matrix GROUP BY 1, 2, 3"))
+# Counts with gene names, and the genes and barcodes that have none.
+@query("file_mtx", sql("matrix", """SELECT sample, species, barcode, gene_id, concat('part ', gene_id) AS gene_name, 'Gene Expression' AS gene_type, count FROM matrix
+    UNION ALL SELECT DISTINCT sample, species, NULL, concat('none-', gene_id), 'spare', 'Antibody', 0 FROM matrix
+    UNION ALL SELECT DISTINCT sample, species, concat('empty-', barcode), NULL, NULL, NULL, 0 FROM matrix"""))
 def _(d):
     path = scratch_path(d.spark, "mtx")
-    counts = d.matrix.groupBy("sample", "barcode", "gene_id").agg(F.sum("count").cast("int").alias("count"))
-    mtx.write_mtx(counts, path)
-    return mtx.read_written_mtx(d.spark, path)
+    key = ["sample", "species"]
+    own = d.matrix.select(*key, "gene_id").distinct()
+    genes = own.select(*key, "gene_id", F.concat(F.lit("part "), "gene_id").alias("gene_name"), F.lit("Gene Expression").alias("gene_type"))
+    spare = own.select(*key, F.concat(F.lit("none-"), "gene_id").alias("gene_id"), F.lit("spare").alias("gene_name"), F.lit("Antibody").alias("gene_type"))
+    empty = d.matrix.select(*key, F.concat(F.lit("empty-"), "barcode").alias("barcode")).distinct()
+    mtx.write_mtx(d.matrix, path, genes.unionByName(spare), empty)
+    found = mtx.read_mtx(d.spark, path, written=True)
+    kinds = mtx.read_mtx_genes(d.spark, path, written=True).drop("ordinal")
+    full = found.drop("gene_name").join(kinds, [*key, "gene_id"], "full").withColumn("count", F.coalesce("count", F.lit(0)))
+    listed = mtx.read_mtx_barcodes(d.spark, path, written=True).select(*key, "barcode")
+    unseen = listed.join(found.select(*key, "barcode").distinct(), [*key, "barcode"], "left_anti")
+    return full.unionByName(unseen.withColumn("count", F.lit(0)), allowMissingColumns=True)
 
 
 def fastq_rows(d):
@@ -190,11 +204,28 @@ def _(d):
     return rounded(back.select("sample", "ids", "area"), "area", digits=4)
 
 
-@query("file_run", sql("slides", "SELECT sample, x FROM slides"))
+@query("file_run", sql("slides", "SELECT sample, x, '0.25' AS target_mpp, 'hex' AS grid_type FROM slides"))
 def _(d):
     path = scratch_path(d.spark, "run")
     tables.export_run(d.spark, {"target_mpp": 0.25, "grid_type": "hex"}, d.slides, path)
-    return d.spark.read.schema("sample STRING, x INT").json(f"{path}/info")
+    params = d.spark.read.schema("target_mpp STRING, grid_type STRING").json(f"{path}/parameters")
+    return d.spark.read.schema("sample STRING, x INT").json(f"{path}/info").crossJoin(params)
+
+
+@query("file_reads_by_class", sql("reads", f"""WITH {SPLIT_SQL} SELECT sample, mate, read_id, regexp_replace(seq, '[\\r\\n]+', ' ', 'g') AS seq,
+    CASE class WHEN 'host' THEN 'mouse' ELSE 'human' END AS species FROM reads JOIN named USING (sample, read_id) WHERE class <> 'both'"""))
+def _(d):
+    path = scratch_path(d.spark, "classes")
+    kept = reads.split_reads(fastq_rows(d), named(d))
+    # One folder for each species and mate, so that each is read as such.
+    for species, mate in itertools.product(("mouse", "human"), (1, 2)):
+        tables.write_reads_by_class(kept.where((F.col("species") == species) & (F.col("mate") == mate)), f"{path}/{species}/{mate}")
+    found = None
+    for species, mate in itertools.product(("mouse", "human"), (1, 2)):
+        part = sequences.read_fastq(d.spark, f"{path}/{species}/{mate}", endings=(".txt.gz",))
+        part = part.select("sample", F.lit(mate).alias("mate"), "read_id", "seq", F.lit(species).alias("species"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 @query("file_gtf", """WITH exons AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'mouse' ELSE 'human' END AS species, concat('chr', p_partkey % 7) AS chrom,

@@ -630,7 +630,7 @@ def _(d):
         bool_or((u - x) * (py - y) = (v - y) * (px - x) AND px BETWEEN least(x, u) AND greatest(x, u) AND py BETWEEN least(y, v) AND greatest(y, v)) AS border,
         count(*) FILTER (WHERE (y > py) <> (v > py) AND px < (u - x) * (py - y) / nullif(v - y, 0) + x) % 2 = 1 AS inside
       FROM cells c JOIN edges e USING (sample, ids) GROUP BY 1, 2, 3, 4)
-    SELECT sample, CAST(px AS INT) AS x, CAST(py AS INT) AS y, CAST(max(ids) AS INT) + 1 AS label FROM tested WHERE border OR inside GROUP BY 1, 2, 3""")
+    SELECT sample, CAST(px AS INT) AS x, CAST(py AS INT) AS y, CAST(max(ids) AS BIGINT) + 1 AS label FROM tested WHERE border OR inside GROUP BY 1, 2, 3""")
 def _(d):
     return nuclei.rasterize_nuclei(shapes(d))
 

@@ -45,18 +45,17 @@ def _(d):
     return objects.neighbour_counts(fg(d), 5)
 
 
-# Places in a few blobs: nuclei on a coarse map of their slide.
+# Nuclei on a coarse map of their slide.
 def blobs(d):
     x = F.floor(F.col("centroid_x") / 50).cast("int")
     y = F.floor(F.col("centroid_y") / 50).cast("int")
-    inside = (x % 20 < 12) & (y % 24 < 15)
-    return d.nuclei.select("sample", x.alias("x"), y.alias("y")).where(inside)
+    return d.nuclei.select("sample", x.alias("x"), y.alias("y"))
 
 
 DBSCAN_SQL = sql("nuclei", """WITH blobs AS (SELECT sample, CAST(floor(centroid_x / 50) AS INT) AS x, CAST(floor(centroid_y / 50) AS INT) AS y FROM nuclei),
-    places AS (SELECT sample, x, y, x * 1000 + y AS p, count(*) AS w FROM blobs WHERE x % 20 < 12 AND y % 24 < 15 GROUP BY 1, 2, 3),
+    places AS (SELECT sample, x, y, x * 1000 + y AS p, count(*) AS w FROM blobs GROUP BY 1, 2, 3),
     near AS (SELECT a.sample, a.p, b.p AS q, b.w FROM places a JOIN places b ON a.sample = b.sample
-             AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 25),
+             AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 4),
     core AS (SELECT sample, p FROM near GROUP BY 1, 2 HAVING sum(w) >= 4),
     links AS (SELECT n.sample, n.p, n.q FROM near n SEMI JOIN core c ON c.sample = n.sample AND c.p = n.p SEMI JOIN core d ON d.sample = n.sample AND d.p = n.q),
     reach(sample, p, q) AS (SELECT sample, p, p FROM core UNION SELECT r.sample, r.p, l.q FROM reach r JOIN links l ON r.sample = l.sample AND r.q = l.p),
@@ -69,7 +68,7 @@ DBSCAN_SQL = sql("nuclei", """WITH blobs AS (SELECT sample, CAST(floor(centroid_
 
 @query("dbscan", DBSCAN_SQL.replace("WITH ", "WITH RECURSIVE ", 1))
 def _(d):
-    return objects.dbscan(blobs(d), eps=5, min_samples=4)
+    return objects.dbscan(blobs(d), eps=2, min_samples=4)
 
 
 @query("drop_noise", sql("objects", "SELECT sample, label FROM (SELECT sample, label % 5 - 1 AS label FROM objects) WHERE label <> -1"))
@@ -141,7 +140,7 @@ def _(d):
     # Nuclei as dark dots of a unit-range thumbnail.
     dots = blobs(d).distinct().select("sample", "x", "y", *[F.lit(0.5).alias(c) for c in "rgb"])
     dims = d.slides.select("sample", F.ceil(F.col("x") / 50).cast("int").alias("width"), F.ceil(F.col("y") / 50).cast("int").alias("height"))
-    found = objects.detect_objects(dots, dims, eps=5, min_samples=4)
+    found = objects.detect_objects(dots, dims, eps=2, min_samples=4)
     return rounded(found, "loc0", "size0", "loc1", "size1", "area")
 
 

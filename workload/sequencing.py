@@ -260,12 +260,11 @@ def _(d):
     return matrix.merged_barcodes(matrix.merge_matrices(*by_species(d)))
 
 
-@query("matrix_dense", sql("matrix", """SELECT sample, barcode, CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'A'), 0) AS BIGINT) AS A,
-    CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'N'), 0) AS BIGINT) AS N, CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'R'), 0) AS BIGINT) AS R
-    FROM (SELECT sample, barcode, substr(gene_id, 1, 1) AS gene_id, count FROM matrix) GROUP BY 1, 2"""))
+@query("matrix_dense", sql("matrix", """SELECT sample, barcode, CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'A-1'), 0) AS BIGINT) AS "A-1",
+    CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'N-2'), 0) AS BIGINT) AS "N-2", CAST(coalesce(sum(count) FILTER (WHERE gene_id = 'R-3'), 0) AS BIGINT) AS "R-3"
+    FROM matrix GROUP BY 1, 2"""))
 def _(d):
-    by_flag = matrix.merge_matrices(*by_species(d)).withColumn("gene_id", F.substring("gene_id", 1, 1))
-    return matrix.dense_view(by_flag, ["A", "N", "R"])
+    return matrix.dense_view(matrix.merge_matrices(*by_species(d)), ["A-1", "N-2", "R-3"])
 
 
 @query("matrix_ordinals", sql("matrix", """SELECT sample, gene_id, row_number() OVER (PARTITION BY sample ORDER BY gene_id) AS ordinal

@@ -256,7 +256,7 @@ def _(d):
     return superpixels.superpixel_sizes(d.segments)
 
 
-@query("superpixel_ids", sql("segments", """SELECT sample, label, CAST(label % 7 * 10000 + label AS INT) AS uspx, CAST(label % 7 AS INT) AS patch,
+@query("superpixel_ids", sql("segments", """SELECT sample, label, CAST(label % 7 * 10000 + label AS BIGINT) AS uspx, CAST(label % 7 AS INT) AS patch,
     CAST(floor((label % 7 * 10000 + label) / 1000) AS INT) AS patch_compat FROM segments GROUP BY 1, 2"""))
 def _(d):
     named = d.segments.select("sample", "label").distinct().withColumn("uspx", superpixels.superpixel_id(F.col("label") % 7, F.col("label")))
