@@ -157,3 +157,23 @@ def test_run_record(spark, tmp_path):
     tables.export_run(spark, {"target_mpp": 0.25}, samples, str(tmp_path))
     assert spark.read.json(str(tmp_path / "parameters")).first().target_mpp == "0.25"
     assert spark.read.json(str(tmp_path / "info")).select(F.col("mpp")).first().mpp == 0.25
+
+
+def test_fasta_ranges_and_long_lines(spark, tmp_path):
+    folder = tmp_path / "human"
+    folder.mkdir()
+    contigs = {f"c{i}": "".join("ACGT"[(i * k + k // 5) % 4] for k in range(n)) for i, n in enumerate((0, 1, 90, 1000, 2_500_000))}
+    with open(folder / "g.fa", "w") as f:
+        for i, (name, text) in enumerate(contigs.items()):
+            width = 60 if i == 3 else max(1, len(text))
+            f.write(f">{name} note\r\n" + "".join(text[a : a + width] + "\n" for a in range(0, len(text), width)))
+    for split in (1 << 30, 50, 700):
+        if split == 50:
+            (folder / "g.fa").write_text((folder / "g.fa").read_text().split(">c4")[0])
+            del contigs["c4"]
+        chunks = sequences.read_fasta(spark, str(folder), chunk=300, overlap=4, split_bytes=split).collect()
+        for name, text in contigs.items():
+            own = sorted((c.offset, c.seq) for c in chunks if c.name == name)
+            assert all(text[a : a + len(s)] == s and len(s) <= 304 for a, s in own)
+            assert "".join(s[:300] if a + len(s) < len(text) else s for a, s in own) == text
+    assert {c.species for c in chunks} == {"human"}

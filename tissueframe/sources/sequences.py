@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -82,6 +83,46 @@ def _lines_from(path: str, start: int) -> Iterator[tuple[int, str]]:
             yield offset, rest.rstrip(b"\r").decode()
 
 
+def _fasta_pieces(part: FileRange) -> Iterator[tuple[str | None, bytes]]:
+    """Headers ``(text, b"")`` and stretches of sequence ``(None, bytes)`` of the contigs that begin in a range.
+
+    A sequence line is handed on as it is read, however long it is.
+    """
+    system, local = _filesystem(part.path)
+    packed = part.path.endswith(".gz")
+    stream = system.open_input_stream(local, compression="gzip") if packed else system.open_input_file(local)
+    offset = 0 if packed else max(0, part.start - 1)
+    if offset:
+        stream.seek(offset)
+    mode, fresh, header = "skip", part.start == 0, b""
+    with stream:
+        while chunk := stream.read(1 << 20):
+            at = 0
+            while at < len(chunk):
+                if fresh:
+                    fresh = False
+                    if chunk[at : at + 1] == b">":
+                        if part.end is not None and offset + at >= part.end:
+                            return
+                        mode, header = "head", b""
+                    elif mode == "head":
+                        mode = "seq"
+                stop = chunk.find(b"\n", at)
+                piece = chunk[at : stop if stop >= 0 else len(chunk)]
+                if mode == "head":
+                    header += piece
+                elif mode == "seq":
+                    yield None, piece.replace(b"\r", b"")
+                if stop < 0:
+                    break
+                if mode == "head":
+                    yield header[1:].decode().rstrip("\r"), b""
+                at, fresh = stop + 1, True
+            offset += len(chunk)
+    if mode == "head" and not fresh:
+        yield header[1:].decode().rstrip("\r"), b""
+
+
 def _fastq_records(part: FileRange) -> Iterator[tuple[str, str, str]]:
     """Four-line records of a range; a range inside a file finds its first record."""
     window: list[tuple[int, str]] = []
@@ -164,9 +205,10 @@ class FastaReader(DataSourceReader):
         self.endings = _endings(options, FASTA_ENDINGS)
         self.chunk = int(options.get("chunk", 100_000))
         self.overlap = int(options.get("overlap", 0))
+        self.split = int(options.get("splitbytes", SPLIT_BYTES))
 
     def partitions(self):
-        return [FileRange(path) for path, _ in _files(self.path, self.endings)]
+        return _ranges(_files(self.path, self.endings), self.split)
 
     def read(self, partition):
         import pyarrow as pa
@@ -178,20 +220,23 @@ class FastaReader(DataSourceReader):
             arrays = [pa.array([partition.path]), pa.array([name]), pa.array([offset], pa.int64()), pa.array([seq])]
             return pa.RecordBatch.from_arrays(arrays, names)
 
+        decode = codecs.getincrementaldecoder("utf-8")().decode
         name, held, size, offset = None, [], 0, 0
-        for _, line in _lines_from(partition.path, 0):
-            if line.startswith(">"):
+        for head, piece in _fasta_pieces(partition):
+            if head is not None:
                 if size > (keep if offset else 0):
                     yield batch(name, offset, "".join(held))
-                name, held, size, offset = line[1:].split(" ")[0], [], 0, 0
+                name, held, size, offset = head.split(" ")[0], [], 0, 0
                 continue
-            held.append(line)
+            held.append(decode(piece))
             size += len(held[-1])
-            while size >= step + keep:
-                text = "".join(held)
-                yield batch(name, offset, text[: step + keep])
-                held = [text[step:]]
-                size, offset = len(held[0]), offset + step
+            if size < step + keep:
+                continue
+            text, at = "".join(held), 0
+            while len(text) - at >= step + keep:
+                yield batch(name, offset, text[at : at + step + keep])
+                at, offset = at + step, offset + step
+            held, size = [text[at:]], len(text) - at
         if size > (keep if offset else 0):
             yield batch(name, offset, "".join(held))
 
@@ -226,11 +271,19 @@ def read_fastq(
 
 
 def read_fasta(
-    spark: SparkSession, path: str, chunk: int = 100_000, overlap: int = 0, endings: tuple[str, ...] = FASTA_ENDINGS
+    spark: SparkSession,
+    path: str,
+    chunk: int = 100_000,
+    overlap: int = 0,
+    endings: tuple[str, ...] = FASTA_ENDINGS,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
-    """Contig chunks ``species, name, offset, seq`` with ACGTN in upper case."""
+    """Contig chunks ``species, name, offset, seq`` with ACGTN in upper case.
+
+    Plain files are cut into ranges; a contig is read by the range it begins in.
+    """
     spark.dataSource.register(FastaSource)
-    options = {"chunk": str(chunk), "overlap": str(overlap), "endings": ",".join(endings)}
+    options = {"chunk": str(chunk), "overlap": str(overlap), "endings": ",".join(endings), "splitbytes": str(split_bytes)}
     raw = spark.read.format("fasta").options(**options).load(path)
     species = F.coalesce(F.nullif(F.regexp_extract("path", "(host|graft)", 1), F.lit("")), species_of_path(F.col("path")))
     return raw.select(species.alias("species"), "name", "offset", F.translate("seq", "acgtn", "ACGTN").alias("seq"))

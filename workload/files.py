@@ -134,8 +134,8 @@ def _read_fastq_parts(d, path):
     return found
 
 
-@query("file_fasta", """SELECT concat('c', item_id) AS name, length(seq) AS length,
-    translate(substr(seq, length(seq) - 4, 5), 'acgtn', 'ACGTN') AS tail FROM (SELECT item_id, replace(replace(text, chr(10), ''), chr(13), '') AS seq FROM benchmark)""")
+@query("file_fasta", sql("genomes", """SELECT name, length(seq) AS length,
+    translate(substr(seq, length(seq) - 4, 5), 'acgtn', 'ACGTN') AS tail FROM (SELECT name, replace(replace(seq, chr(10), ''), chr(13), '') AS seq FROM genomes)"""))
 def _(d):
     path = scratch_path(d.spark, "fasta")
     record = F.concat(F.lit(">"), "name", F.lit(" passage\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))
