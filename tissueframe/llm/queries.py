@@ -124,4 +124,48 @@ CHECKS = {
         SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    # Windows spelt out as text; the smallest document of each keeps it.
+    "op4_anchor_substrings": """
+        WITH words AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS pos FROM words),
+        windows AS (SELECT doc_id, pos, array_to_string(list_slice(w, pos, pos + 12), ' ') AS text FROM starts),
+        firsts AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY text) AS first FROM windows),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos FROM firsts WHERE first < doc_id),
+        every AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words),
+        kept AS (
+            SELECT e.doc_id, count(*) AS n_words, count(g.pos) AS n_removed,
+                   string_agg(e.word, ' ' ORDER BY e.pos) FILTER (g.pos IS NULL) AS kept
+            FROM every e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY e.doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    "op9_owned_secrets": """
+        WITH kinds(kind, name, pattern, grp) AS (VALUES
+            (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
+            (1, 'access', 'AKIA[A-Z0-9]+', 0), (2, 'hex', '[0-9a-f]+', 0), (3, 'owned', '[A-Za-z0-9+/_-]{20,}', 0)),
+        found AS (
+            SELECT doc_id, source, kind, name, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern, 0) AS hits,
+                   CASE grp WHEN 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern, 0) END AS vals
+            FROM documents, kinds),
+        parts AS (
+            SELECT doc_id, source, kind, name, unnest(range(1, len(hits) + 1)) AS pos, length(unnest(list_slice(gaps, 1, len(hits)))) AS gap,
+                   length(unnest(hits)) AS size, unnest(vals) AS val FROM found),
+        placed AS (SELECT *, CAST(sum(gap + size) OVER (PARTITION BY doc_id, kind ORDER BY pos) AS BIGINT) AS stop FROM parts),
+        spans AS (
+            SELECT doc_id, source, kind, name, stop - size AS start, stop, val FROM placed
+            WHERE CASE kind WHEN 0 THEN length(val) >= 8 WHEN 1 THEN length(val) >= 16 WHEN 2 THEN length(val) >= 32
+                  ELSE regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') END),
+        owners AS (SELECT val, count(DISTINCT coalesce(source, '')) AS n FROM spans GROUP BY val),
+        judged AS (
+            SELECT s.*, o.n FROM spans s JOIN owners o ON o.val = s.val
+            WHERE s.kind < 3 OR (o.n < 2 AND NOT EXISTS (
+                SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop))),
+        listed AS (
+            SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
+                   count(*) FILTER (kind = 3) AS o, count(*) FILTER (n < 2) AS live, count(*) FILTER (n >= 2) AS copied,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base
+            FROM judged GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex, coalesce(o, 0) AS n_owned,
+               coalesce(live, 0) AS n_live, coalesce(copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id""",
 }

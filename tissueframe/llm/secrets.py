@@ -28,10 +28,10 @@ from tissueframe.plans.skew import attach
 ASSIGN = "(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
-#: Long tokens with a letter and a digit among the first 20 characters.
-MIXED = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,19}[0-9])(?=[0-9+/_-]{0,19}[A-Za-z])[A-Za-z0-9+/_-]{20,}"
+#: Long tokens; those with a letter and a digit are candidates. They begin at a token's start only.
+TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 
-KINDS = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32), ("owned", MIXED, 0, 20))
+KINDS = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32), ("owned", TOKEN, 0, 20))
 #: Texts without a match of this have no span of the kind; cheaper than taking all short matches apart.
 _PRESENT = {"hex": "[0-9a-f]{32}"}
 BASE = 3
@@ -44,17 +44,21 @@ _ROW = ["_doc", "_hash"]
 
 
 def _hits(kind: int) -> Column:
-    """Matches of one kind in order: gap before, size, whether it is long enough, and the hash of its value."""
+    """Matches of one kind in order: gap before, size, whether it counts, and the hash of its value."""
     name, pattern, group, least = KINDS[kind]
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all("text", F.lit(pattern), F.lit(group)) if group else found
     gaps = F.split("text", pattern, -1)
+
+    def good(v: Column) -> Column:
+        return (F.length(v) >= least) if kind < BASE else v.rlike("[0-9]") & v.rlike("[A-Za-z]")
+
     # ``gaps`` has one more piece, after the last match.
     joined = F.zip_with(F.zip_with(found, values, lambda a, b: F.struct(a.alias("m"), b.alias("v"))), gaps, lambda x, g: F.struct(
         F.lit(kind).alias("kind"), F.length(g).alias("gap"), F.length(x["m"]).alias("size"),
-        (F.length(x["v"]) >= least).alias("long"), F.when(F.length(x["v"]) >= least, F.sha2(x["v"].cast("binary"), 256)).alias("value"),
+        good(x["v"]).alias("good"), F.when(good(x["v"]), F.sha2(x["v"].cast("binary"), 256)).alias("value"),
     ))
-    return F.when(F.col("text").rlike(_PRESENT.get(name, pattern)), joined).otherwise(F.array().cast("array<struct<kind:int,gap:int,size:int,long:boolean,value:string>>"))
+    return F.when(F.col("text").rlike(_PRESENT.get(name, pattern)), joined).otherwise(F.array().cast("array<struct<kind:int,gap:int,size:int,good:boolean,value:string>>"))
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ def _spans(rows: DataFrame) -> DataFrame:
     hits = rows.select(*_ROW, "owner", "_row", F.posexplode("hits").alias("_at", "_hit")).select(*_ROW, "owner", "_row", "_at", "_hit.*")
     order = Window.partitionBy("_row", "kind").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     ends = F.sum(F.coalesce("gap", F.lit(0)) + F.coalesce("size", F.lit(0))).over(order)
-    return hits.withColumn("end", ends).where("long").select(*_ROW, "owner", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "value")
+    return hits.withColumn("end", ends).where("good").select(*_ROW, "owner", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "value")
 
 
 def find_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS, owner: str = "source") -> DataFrame:
