@@ -12,7 +12,6 @@ from tissueframe.operators.raster import detect_scale, foreground
 from tissueframe.plans.components import connected_components
 from tissueframe.plans.lineage import store
 from tissueframe.plans.quantile import exact_quantiles
-from tissueframe.plans.ranking import consecutive
 from tissueframe.plans.skew import attach
 from tissueframe.plans.spread import spread
 
@@ -193,8 +192,12 @@ def object_area(boxes: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def rank_first(df: DataFrame, by: Sequence[str], value: str, order: Sequence[str], name: str = "rank") -> DataFrame:
-    """Rank by falling value inside each group, ties in the given order."""
-    return consecutive(df, by, [F.col(value).desc(), *[F.col(c).asc() for c in order]], name)
+    """Rank by falling value inside each group, ties in the given order.
+
+    A group is the objects of one case, so a window holds few rows.
+    """
+    window = Window.partitionBy(*by).orderBy(F.col(value).desc(), *[F.col(c).asc() for c in order])
+    return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 
 def attach_dims(objects: DataFrame, meta: DataFrame) -> DataFrame:

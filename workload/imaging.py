@@ -222,9 +222,16 @@ def _(d):
     return grid.in_tissue(thumb_tiles(d)[2]).select("sample", "barcode")
 
 
-@query("sample_tiles")
+# The draw is by hash; what SQL knows of it is its size, and that it takes tiles in tissue, each once.
+@query("sample_tiles", sql("slides", f"""WITH {HEX_SQL} SELECT sample, least(20, count(*)) AS drawn, least(20, count(*)) AS different, 0 AS strange
+    FROM grid WHERE array_col % 2 = 0 GROUP BY 1"""))
 def _(d):
-    return grid.sample_tiles(hex_grid(d), 20, seed=7).select("sample", "barcode")
+    flagged = hex_grid(d).withColumn("in_tissue", (F.col("array_col") % 2 == 0).cast("int"))
+    drawn = grid.sample_tiles(flagged, 20, seed=7).select("sample", "barcode")
+    known = flagged.where("in_tissue = 1").select("sample", "barcode", F.lit(1).alias("known"))
+    return drawn.join(known, ["sample", "barcode"], "left").groupBy("sample").agg(
+        F.count("*").alias("drawn"), F.countDistinct("barcode").alias("different"), F.count_if(F.col("known").isNull()).alias("strange")
+    )
 
 
 # With more draws than tiles a slide gives all of its tiles.
