@@ -168,8 +168,8 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values))
 
 
-@pytest.mark.parametrize("unit", [1024, 4])
-def test_simhash_components(spark, corpus, unit):
+@pytest.mark.parametrize("unit,budget", [(1024, 2), (4, 2), (16, 3)])
+def test_simhash_components(spark, corpus, unit, budget):
     rows, docs = corpus
     fps = {r[1]: slow_fingerprint(r[1]) for r in rows}
     values = sorted(set(fps.values()))
@@ -182,16 +182,16 @@ def test_simhash_components(spark, corpus, unit):
 
     for i, a in enumerate(values):
         for b in values[i + 1 :]:
-            if (a ^ b).bit_count() <= 2:
+            if (a ^ b).bit_count() <= budget:
                 label[find(a)] = find(b)
     least = {}
     for r in rows:
         c = find(fps[r[1]])
         least[c] = min(least.get(c, LAST), order(r[0]))
     expected = [(r[0], f"{fps[r[1]]:016x}", None if (m := least[find(fps[r[1]])]) == LAST else m) for r in rows]
-    found = simhash.near_duplicates(docs, unit=unit)
+    found = simhash.near_duplicates(docs, budget=budget, unit=unit)
     assert counted(map(tuple, found.collect())) == counted(expected)
-    kept = simhash.one_of_each(docs.withColumn("_doc", F.lit("own")), unit=unit)
+    kept = simhash.one_of_each(docs.withColumn("_doc", F.lit("own")), budget=budget, unit=unit)
     assert kept.columns == [*docs.columns, "_doc"]
     assert sorted(order(r.doc_id) for r in kept.collect()) == sorted(least.values())
 
