@@ -122,3 +122,12 @@ def test_check_mask_keeps_bright_backgrounds(spark):
     mask = thumb.select("sample", "x", "y", (F.col("x") == 0).cast("int").alias("in_tissue"))
     total = raster.check_mask(thumb, mask).groupBy("sample").agg(F.sum("in_tissue").alias("n")).collect()
     assert {r.sample: r.n for r in total} == {"dark": 3, "light": 1}
+
+
+def test_check_mask_of_another_size(spark):
+    # A mask of 2 x 2 cells over a thumbnail of 6 x 4 pixels: the left half is tissue, the right half dark or light background.
+    schema = "sample string, x int, y int, r int, g int, b int"
+    thumb = [(s, x, y, *([v if x >= 3 else 10] * 3)) for s, v in (("dark", 150), ("light", 240)) for x in range(6) for y in range(4)]
+    mask = [(s, x, y, int(x == 0)) for s in ("dark", "light") for x in range(2) for y in range(2)]
+    found = raster.check_mask(spark.createDataFrame(thumb, schema), spark.createDataFrame(mask, "sample string, x int, y int, in_tissue int"))
+    assert {(r.sample, r.x, r.y): r.in_tissue for r in found.collect()} == {(s, x, y): int(s == "dark" or x == 0) for s, x, y, _ in mask}

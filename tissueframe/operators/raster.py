@@ -264,9 +264,19 @@ def focus_score(pixels: DataFrame, tile: int) -> DataFrame:
 def check_mask(thumb: DataFrame, mask: DataFrame, bc: float = 210.0) -> DataFrame:
     """Mask set to 1 everywhere on slides whose background is too dark.
 
-    Background is the mean of the channel mean over pixels outside the mask.
+    Background is the mean of the channel mean over pixels outside the mask. Mask
+    and thumbnail may differ in size: a pixel takes the mask cell its centre falls
+    into, which is what resizing and cutting at one half gives inside and outside.
     """
-    both = thumb.join(mask, ["sample", "x", "y"])
+    def extent(df, width, height):
+        return df.groupBy("sample").agg((F.max("x") + 1).alias(width), (F.max("y") + 1).alias(height))
+
+    sizes = extent(thumb, "_tw", "_th").join(extent(mask, "_mw", "_mh"), "sample")
+    placed = attach(thumb, sizes, ["sample"], "inner", spread=["x", "y"]).withColumns({
+        "x": F.floor((2 * F.col("x") + 1) * F.col("_mw") / (2 * F.col("_tw"))).cast("int"),
+        "y": F.floor((2 * F.col("y") + 1) * F.col("_mh") / (2 * F.col("_th"))).cast("int"),
+    })
+    both = placed.join(mask, ["sample", "x", "y"])
     shade = both.groupBy("sample").agg(
         F.avg(F.when(F.col("in_tissue") == 0, channel_mean())).alias("_background")
     )
