@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from tissueframe.llm.textops import append, held_out, slices
 
-PER_LANGUAGE = 2000
+#: Documents of a language the model is fitted on at most; up to 1000 Spark cuts each task to them before the shuffle.
+PER_LANGUAGE = 1000
 ORDER = 4
 #: Entries of a language's word table and of each of its gram tables.
 ENTRIES = 30_000
