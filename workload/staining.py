@@ -192,7 +192,20 @@ LAYERS = (
 )
 
 
-@query("color_mlp")
+def mlp_sql(layers) -> str:
+    """The layers as nested selects in single precision, terms added in the order of the weights."""
+    text = "SELECT sample, x, y, " + ", ".join(f"(({c}::FLOAT / 255::FLOAT) - 0.5::FLOAT) * 2::FLOAT AS v{i}" for i, c in enumerate("rgb")) + " FROM pixels"
+    for k, layer in enumerate(layers):
+        outs = []
+        for j, (row, bias) in enumerate(zip(layer["weight"], layer["bias"])):
+            total = " + ".join(f"v{i} * {w!r}::FLOAT" for i, w in enumerate(row)) + f" + {bias!r}::FLOAT"
+            outs.append((f"greatest({total}, 0::FLOAT)" if k + 1 < len(layers) else total) + f" AS v{j}")
+        text = f"SELECT sample, x, y, {', '.join(outs)} FROM ({text})"
+    shown = ", ".join(f"CAST(floor(greatest(0::FLOAT, least(1::FLOAT, v{i} * 0.5::FLOAT + 0.5::FLOAT)) * 255::FLOAT) AS INT) AS {c}" for i, c in enumerate("rgb"))
+    return f"SELECT sample, x, y, {shown} FROM ({text})"
+
+
+@query("color_mlp", sql("pixels", mlp_sql(LAYERS)))
 def _(d):
     return blocks_to_pixels(color_mlp(pixels_to_blocks(d.pixels, 64), LAYERS))
 
