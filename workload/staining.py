@@ -119,7 +119,42 @@ def _(d):
     return stain.representative_patch(patches).select("sample", "pi", "pj")
 
 
-@query("stain_matrix")
+def eigen_sql(k: int) -> str:
+    """Unit eigenvector ``v{k}_0 .. v{k}_2`` of eigenvalue ``e{k}``: the longest cross product of two rows of ``C - e``."""
+    rows = [(f"c00 - e{k}", "c01", "c02"), ("c01", f"c11 - e{k}", "c12"), ("c02", "c12", f"c22 - e{k}")]
+
+    def cross(a, b):
+        return [f"(({a[i]}) * ({b[j]}) - ({a[j]}) * ({b[i]}))" for i, j in ((1, 2), (2, 0), (0, 1))]
+
+    turns = [cross(rows[i], rows[j]) for i, j in ((0, 1), (0, 2), (1, 2))]
+    size = [" + ".join(f"{t} * {t}" for t in turn) for turn in turns]
+    pick = "CASE WHEN n0 >= n1 AND n0 >= n2 THEN x0_{i} WHEN n1 >= n2 THEN x1_{i} ELSE x2_{i} END"
+    inner = ", ".join([*[f"{t} AS x{m}_{i}" for m, turn in enumerate(turns) for i, t in enumerate(turn)], *[f"{n} AS n{m}" for m, n in enumerate(size)]])
+    signed = f"(CASE WHEN {pick.format(i=0)} < 0 THEN -1 ELSE 1 END) / sqrt(greatest(n0, n1, n2))"
+    return f"""SELECT * EXCLUDE (n0, n1, n2, {', '.join(f'x{m}_{i}' for m in range(3) for i in range(3))}),
+        {', '.join(f"{pick.format(i=i)} * {signed} AS v{k}_{i}" for i in range(3))} FROM (SELECT *, {inner} FROM {{source}})"""
+
+
+# Principal plane from the closed form of 3 x 3 eigenvalues; then angles, their two percentiles and the stains there.
+STAIN_SQL = f"""{OD_SQL},
+    patches AS (SELECT *, CAST(floor(y / 50) AS INT) AS pi, CAST(floor(x / 50) AS INT) AS pj FROM od),
+    cov AS (SELECT sample, pi, pj, {', '.join(f'covar_samp(o{i}, o{j}) AS c{i}{j}' for i in range(3) for j in range(i, 3))} FROM patches GROUP BY 1, 2, 3),
+    mid AS (SELECT *, (c00 + c11 + c22) / 3 AS q FROM cov),
+    wide AS (SELECT *, sqrt(((c00 - q) * (c00 - q) + (c11 - q) * (c11 - q) + (c22 - q) * (c22 - q) + 2 * (c01 * c01 + c02 * c02 + c12 * c12)) / 6) AS p FROM mid),
+    turned AS (SELECT *, acos(greatest(-1, least(1, ((c00 - q) * ((c11 - q) * (c22 - q) - c12 * c12) - c01 * (c01 * (c22 - q) - c12 * c02)
+        + c02 * (c01 * c12 - (c11 - q) * c02)) / (2 * p * p * p)))) / 3 AS t FROM wide),
+    valued AS (SELECT *, q + 2 * p * cos(t) AS e1, 3 * q - (q + 2 * p * cos(t)) - (q + 2 * p * cos(t + 2 * pi() / 3)) AS e2 FROM turned),
+    first AS ({eigen_sql(1).format(source='valued')}),
+    plane AS ({eigen_sql(2).format(source='first')}),
+    angles AS (SELECT sample, pi, pj, {', '.join(f'any_value(v{k}_{i}) AS v{k}_{i}' for k in (1, 2) for i in range(3))},
+        quantile_cont(phi, {num(0.01)}) AS low, quantile_cont(phi, {num(0.99)}) AS high
+        FROM (SELECT *, atan2({' + '.join(f'v2_{i} * o{i}' for i in range(3))}, {' + '.join(f'v1_{i} * o{i}' for i in range(3))}) AS phi FROM patches JOIN plane USING (sample, pi, pj)) GROUP BY 1, 2, 3),
+    ends AS (SELECT sample, pi, pj, {', '.join(f'v1_{i} * cos({e}) + v2_{i} * sin({e}) AS {e}_{i}' for e in ('low', 'high') for i in range(3))} FROM angles),
+    ordered AS (SELECT sample, pi, pj, {', '.join(f'CASE WHEN low_0 > high_0 THEN {a}_{i} ELSE {b}_{i} END AS {n}_{i}' for n, a, b in (('h', 'low', 'high'), ('e', 'high', 'low')) for i in range(3))} FROM ends)
+    SELECT sample, pi, pj, {', '.join(f'round({n}_{i} / sqrt({n}_0 * {n}_0 + {n}_1 * {n}_1 + {n}_2 * {n}_2), 6) AS {n}_{c}' for n in 'he' for i, c in enumerate('rgb'))} FROM ordered"""
+
+
+@query("stain_matrix", sql("pixels", f"WITH {STAIN_SQL}"))
 def _(d):
     keys = ["sample", "pi", "pj"]
     return rounded(stain.stain_matrix(raster.patch_index(d.pixels, 50), keys), *stain.STAIN)
