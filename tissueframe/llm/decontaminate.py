@@ -188,7 +188,11 @@ class ItemIndex:
             own, slack = self.words[i], int(self.tolerance * len(self.words[i]))
             low = max(firsts[d], spot * 8 - slack - 8)
             high = min(firsts[d + 1], spot * 8 + 8 + len(own) + slack + 8)
-            distance, a, b = stretch_distance(own, words[low:high], slack)
+            line = words[low:high]
+            # A word of the item that is nowhere around costs an edit, so most chance candidates end here.
+            if len(own) - int((own[:, None] == line).any(1).sum()) > slack:
+                continue
+            distance, a, b = stretch_distance(own, line, slack)
             if distance <= slack:
                 found = (distance, int(low - firsts[d]) + a, int(low - firsts[d]) + b)
                 best[d, i] = min(best.get((d, i), found), found)
