@@ -71,6 +71,14 @@ def _gaps(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=0)
 
 
+def _bits(mask: np.ndarray) -> np.ndarray:
+    return np.packbits(mask)
+
+
+def _mask(packed: np.ndarray, n: int) -> np.ndarray:
+    return np.unpackbits(packed.astype(np.uint8), count=n).astype(bool)
+
+
 def _ordered(ids: np.ndarray) -> np.ndarray:
     """Signed ids as unsigned numbers in the same order."""
     return ids.astype(np.int64).view(np.uint64) ^ _SIGN
@@ -114,12 +122,11 @@ def _probes(batches, bits: int):
         bucket = (found >> np.uint64(64 - bits)).astype(np.int64)
         order = np.lexsort((place, bucket))
         low = (found << np.uint64(bits)) >> np.uint64(32)
-        flags = grid.astype(np.uint64) + 2 * (times > 1).astype(np.uint64)
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         rows = []
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
             own = order[a:b]
-            rows.append((int(bucket[own[0]]), ENTRIES, number, encode(low[own], _gaps(place[own]), flags[own])))
+            rows.append((int(bucket[own[0]]), ENTRIES, number, encode(low[own], _gaps(place[own]), _bits(grid[own]), _bits(times[own] > 1))))
         head = encode(np.array(sizes), _ordered(np.array(docs)), _ordered(np.array(hashes)), _gaps(at[again]), at[first[back[again]]])
         rows.append((number % (1 << bits), HEAD, number, head))
         number += 1
@@ -146,21 +153,22 @@ def _names(batches):
         out = [(ref, HEAD, ref, payload) for kind, ref, payload in rows if kind == HEAD]
         entries = [(ref, *decode(payload)) for kind, ref, payload in rows if kind == ENTRIES]
         if entries:
-            low, flags = np.concatenate([e[1] for e in entries]), np.concatenate([e[3] for e in entries])
+            low = np.concatenate([e[1] for e in entries])
+            grid, several = (np.concatenate([_mask(e[i], len(e[1])) for e in entries]) for i in (3, 4))
             order = np.argsort(low, kind="stable")
             run = np.empty(len(low), np.int64)
             run[order] = np.cumsum(np.diff(low[order], prepend=low[order[0]]) != 0)
             n = int(run.max()) + 1
-            shared = (np.bincount(run, minlength=n) > 1) | (np.bincount(run, flags & np.uint64(2), n) > 0)
-            hit = np.bincount(run, flags & np.uint64(1), n) > 0
+            shared = (np.bincount(run, minlength=n) > 1) | (np.bincount(run, several, n) > 0)
+            hit = np.bincount(run, grid, n) > 0
             name = np.cumsum(shared)
             bounds = np.concatenate(([0], np.cumsum([len(e[1]) for e in entries])))
-            for (ref, _, gaps, _), a, b in zip(entries, bounds[:-1], bounds[1:]):
+            for (ref, _, gaps, *_), a, b in zip(entries, bounds[:-1], bounds[1:]):
                 own = run[a:b]
                 kept = shared[own]
                 if kept.any():
                     place = np.cumsum(gaps.astype(np.int64))[kept]
-                    out.append((ref, ANSWER, bucket, encode(_gaps(place), name[own[kept]], hit[own[kept]])))
+                    out.append((ref, ANSWER, bucket, encode(_gaps(place), name[own[kept]], _bits(hit[own[kept]]))))
         if out:
             yield _out(out)
 
@@ -175,7 +183,7 @@ def _pairs(batches, bits: int):
             if kind == ANSWER:
                 steps, own, marked = decode(payload)
                 place = np.cumsum(steps.astype(np.int64))
-                name[place], hit[place] = (np.uint64(bucket) << np.uint64(40)) + own, marked > 0
+                name[place], hit[place] = (np.uint64(bucket) << np.uint64(40)) + own, _mask(marked, len(own))
         again = np.cumsum(gaps.astype(np.int64))
         name[again], hit[again] = name[source.astype(np.int64)], hit[source.astype(np.int64)]
         hits = np.concatenate(([0], np.cumsum(hit)))
@@ -184,15 +192,25 @@ def _pairs(batches, bits: int):
         at = at[(name[at] > 0) & (name[at + reach] > 0) & (hits[at + reach + 1] > hits[at])]
         owner = docs[np.searchsorted(firsts, at, "right") - 1]
         keys = mix(mix(name[at]) * np.uint64(0x9E3779B97F4A7C15) + name[at + reach])
-        found, back = np.unique(keys, return_inverse=True)
+        # Windows are numbered as they first appear, so that mostly the next number follows.
+        found, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        rank = np.empty(len(found), np.int64)
+        rank[order] = np.arange(len(found))
+        found, back = found[order], rank[back]
         least = np.full(len(found), np.uint64((1 << 64) - 1))
         np.minimum.at(least, back, owner)
-        out = [(int(number % (1 << bits)), HEAD, number, encode(sizes, docs, hashes, _gaps(at), back, least))]
+        fresh = np.zeros(len(at), bool)
+        fresh[first] = True
+        head = encode(sizes, docs, hashes, _gaps(at), _bits(fresh), back[~fresh], least)
+        out = [(int(number % (1 << bits)), HEAD, number, head)]
         bucket = (found >> np.uint64(64 - bits)).astype(np.int64)
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(found)]):
-            base = least[a:b].min()
-            out.append((int(bucket[a]), ENTRIES, number, encode(np.array([a]), base.reshape(1), found[a:b], least[a:b] - base)))
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+            own = order[a:b]
+            base = least[own].min()
+            out.append((int(bucket[own[0]]), ENTRIES, number, encode(_gaps(own), base.reshape(1), found[own], least[own] - base)))
         yield _out(out)
 
 
@@ -210,11 +228,12 @@ def _firsts(batches):
             run[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(keys))))
             first = np.minimum.reduceat(least[order], heads)[run]
             bounds = np.concatenate(([0], np.cumsum([len(e[3]) for e in entries])))
-            for (ref, start, *_), a, b in zip(entries, bounds[:-1], bounds[1:]):
+            for (ref, steps, *_), a, b in zip(entries, bounds[:-1], bounds[1:]):
                 less = np.flatnonzero(first[a:b] < least[a:b])
                 if len(less):
                     base = first[a:b][less].min()
-                    out.append((ref, ANSWER, bucket, encode(start, base.reshape(1), _gaps(less), first[a:b][less] - base)))
+                    number = np.cumsum(steps.astype(np.int64))[less]
+                    out.append((ref, ANSWER, bucket, encode(base.reshape(1), _gaps(number), first[a:b][less] - base)))
         if out:
             yield _out(out)
 
@@ -222,15 +241,18 @@ def _firsts(batches):
 def _removals(batches):
     """A batch's documents with the words to remove, as alternating begins and ends."""
     for _, rows in _keyed(batches):
-        sizes, docs, hashes, gaps, back, least = decode(next(p for kind, _, p in rows if kind == HEAD))
+        sizes, docs, hashes, gaps, packed, others, least = decode(next(p for kind, _, p in rows if kind == HEAD))
         for kind, _, payload in rows:
             if kind == ANSWER:
-                start, base, steps, first = decode(payload)
-                least[np.cumsum(steps.astype(np.int64)) + int(start[0])] = first + base[0]
+                base, steps, first = decode(payload)
+                least[np.cumsum(steps.astype(np.int64))] = first + base[0]
         firsts = np.concatenate(([0], np.cumsum(sizes.astype(np.int64))))
         at = np.cumsum(gaps.astype(np.int64))
         owner = docs[np.searchsorted(firsts, at, "right") - 1]
-        gone = cover(int(firsts[-1]), at[least[back.astype(np.int64)] < owner], WINDOW)
+        fresh = _mask(packed, len(at))
+        back = np.cumsum(fresh) - 1
+        back[~fresh] = others
+        gone = cover(int(firsts[-1]), at[least[back] < owner], WINDOW)
         sums = np.concatenate(([0], np.cumsum(gone)))
         some = np.flatnonzero(sums[firsts[1:]] > sums[firsts[:-1]])
         spans = [np.flatnonzero(np.diff(gone[firsts[d] : firsts[d + 1]].astype(np.int8), prepend=0, append=0)).astype(np.int32) for d in some]
