@@ -45,9 +45,19 @@ END_ID = 0
 #: Remembered chunks of a worker; beyond it memory is freed and filled anew.
 REMEMBERED = 400_000
 
+#: New chunks that are tokenized in one go.
+JOINED = 2000
+
 _BESIDE = re.compile(r"\s\s")
 
 
+def _plain(text: str) -> bool:
+    """No white space side by side, so that single spaces part the text into chunks that tokenize alone."""
+    if text.isascii() and not any(c in text for c in "\t\r\v\f\x1c\x1d\x1e\x1f"):
+        return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text)
+    return not _BESIDE.search(text)
+
+
 class ChunkEncoder:
     """Little-endian unsigned 32-bit ids of texts, with remembered chunks."""
 
@@ -57,29 +67,44 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # Ids of a space with a word behind it, by word.
         self.remembered, self.known = remembered, {}
+        # Tokens that begin with a space, which byte-level files write as the letter below.
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _behind_space(self, words: list[str]) -> list[bytes]:
+        """Ids of words with a space before each: tokenized in one go and cut where a token begins with a space."""
+        raw = self._whole([" " + " ".join(words)])[0]
+        heads = np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])
+        if len(heads) != len(words):
+            return self._whole([" " + w for w in words])
+        edges = [*(4 * heads).tolist(), len(raw)]
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        fresh: set[str] = set()
-        for text in texts:
-            if _BESIDE.search(text):
-                cut.append(None)
-                continue
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
-            cut.append(chunks)
-            fresh.update(chunks)
         known = self.known
         if len(known) > self.remembered:
             known.clear()
-        missing = [c for c in fresh if c not in known]
-        known.update(zip(missing, self._whole(missing)))
-        plain = iter(self._whole([t for t, c in zip(texts, cut) if c is None]))
-        return [next(plain) if c is None else b"".join(map(known.__getitem__, c)) for c in cut]
+        cut = [text.split(" ") if _plain(text) else None for text in texts]
+        fresh: set[str] = set()
+        for chunks in cut:
+            if chunks:
+                fresh.update(chunks)
+        fresh -= known.keys()
+        if "" in fresh:  # a text that ends with a space
+            fresh.remove("")
+            known[""] = self._whole([" "])[0]
+        missing = list(fresh)
+        for at in range(0, len(missing), JOINED):
+            part = missing[at : at + JOINED]
+            known.update(zip(part, self._behind_space(part)))
+        # The first chunk has no space before it, and texts with white space side by side are taken whole.
+        heads = iter(self._whole([text if chunks is None else chunks[0] for text, chunks in zip(texts, cut)]))
+        return [next(heads) + (b"".join(map(known.__getitem__, chunks[1:])) if chunks else b"") for chunks in cut]
 
 
 def encoder(path: str) -> ChunkEncoder:
