@@ -131,7 +131,7 @@ DETECT_SQL = DBSCAN_SQL.replace("count(*) AS w", "1 AS w").replace(
           (a1 - {num(0.35)} * (b1 - a1)) / height AS s1, (b1 + {num(0.35)} * (b1 - a1)) / height AS e1 FROM q JOIN dims USING (sample)),
     boxes AS (SELECT sample, label, width, height, greatest(s0, 0) AS loc0, CASE WHEN greatest(s0, 0) + (e0 - s0) > 1 THEN 1 - greatest(s0, 0) ELSE e0 - s0 END AS size0,
           greatest(s1, 0) AS loc1, CASE WHEN greatest(s1, 0) + (e1 - s1) > 1 THEN 1 - greatest(s1, 0) ELSE e1 - s1 END AS size1 FROM wide)
-    SELECT sample, label, round(loc0, 6) AS loc0, round(size0, 6) AS size0, round(loc1, 6) AS loc1, round(size1, 6) AS size1, round(round(size0 * size1, 12), 6) AS area,
+    SELECT sample, label, round(loc0, 11) AS loc0, round(size0, 11) AS size0, round(loc1, 11) AS loc1, round(size1, 11) AS size1, round(round(size0 * size1, 12), 6) AS area,
            row_number() OVER (PARTITION BY sample ORDER BY round(size0 * size1, 12) DESC, label) AS rank, width, height, CAST(width AS BIGINT) * height AS apx FROM boxes"""
 
 
@@ -141,7 +141,8 @@ def _(d):
     dots = blobs(d).distinct().select("sample", "x", "y", *[F.lit(0.5).alias(c) for c in "rgb"])
     dims = d.slides.select("sample", F.ceil(F.col("x") / 50).cast("int").alias("width"), F.ceil(F.col("y") / 50).cast("int").alias("height"))
     found = objects.detect_objects(dots, dims, eps=2, min_samples=4)
-    return rounded(found, "loc0", "size0", "loc1", "size1", "area")
+    # Places are whole numbers over small ones: eleven digits hold no tie that the last bit could turn.
+    return rounded(rounded(found, "area"), "loc0", "size0", "loc1", "size1", digits=11)
 
 
 @query("json_params", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")

@@ -155,8 +155,9 @@ INTERVALS_SQL = """intervals AS (SELECT concat('d', CAST(floor(p_partkey / 20) A
         , CASE WHEN p_size % 3 = 0 THEN 'mouse' ELSE 'human' END AS species
     FROM part, (VALUES (0), (1)) v(k)),
   segs(cigar, r, n) AS (VALUES ('2M1D2M', 0, 2), ('2M1D2M', 3, 2), ('1S3M1I', 0, 3), ('2M3N3M', 0, 2), ('2M3N3M', 5, 3), ('5M', 0, 5)),
-  overlap AS (SELECT DISTINCT a.sample, a.read_id, a.cb, a.ub, a.pos, i.kind, i.gene AS hit_gene, lo, hi, a.cigar LIKE '%N%' AS junction
-    FROM alignments a JOIN segs USING (cigar) JOIN intervals i ON a.species = i.species AND a.chrom = i.chrom AND a.pos + r < hi AND lo < a.pos + r + n)"""
+  overlap AS (SELECT a.sample, a.read_id, a.cb, a.ub, a.pos, i.kind, i.gene AS hit_gene, a.cigar LIKE '%N%' AS junction
+    FROM alignments a JOIN intervals i ON a.species = i.species AND a.chrom = i.chrom
+    WHERE EXISTS (SELECT 1 FROM segs s WHERE s.cigar = a.cigar AND a.pos + s.r < hi AND lo < a.pos + s.r + s.n))"""
 
 
 def intervals(d):
