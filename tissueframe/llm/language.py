@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tissueframe.llm.textops import append, held_out, slices
 
+#: Languages at most, the ones with most documents; with the next figure it bounds the sample's ids.
+LANGUAGES = 256
 #: Documents of a language the model is fitted on at most; up to 1000 Spark cuts each task to them before the shuffle.
 PER_LANGUAGE = 1000
 ORDER = 4
@@ -107,14 +109,19 @@ class BackoffModel:
         return np.zeros(len(self.langs), np.float32)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, entries: int = ENTRIES) -> BackoffModel | None:
-    """A model of the labelled documents outside the held-out third; None if there are none."""
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, entries: int = ENTRIES, languages: int = LANGUAGES) -> BackoffModel | None:
+    """A model of the labelled documents outside the held-out third; None if there are none.
+
+    The sample's ids, ``languages * per_language`` at most, are broadcast, so no text is shuffled.
+    """
     own = docs.select(F.col("doc_id").alias("_id"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     own = own.where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
     # Ids only; Spark cuts every task to the first rows of a language before the shuffle.
+    largest = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
     chosen = own.select("_id", "lang").withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= per_language)
-    sample = own.join(chosen.select("_id", "lang").distinct(), ["_id", "lang"])
+    chosen = chosen.join(F.broadcast(largest), "lang").select("_id", "lang").distinct()
+    sample = own.join(F.broadcast(chosen), ["_id", "lang"])
     table = count_grams(sample.select("lang", "text"), entries).toArrow()
     if not table.num_rows:
         return None
