@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tissueframe.llm.textops import Hasher, append, cover, find_words, mix, rolling, separator_table, slices, window_starts
 
 #: Words that the comparison of character classes and of common words needs.
-CLASS_WORDS = 20
+CLASS_WORDS = 50
 COMMON_WORDS = 60
 #: Distances above which a document is unlike a language.
 CLASS_LIMIT = 0.25
