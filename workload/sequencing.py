@@ -29,10 +29,10 @@ def query(name: str, check: str | None = None):
 K = 25
 
 
-def kmers_sql(source: str, keys: str) -> str:
-    raw = f"substr(seq, CAST(i AS INT), {K})"
+def kmers_sql(source: str, keys: str, k: int = K) -> str:
+    raw = f"substr(seq, CAST(i AS INT), {k})"
     return f"""(SELECT {keys}, least({raw}, reverse(translate({raw}, 'ACGT', 'TGCA'))) AS kmer
-        FROM (SELECT {keys}, seq, unnest(range(1, length(seq) - {K} + 2)) AS i FROM {source} WHERE length(seq) >= {K}))"""
+        FROM (SELECT {keys}, seq, unnest(range(1, length(seq) - {k} + 2)) AS i FROM {source} WHERE length(seq) >= {k}))"""
 
 
 INDEX_SQL = f"""idx AS (SELECT kmer, bool_or(species = 'host') AS in_host, bool_or(species = 'graft') AS in_graft
@@ -69,9 +69,10 @@ def _(d):
     return index(d)
 
 
-@query("kmer_index_documents", sql("reads", f"SELECT kmer, count(*) AS n FROM {kmers_sql('reads', 'sample')} GROUP BY 1"))
+@query("kmer_index_documents", sql("reads", f"SELECT kmer, count(*) AS n FROM {kmers_sql('reads', 'sample', 5)} GROUP BY 1"))
 def _(d):
-    return reads.kmers(d.reads, ["sample"], K).groupBy("kmer").agg(F.count("*").alias("n"))
+    # Short k-mers repeat, so this is the counting of a composition.
+    return reads.kmers(d.reads, ["sample"], 5).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
 @query("read_hits", sql("reads genomes", f"WITH {HITS_SQL} SELECT * FROM votes"))
