@@ -26,11 +26,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 #: Differing fingerprint bits of near copies here, one more than the operator's default: most copies with a
 #: changed word or two differ by three.
 COPY_BITS = 3
+#: Jaccard similarity of 5-word shingles from which documents are near copies here, whatever their fingerprints.
+COPY_SIMILAR = 0.8
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.one_of_each(docs, budget=COPY_BITS)
+    return simhash.one_of_each(docs, budget=COPY_BITS, bound=COPY_SIMILAR)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

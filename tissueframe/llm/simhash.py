@@ -29,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tissueframe.llm.similar import WIDTH as SHINGLE
+from tissueframe.llm.similar import band_lists, confirm, head_pairs, members, open_pairs, shingler
 from tissueframe.llm.textops import append
 from tissueframe.plans.components import connected_components
 from tissueframe.plans.lineage import store
@@ -248,16 +250,33 @@ def near_links(nodes: DataFrame, budget: int = BUDGET, unit: int = UNIT) -> Data
     return rows.select(*_UNIT, "side", "value").mapInArrow(run, "a long, b long")
 
 
-def classes(light: DataFrame, budget: int = BUDGET, unit: int = UNIT) -> DataFrame:
+def _labels(links: DataFrame) -> DataFrame:
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return connected_components(ends, links).withColumnsRenamed({"id": "fingerprint", "component": "class"})
+
+
+def _similar_labels(links: DataFrame, light: DataFrame, texts: DataFrame, budget: int, bound: float) -> DataFrame:
+    """Components of ``links`` and of all pairs of texts at least ``bound`` similar."""
+    shared = members(light)
+    heads = store(head_pairs(shared, budget), "head-pairs")
+    links = links.unionByName(confirm(texts, heads, bound, SHINGLE))
+    labels = _labels(links)
+    pairs = store(open_pairs(shared, labels, heads), "open-pairs")
+    more = confirm(texts, pairs, bound, SHINGLE)
+    return labels if more.isEmpty() else _labels(links.unionByName(more))
+
+
+def classes(light: DataFrame, budget: int = BUDGET, unit: int = UNIT, texts: DataFrame | None = None, bound: float = 1.0) -> DataFrame:
     """Class of every distinct fingerprint: ``(fingerprint, class, smallest)``.
 
+    With ``texts`` (``_text, text``) given, fingerprints of texts at least ``bound`` similar are linked as well.
+
     ``light`` has ``_doc`` (never null) and ``fingerprint``; ``smallest`` is the
     smallest ``_doc`` of the class, which is named by its smallest fingerprint.
     """
     nodes = store(light.groupBy("fingerprint").agg(F.min("_doc").alias("_doc")), "fingerprints")
     links = store(near_links(nodes.select("fingerprint"), budget, unit).distinct(), "near-links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    labels = connected_components(ends, links).withColumnsRenamed({"id": "fingerprint", "component": "class"})
+    labels = _labels(links) if texts is None else _similar_labels(links, light, texts, budget, bound)
     named = store(nodes.join(labels, "fingerprint", "left").withColumn("class", F.coalesce("class", "fingerprint")), "classes")
     least = named.groupBy("class").agg(F.min("_doc").alias("smallest"))
     return store(attach(named, least, ["class"], spread=["fingerprint"]).select("fingerprint", "class", "smallest"), "classes")
@@ -268,6 +287,24 @@ def _light(docs: DataFrame, width: int) -> DataFrame:
     return store(rows.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_doc"), "fingerprint"), "simhash")
 
 
+def _light_bands(docs: DataFrame, width: int) -> DataFrame:
+    """As :func:`_light`, with a hash that names the text and its similarity bands."""
+
+    def kernel():
+        shingles = shingler()
+
+        def compute(data, offsets):
+            raw = data.tobytes()
+            values = [fingerprint(raw[a:b], width) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            return pa.array(np.array(values, np.uint64).view(np.int64)), band_lists(*shingles(data, offsets))
+
+        return compute
+
+    rows = append(docs.select("doc_id", "text"), "fingerprint long, _bands array<long>", kernel)
+    least = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_doc")
+    return store(rows.select("doc_id", least, "fingerprint", F.xxhash64("text").alias("_text"), "_bands"), "simhash")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, unit: int = UNIT) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (hex) and ``component_id``, the smallest id reachable."""
     light = _light(docs, width)
@@ -278,12 +315,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, u
     )
 
 
-def one_of_each(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, unit: int = UNIT) -> DataFrame:
-    """The document of smallest id of every class, with the columns of ``docs``; repeated rows become one."""
+def one_of_each(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, unit: int = UNIT, bound: float | None = None) -> DataFrame:
+    """The document of smallest id of every class, with the columns of ``docs``; repeated rows become one.
+
+    With ``bound`` given, documents whose 5-word shingles have a Jaccard similarity of at least ``bound`` are linked as well.
+    """
     inner = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     own = docs.select(*[F.col(f"`{c}`").alias(inner.get(c, c)) for c in docs.columns])
-    light = _light(own, width)
-    found = attach(light, classes(light, budget, unit), ["fingerprint"], spread=["_doc"])
+    if bound is None:
+        light = _light(own, width)
+        named = classes(light, budget, unit)
+    else:
+        light = _light_bands(own, width)
+        named = classes(light, budget, unit, own.select(F.xxhash64("text").alias("_text"), "text").where("text IS NOT NULL"), bound)
+    found = attach(light.drop("_bands", "_text"), named, ["fingerprint"], spread=["_doc"])
     # Of a class only rows with its smallest id come here; of these the smallest fingerprint stays.
     stay = found.where(F.col("_doc") == F.col("smallest")).groupBy("class", "_doc").agg(F.min("fingerprint").alias("fingerprint"))
     rows = fingerprints(own, width).withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
