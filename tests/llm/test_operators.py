@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from corpus_fixture import corpus, empty, make_corpus, prose  # noqa: F401
-from tissueframe.llm import decontaminate, language, linedup, packing, quality, queries, rules, secrets, sharding, simhash, substrings
+from tissueframe.llm import decontaminate, language, linedup, packing, quality, queries, rules, secrets, sharding, simhash, substrings, textops
 
 LAST = 1 << 63
 
@@ -160,6 +160,42 @@ def test_recall_of_keys():
         assert (keys[:, :400] == keys[:, 400:]).any(0).mean() >= 0.95
 
 
+@pytest.mark.parametrize("kind", ["swap", "insert", "delete", "mixed"])
+def test_decontamination_finds_all_edits_of_the_tolerance(kind):
+    """Per length class, against the edit distance of every item to every document."""
+    rng = np.random.default_rng(9)
+    lengths = [n for n in (8, 10, 11, 12, 13, 15, 18, 19, 20, 27, 28, 30, 35, 40, 41, 60) for _ in range(6)]
+    items = [rng.integers(0, 3000, n).tolist() for n in lengths]
+    docs = []
+    for item in items:
+        own = list(item)
+        for _ in range(int(0.2 * len(item))):
+            way = kind if kind != "mixed" else rng.choice(["swap", "insert", "delete"])
+            at = int(rng.integers(0, len(own)))
+            if way == "delete":
+                del own[at]
+            else:
+                own[at : at + (way == "swap")] = [int(rng.integers(3000, 6000))]
+        docs.append(rng.integers(0, 3000, 30).tolist() + own + rng.integers(0, 3000, 30).tolist())
+    index = decontaminate.ItemIndex([(i, " ".join(f"w{w}" for w in item)) for i, item in enumerate(items)])
+    raw = [" ".join(f"w{w}" for w in doc).encode() for doc in docs]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    starts, ends, firsts = textops.find_words(data, offsets, decontaminate.word_separators())
+    words = textops.Hasher(0, decontaminate.letter_table())(data, starts, ends)
+    found = {(d, i): distance for d, i, distance, *_ in index.search(words, firsts)}
+    expected = {}
+    for d in range(len(docs)):
+        for i, item in enumerate(index.words):
+            limit = int(0.2 * len(item))
+            distance, _, _ = decontaminate.stretch_distance(item, words[firsts[d] : firsts[d + 1]], limit)
+            if distance <= limit:
+                expected[d, i] = distance
+    assert all((i, i) in expected for i in range(len(items)))
+    for n in sorted(set(lengths)):
+        own = {k: v for k, v in expected.items() if lengths[k[1]] == n}
+        assert {k: v for k, v in found.items() if lengths[k[1]] == n} == own, n
+
+
 # 3: SimHash
 def slow_fingerprint(text):
     w = (text or "").encode().lower().split()

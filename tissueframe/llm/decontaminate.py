@@ -11,6 +11,14 @@ word, so a passage needs no alignment. Items fall into length classes, and each
 class has windows nearly as long as its items. Every candidate is then verified
 by the exact edit distance of the whole item to the best matching stretch around.
 
+The walks are sized for one edit and miss windows with more. Behind them stands
+an exact search: ``e`` edits leave an item of ``n`` words at most ``e + 1`` pieces
+of ``n - e`` words together, so one of ``(n - e) / (e + 1)`` words, rounded up, is
+whole (3 or 4 words at the tolerance of a fifth). Every run of an item of that
+length is looked up at every word of the documents, and what is found is a
+candidate like any other. No stretch within the tolerance is missed, and the
+distance is the least of all stretches of the document.
+
 The number of keys follows from the target recall: a window of ``w`` words
 holding one edit agrees on a key of ``k`` places with a chance of about
 ``(1 - disagree)^k``; ``keys_needed`` repeats until the chance of no agreement
@@ -34,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.llm.textops import Hasher, append, find_words, mix
+from tissueframe.llm.textops import Hasher, append, find_words, mix, rolling, window_starts
 
 #: Items that one scan of the documents looks for.
 BLOCK = 20_000
@@ -51,6 +59,8 @@ DISAGREE = 0.16
 #: Independent walks; keys of one walk are alike, so several are needed.
 WALKS = 3
 
+#: Longest runs of words looked up by the exact search.
+LONGEST_RUN = 8
 #: Upper word counts of the length classes; beyond the last one windows stay that long.
 CLASSES = (12, 18, 27, 40)
 
@@ -87,6 +97,20 @@ def shape(kind: int) -> tuple[int, int]:
     return shortest - stride + 1, stride
 
 
+def whole_run(words: int, tolerance: float) -> int:
+    """Words of an item that stay together whatever the edits within the tolerance, ``LONGEST_RUN`` at most."""
+    edits = int(tolerance * words)
+    return min(LONGEST_RUN, max(1, -(-(words - edits) // (edits + 1))))
+
+
+def lookup_map(keys: np.ndarray) -> tuple[np.uint64, np.ndarray]:
+    """A bit map over the leading bits answers most lookups without a search."""
+    bits = np.uint64(64 - max(16, min(24, int(keys.size).bit_length() + 5)))
+    seen = np.zeros(1 << (64 - int(bits)), bool)
+    seen[keys >> bits] = True
+    return bits, seen
+
+
 def walk_keys(words: np.ndarray, starts: np.ndarray, size: int, walk: int, samples: int, places: int = PLACES) -> np.ndarray:
     """Keys ``(samples, windows)`` of one random walk over the windows of ``size`` words."""
     rng = np.random.default_rng(1000 * size + walk)
@@ -157,11 +181,17 @@ class ItemIndex:
             keys = np.concatenate([walk_keys(line, at, size, w, self.samples) for w in range(WALKS)]).ravel()
             item, place = np.tile(item, WALKS * self.samples), np.tile(place, WALKS * self.samples)
             order = np.argsort(keys, kind="stable")
-            # A bit map over the leading bits answers most lookups without a search.
-            bits = np.uint64(64 - max(16, min(24, int(keys.size).bit_length() + 5)))
-            seen = np.zeros(1 << (64 - int(bits)), bool)
-            seen[keys >> bits] = True
-            self.kinds[kind] = (size, stride, (bits, seen), keys[order], item[order], place[order])
+            self.kinds[kind] = (size, stride, lookup_map(keys), keys[order], item[order], place[order])
+        self.runs, by_run = {}, {}
+        for i, w in enumerate(self.words):
+            if len(w) >= SHORTEST:
+                by_run.setdefault(whole_run(len(w), tolerance), []).append(i)
+        for size, members in by_run.items():
+            keys = np.concatenate([rolling(self.words[i], size) for i in members])
+            counts = [len(self.words[i]) - size + 1 for i in members]
+            order = np.argsort(keys, kind="stable")
+            item, place = np.repeat(members, counts), np.concatenate([np.arange(n) for n in counts])
+            self.runs[size] = (lookup_map(keys), keys[order], item[order], place[order])
         for i, w in enumerate(self.words):
             if len(w) < SHORTEST:
                 self.exact.setdefault(len(w), []).append(i)
@@ -183,6 +213,16 @@ class ItemIndex:
                         for k in range(a, b):
                             # Where the item would begin in the document; near places are one candidate.
                             spots.add((int(docs[w]), int(item[k]), int(at[w] - place[k]) // 8))
+        for size, ((bits, seen), keys, item, place) in self.runs.items():
+            at, values = window_starts(firsts, size), rolling(words, size)
+            at = at[seen[values[at] >> bits]]
+            low, high = np.searchsorted(keys, values[at], "left"), np.searchsorted(keys, values[at], "right")
+            counts = high - low
+            k = np.arange(counts.sum()) + np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
+            at = np.repeat(at, counts)
+            docs = np.searchsorted(firsts, at, "right") - 1
+            rows = np.stack([docs, item[k], (at - place[k]) // 8], 1)
+            spots.update(map(tuple, np.unique(rows, axis=0).tolist()))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for d, i, spot in sorted(spots):
             own, slack = self.words[i], int(self.tolerance * len(self.words[i]))
