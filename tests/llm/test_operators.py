@@ -129,6 +129,16 @@ def test_decontamination_recall_and_edit_distance(spark):
     assert counted(r.doc_id for r in kept.collect()) == counted(d for d, _ in docs if not any(d == k[0] for k in got))
 
 
+def test_decontamination_finds_items_without_an_id(spark):
+    item = " ".join(f"item{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "nothing here")], "doc_id long, text string")
+    for rows, kind in (([(None, item), (5, "other words")], "long"), ([("no number", item), ("5", "other words")], "string")):
+        items = spark.createDataFrame(rows, f"item_id {kind}, text string")
+        found = decontaminate.contaminated(docs, items).collect()
+        assert [(r.doc_id, r.item_id, r.distance, r.start_word) for r in found] == [(1, None, 0, 1)]
+        assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()] == [2]
+
+
 def test_stretch_distance_is_the_edit_distance():
     rng = np.random.default_rng(1)
 

@@ -29,7 +29,8 @@ whatever their number, and documents are scanned once a block. Map-only.
 
 Defined cases: null or empty documents and items without a word match nothing;
 items of fewer than ``SHORTEST`` words are too short to tell and match only an
-equal run of words; equal items are found separately; rows of one ``doc_id`` are
+equal run of words; equal items are found separately; an item whose id is null or
+no integer is searched like any other and reported with a null id; rows of one ``doc_id`` are
 searched separately and give one row each per item found.
 """
 
@@ -257,7 +258,7 @@ _FOUND_ARROW = pa.list_(pa.struct([
 
 def _blocks(benchmark: DataFrame, block: int):
     """Blocks of items as lists; one block at a time is in memory."""
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").try_cast("long").alias("item_id"), "text").where("text IS NOT NULL")
     rows = rows.distinct().orderBy("item_id", "text").toLocalIterator()
     part = []
     for r in rows:
