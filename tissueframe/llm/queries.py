@@ -6,11 +6,11 @@ derives the digest columns of its contract from what the operator returns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tissueframe.llm import decontaminate, language, linedup, packing, quality, rules, secrets, sharding, simhash, substrings
-from tissueframe.llm.textops import held_out
+from tissueframe.llm import decontaminate, language, linedup, packing, periods, personal, prefixes, quality, rules, secrets, sharding, simhash, substrings
+from tissueframe.llm.textops import WORD, held_out
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,9 +81,51 @@ def op10_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.apply_rules(docs.select("doc_id", "text"), rules.references(docs)).drop("text")
 
 
+def _grafted(rows: DataFrame, every: int = 20, most: int = 3) -> DataFrame:
+    """Conversations that begin with the first turns of the one at the next lower multiple of ``every``."""
+    base = F.col("conv_id") - F.col("conv_id") % every
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)).cast("int")
+    donor = F.max(F.when(F.col("conv_id") == F.col("base"), F.slice("turns", 1, most))).over(Window.partitionBy("base"))
+    rows = rows.withColumns({"base": base, "h": h})
+    first = F.coalesce(donor, F.slice("turns", 1, 0))
+    # Two steps: a window inside of slice would be evaluated beside it.
+    return rows.withColumn("first", first).select(
+        "conv_id", F.concat(F.slice("first", F.lit(1), F.col("h")), F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns")
+    )
+
+
+def op11_radix_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.prefix_trie(_grafted(prefixes.conversation_rows(_table(spark, folder, "conversations"))))
+
+
+def op12_validated_personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.find_personal(_table(spark, folder, "documents"))
+
+
+def _repeating(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by its id's CRC-32, goes on with a stretch of its own words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    changed = "array_join(transform(sequence(0, n - 1), i -> get(words, cast(if(i < a, i, a + (i - a) % p) as int))), ' ')"
+    return rows.select("doc_id", F.expr(f"if(n > 0, {changed}, text)").alias("text"))
+
+
+def op13_synchronised_periods(spark: SparkSession, folder: str) -> DataFrame:
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return periods.collapse_runs(_repeating(_table(spark, folder, "documents"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.*",
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_walk_decontamination, op3_trie_simhash, op4_anchor_substrings, op5_interleaved_shards,
     op6_backoff_language, op7_attention_quality, op8_line_runs, op9_owned_secrets, op10_divergence_rules,
+    op11_radix_conversations, op12_validated_personal, op13_synchronised_periods,
 )}
 
 CHECKS = {
@@ -168,4 +210,98 @@ CHECKS = {
         SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex, coalesce(o, 0) AS n_owned,
                coalesce(live, 0) AS n_live, coalesce(copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id""",
+    # CRC-32 bit by bit; nodes by the list of turns spelt out.
+    "op11_radix_conversations": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        steps AS (
+            SELECT conv_id, list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))) AS s
+            FROM (SELECT DISTINCT conv_id FROM turns)),
+        convs AS (
+            SELECT conv_id, xor(list_reduce(s, lambda r, x: CASE WHEN x >= 0 THEN xor(r, x)
+                ELSE xor(r >> 1, 3988292384 * (r & 1)) END), 4294967295) % 4 AS h FROM steps),
+        grafted AS (
+            SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.pos <= c.h
+            UNION ALL
+            SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d FROM grafted),
+        paths AS (
+            SELECT conv_id, d, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY d) AS path, text FROM placed
+            UNION ALL SELECT conv_id, 0, [], '' FROM convs),
+        lengths AS (SELECT conv_id, max(d) AS n FROM paths GROUP BY conv_id),
+        nodes AS (
+            SELECT p.path, p.d, min(p.conv_id) AS conv_id, count(*) AS n_convs, len(regexp_extract_all(min(p.text), '[^\\x20\\x09-\\x0D]+')) AS words,
+                   string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (l.n = p.d) AS ends
+            FROM paths p JOIN lengths l ON l.conv_id = p.conv_id GROUP BY p.path, p.d),
+        children AS (SELECT list_slice(path, 1, d - 1) AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+        whole AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children, u.conv_id AS parent_conv_id
+            FROM nodes n LEFT JOIN children c ON c.path = n.path AND c.d = n.d
+            LEFT JOIN nodes u ON u.d = n.d - 1 AND u.path = list_slice(n.path, 1, n.d - 1)),
+        above AS (SELECT *, unnest(range(0, d + 1)) AS up FROM whole),
+        sums AS (
+            SELECT list_slice(path, 1, up) AS path, up AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+            FROM above GROUP BY ALL)
+        SELECT w.conv_id, w.d AS depth, w.parent_conv_id, w.n_convs, w.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+               sha256(coalesce(w.ends, '')) AS ends_sha256
+        FROM whole w JOIN sums s ON s.d = w.d AND s.path = w.path""",
+    "op12_validated_personal": """
+        WITH kinds(kind, name, pattern, worth, named) AS (VALUES
+            (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+', 80, 'e-?mail|contact|write to|courriel'),
+            (1, 'ip', '[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)', 55, 'ip|host|address|server|login'),
+            (2, 'card', '[0-9]([\\x20-]?[0-9])+', 75, 'card|visa|mastercard|amex|credit|debit|karte|carte'),
+            (3, 'phone', '\\+[0-9][\\x20().0-9-]+[0-9]', 60, 'phone|tel|mobile|cell|call|fax|whatsapp|telefon|téléphone'),
+            (4, 'iban', '[A-Z]{2}[0-9]{2}(\\x20?[A-Z0-9]{4}){2,7}(\\x20?[A-Z0-9]{1,3})?', 90, 'iban|account|bank|konto|compte'),
+            (5, 'ssn', '[0-9]{3}-[0-9]{2}-[0-9]{4}', 35, 'ssn|social security|taxpayer'),
+            (6, 'local', '\\(?[0-9][\\x20().0-9-]*[0-9]', 30, 'phone|tel|mobile|cell|call|fax|whatsapp|telefon|téléphone')),
+        found AS (
+            SELECT d.rowid AS row, k.*, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern, 0) AS hits
+            FROM (SELECT *, row_number() OVER () AS rowid FROM documents) d, kinds k),
+        parts AS (
+            SELECT row, kind, name, worth, named, unnest(range(1, len(hits) + 1)) AS pos, unnest(hits) AS val,
+                   unnest(list_slice(gaps, 1, len(hits))) AS gap, unnest(list_slice(gaps, 2, len(hits) + 1)) AS next FROM found),
+        placed AS (
+            SELECT *, CAST(sum(length(gap) + length(val)) OVER (PARTITION BY row, kind ORDER BY pos) AS BIGINT) AS stop,
+                   right(gap, 40) AS before, left(next, 40) AS behind, regexp_replace(val, '[^0-9]', '', 'g') AS digits,
+                   regexp_replace(val, ' ', '', 'g') AS account FROM parts),
+        judged AS (
+            SELECT *, stop - length(val) AS start, NOT regexp_matches(before, '[\\p{L}0-9_+]$') AND NOT regexp_matches(behind, '^[\\p{L}0-9_]') AS alone,
+                   least(100, worth
+                     + CASE WHEN regexp_matches(before || ' ' || behind, '(?i)(^|[^\\p{L}0-9])(' || named || ')($|[^\\p{L}0-9])') THEN 35 ELSE 0 END
+                     - CASE WHEN regexp_matches(before || ' ' || behind,
+                         '(?i)(^|[^\\p{L}0-9])(version|isbn|issn|order|invoice|serial|build|release|chapter|section)($|[^\\p{L}0-9])') THEN 30 ELSE 0 END) AS score
+            FROM placed),
+        spans AS (
+            SELECT * FROM judged WHERE CASE kind WHEN 0 THEN true
+                WHEN 1 THEN len(list_filter(string_split(val, '.'), lambda p: coalesce(TRY_CAST(p AS HUGEINT), 256) > 255)) = 0
+                WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+                    CASE WHEN i % 2 = 1 THEN CAST(substr(digits, length(digits) - i + 1, 1) AS INT)
+                    ELSE CAST(substr('0246813579', 1 + CAST(substr(digits, length(digits) - i + 1, 1) AS INT), 1) AS INT) END)) % 10 = 0
+                WHEN 3 THEN length(digits) BETWEEN 10 AND 15
+                WHEN 4 THEN alone AND length(account) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(
+                    array_to_string(list_transform(string_split(substr(account, 5) || left(account, 4), ''),
+                        lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), ''), ''),
+                    lambda c: CAST(c AS INT))), lambda r, c: (r * 10 + c) % 97) = 1
+                WHEN 5 THEN alone AND left(val, 3) NOT IN ('000', '666') AND left(val, 3) < '900' AND substr(val, 5, 2) <> '00' AND right(val, 4) <> '0000'
+                ELSE alone AND NOT regexp_matches(before, '[.,:/#-]$') AND NOT regexp_matches(behind, '^[-/:]|^[.,][0-9]')
+                    AND length(digits) BETWEEN 7 AND 11
+                    AND NOT regexp_matches(val, '^([0-9]{4}[.-][0-9]{1,2}[.-][0-9]{1,2}|[0-9]{1,2}[.-][0-9]{1,2}[.-][0-9]{4})$') END
+            AND (kind < 4 OR score >= 60)),
+        free AS (
+            SELECT * FROM spans s WHERE kind < 4 OR NOT EXISTS (
+                SELECT 1 FROM spans b WHERE b.row = s.row AND b.kind < s.kind AND b.start < s.stop AND s.start < b.stop)),
+        listed AS (
+            SELECT row, count(*) FILTER (kind = 0) AS k0, count(*) FILTER (kind = 1) AS k1, count(*) FILTER (kind = 2) AS k2, count(*) FILTER (kind = 3) AS k3,
+                   count(*) FILTER (kind = 4) AS k4, count(*) FILTER (kind = 5) AS k5, count(*) FILTER (kind = 6) AS k6, count(*) FILTER (score >= 60) AS sure,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans,
+                   string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 4) AS base,
+                   string_agg(CAST(score AS VARCHAR), ',' ORDER BY start, kind) AS scores
+            FROM free GROUP BY row)
+        SELECT d.doc_id, coalesce(k0, 0) AS n_email, coalesce(k1, 0) AS n_ip, coalesce(k2, 0) AS n_card, coalesce(k3, 0) AS n_phone,
+               coalesce(k4, 0) AS n_iban, coalesce(k5, 0) AS n_ssn, coalesce(k6, 0) AS n_local, coalesce(sure, 0) AS n_sure,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+        FROM (SELECT *, row_number() OVER () AS rowid FROM documents) d LEFT JOIN listed l ON l.row = d.rowid""",
 }
