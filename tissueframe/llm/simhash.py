@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissueframe.llm.similar import WIDTH as SHINGLE
-from tissueframe.llm.similar import band_lists, confirm, head_pairs, members, open_pairs, shingler
+from tissueframe.llm.similar import band_lists, cell_pairs, confirm, head_pairs, main_pairs, members, open_keys, shingle_sets, shingler
 from tissueframe.llm.textops import append
 from tissueframe.plans.components import connected_components
 from tissueframe.plans.lineage import store
@@ -258,12 +258,14 @@ def _labels(links: DataFrame) -> DataFrame:
 def _similar_labels(links: DataFrame, light: DataFrame, texts: DataFrame, budget: int, bound: float) -> DataFrame:
     """Components of ``links`` and of all pairs of texts at least ``bound`` similar."""
     shared = members(light)
-    heads = store(head_pairs(shared, budget), "head-pairs")
-    links = links.unionByName(confirm(texts, heads, bound, SHINGLE))
-    labels = _labels(links)
-    pairs = store(open_pairs(shared, labels, heads), "open-pairs")
-    more = confirm(texts, pairs, bound, SHINGLE)
-    return labels if more.isEmpty() else _labels(links.unionByName(more))
+    sets = shingle_sets(texts, shared, SHINGLE)
+    done = store(head_pairs(shared, budget), "head-pairs")
+    links = links.unionByName(confirm(sets, done, bound))
+    opened = open_keys(shared, _labels(links))
+    if not opened.isEmpty():
+        links = links.unionByName(confirm(sets, store(main_pairs(opened, done), "main-pairs"), bound))
+        opened = open_keys(shared, _labels(links))
+    return _labels(links.unionByName(cell_pairs(opened, sets, bound)))
 
 
 def classes(light: DataFrame, budget: int = BUDGET, unit: int = UNIT, texts: DataFrame | None = None, bound: float = 1.0) -> DataFrame:
@@ -282,9 +284,11 @@ def classes(light: DataFrame, budget: int = BUDGET, unit: int = UNIT, texts: Dat
     return store(attach(named, least, ["class"], spread=["fingerprint"]).select("fingerprint", "class", "smallest"), "classes")
 
 
-def _light(docs: DataFrame, width: int) -> DataFrame:
+def _light(docs: DataFrame, width: int, named: bool = False) -> DataFrame:
+    """Fingerprints by ``_doc``; ``named``: with a hash that names the text."""
     rows = fingerprints(docs.select("doc_id", "text"), width)
-    return store(rows.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_doc"), "fingerprint"), "simhash")
+    least = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_doc")
+    return store(rows.select("doc_id", least, "fingerprint", *([F.xxhash64("text").alias("_text")] if named else [])), "simhash")
 
 
 def _light_bands(docs: DataFrame, width: int) -> DataFrame:
@@ -323,14 +327,14 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, unit:
     inner = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     own = docs.select(*[F.col(f"`{c}`").alias(inner.get(c, c)) for c in docs.columns])
     if bound is None:
-        light = _light(own, width)
+        light = _light(own, width, named=True)
         named = classes(light, budget, unit)
     else:
         light = _light_bands(own, width)
         named = classes(light, budget, unit, own.select(F.xxhash64("text").alias("_text"), "text").where("text IS NOT NULL"), bound)
-    found = attach(light.drop("_bands", "_text"), named, ["fingerprint"], spread=["_doc"])
-    # Of a class only rows with its smallest id come here; of these the smallest fingerprint stays.
-    stay = found.where(F.col("_doc") == F.col("smallest")).groupBy("class", "_doc").agg(F.min("fingerprint").alias("fingerprint"))
-    rows = fingerprints(own, width).withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
-    rows = rows.join(stay.select("_doc", "fingerprint"), ["_doc", "fingerprint"]).dropDuplicates(["_doc", "fingerprint"])
+    found = attach(light.drop("_bands"), named, ["fingerprint"], spread=["_doc"])
+    # Of a class only rows with its smallest id come here; of these the text of the smallest fingerprint and hash stays.
+    stay = found.where(F.col("_doc") == F.col("smallest")).groupBy("class", "_doc").agg(F.min(F.struct("fingerprint", "_text")).alias("_one"))
+    rows = own.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_text": F.xxhash64("text")})
+    rows = rows.join(stay.select("_doc", "_one._text"), ["_doc", "_text"]).dropDuplicates(["_doc", "_text"])
     return rows.select(*[F.col(inner.get(c, c)).alias(c) for c in docs.columns])
