@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import revcomp
+from tissueframe.operators.superkmers import match_pieces, summed_kmers, super_kmers
 from tissueframe.plans.spread import spread
 
 # Texts are cut into pieces of this length before k-mers are taken, because a
@@ -48,12 +49,13 @@ def kmers(
 def build_kmer_index(contigs: DataFrame, k: int, host: str = "host", graft: str = "graft", alphabet: str | None = None) -> DataFrame:
     """Canonical k-mers of both genomes with presence flags ``in_host, in_graft``.
 
-    Repeats collapse before the shuffle.
+    Runs of k-mers travel as one piece by their minimizer; repeated pieces collapse first.
     """
-    found = kmers(contigs.where(F.col("species").isin(host, graft)), ["species"], k, "seq", alphabet)
-    return found.groupBy("kmer").agg(
-        F.bool_or(F.col("species") == host).alias("in_host"), F.bool_or(F.col("species") == graft).alias("in_graft")
-    )
+    flag = F.when(F.col("species") == host, 1).otherwise(2).cast("long")
+    pieces = super_kmers(contigs.where(F.col("species").isin(host, graft)), ["species"], k, "seq", alphabet)
+    pieces = pieces.groupBy("bucket", "size", "piece").agg(F.bit_or(flag).alias("_flag"))
+    found = summed_kmers(pieces, ["_flag"], k, alphabet, either=True)
+    return found.select("kmer", (F.col("_flag").bitwiseAND(1) > 0).alias("in_host"), (F.col("_flag").bitwiseAND(2) > 0).alias("in_graft"))
 
 
 def save_kmer_index(index: DataFrame, table: str, buckets: int, overwrite: bool = False) -> None:
@@ -67,24 +69,13 @@ def save_kmer_index(index: DataFrame, table: str, buckets: int, overwrite: bool
 def match_reads(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | None = None, alphabet: str | None = None) -> DataFrame:
     """K-mer hits per read: ``n_graft, n_host, n_both, n_missing``.
 
-    Reads are a left join away from the index and are summed per read straight
-    after it, in the joining task first. K-mers of one read hardly repeat, so
-    counting them before the join would only add a shuffle; a k-mer shared by
-    many reads is split by the adaptive skew rule, which may cut the left side
-    of a left join. Only k-mers go to the join; reads without any get their row
-    of zeros from the list of reads afterwards.
+    Reads and index meet piece by piece (see :mod:`superkmers`); a read gets the sum
+    over its pieces. Reads without any k-mer get their row of zeros from the list of reads.
     """
     keys = keys or ["sample", "read_id"]
-    met = kmers(reads, keys, k, "seq", alphabet).join(index, "kmer", "left")
-    host, graft = F.coalesce("in_host", F.lit(False)), F.coalesce("in_graft", F.lit(False))
-    hits = met.groupBy(*keys).agg(
-        F.count_if(graft & ~host).alias("n_graft"),
-        F.count_if(host & ~graft).alias("n_host"),
-        F.count_if(host & graft).alias("n_both"),
-        F.count_if(~host & ~graft).alias("n_missing"),
-    )
-    zeros = reads.select(*keys, *[F.lit(0).cast("long").alias(n) for n in hits.columns if n not in keys]).distinct()
+    hits = match_pieces(reads, index, keys, k, alphabet)
     names = [n for n in hits.columns if n not in keys]
+    zeros = reads.select(*keys, *[F.lit(0).cast("long").alias(n) for n in names]).distinct()
     return hits.unionByName(zeros).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 

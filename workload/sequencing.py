@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import canonical, revcomp
-from tissueframe.operators import assignment, counts, matrix, reads, variants
+from tissueframe.operators import assignment, counts, matrix, reads, superkmers, variants
 from workload.imaging import rounded
 from workload.views import Data, num, sql
 
@@ -69,7 +69,12 @@ def _(d):
     return index(d)
 
 
-@query("kmer_index_documents", sql("reads", f"SELECT kmer, count(*) AS n FROM {kmers_sql('reads', 'sample', 5)} GROUP BY 1"))
+@query("kmer_index_documents", sql("reads", f"SELECT kmer, count(*) AS n FROM {kmers_sql('reads', 'sample')} GROUP BY 1"))
+def _(d):
+    return superkmers.count_kmers(d.reads, ["sample"], K)
+
+
+@query("kmer_composition", sql("reads", f"SELECT kmer, count(*) AS n FROM {kmers_sql('reads', 'sample', 5)} GROUP BY 1"))
 def _(d):
     # Short k-mers repeat, so this is the counting of a composition.
     return reads.kmers(d.reads, ["sample"], 5).groupBy("kmer").agg(F.count("*").alias("n"))
