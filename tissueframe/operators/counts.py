@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissueframe.operators.variants import aligned_segments
-from tissueframe.plans.cells import overlap_join
+from tissueframe.plans.intervals import interval_join
+from tissueframe.plans.spread import spread
 
 
 def _tagged(alignments: DataFrame) -> DataFrame:
@@ -45,13 +46,15 @@ def seq_metrics(alignments: DataFrame, by: tuple[str, ...] = ("sample", "species
     return result.na.fill(0, ["n_umis", "n_genes", "n_spots"])
 
 
-def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int = 10_000) -> DataFrame:
+def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int = 512) -> DataFrame:
     """Alignments with the exon and intron intervals their aligned segments overlap.
 
     ``intervals`` has ``species, chrom, start, end, kind, gene_id``, half open,
     and ``strand`` if strands are to agree (alignments need it too). A read whose
     alignment jumps (``N``) overlaps what its segments cover and not the gap;
-    ``junction`` marks it. An alignment meets an interval once.
+    ``junction`` marks it. An alignment meets an interval once: by the first of its
+    segments that covers it. Intervals up to ``size`` long share the first level of bins
+    (see :func:`interval_join`); the result does not depend on it.
     """
     named = intervals.withColumnRenamed("gene_id", "hit_gene")
     by = ["species", "chrom"]
@@ -60,17 +63,20 @@ def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int =
         named = named if "strand" in by else named.drop("strand")
     start = F.col("pos").cast("long")
     mapped = F.col("cigar").isNotNull() & (F.col("cigar") != "*")
-    segments = F.transform(
-        aligned_segments(F.when(mapped, F.col("cigar")).otherwise("1M")),
-        lambda s: F.struct((start + s["r"]).alias("lo"), (start + s["r"] + s["n"]).alias("hi")),
+    # The lambda names the parsed segments, and the generator keeps them from being parsed again.
+    parts = F.transform(
+        F.filter(F.array(aligned_segments(F.when(mapped, F.col("cigar")).otherwise("1M"))), lambda p: F.size(p) > 0),
+        lambda p: F.transform(p, lambda s, i: F.struct(
+            s["r"].cast("long").alias("_lo"), (s["r"] + s["n"]).cast("long").alias("_hi"), F.when(i > 0, F.slice(p, F.lit(1), i)).alias("_before"),
+        )),
     )
-    placed = alignments.withColumn("_parts", segments).where(F.size("_parts") > 0).withColumns({
-        "_lo": F.element_at("_parts", 1)["lo"], "_hi": F.element_at("_parts", -1)["hi"],
-        "junction": F.coalesce(F.col("cigar").contains("N"), F.lit(False)),
-    })
-    met = overlap_join(placed, named, by, ("_lo", "_hi"), "start", "end", size)
-    covers = F.exists("_parts", lambda s: (s["lo"] < F.col("end")) & (F.col("start") < s["hi"]))
-    return met.where(covers).drop("_parts", "_lo", "_hi")
+    junction = F.coalesce(F.col("cigar").contains("N"), F.lit(False))
+    dealt = spread(alignments, *[c for c in ("sample", "read_id") if c in alignments.columns] or by)
+    placed = dealt.select(*[F.col(c) for c in alignments.columns], junction.alias("junction"), F.inline(F.flatten(parts)))
+    placed = placed.withColumns({"_lo": start + F.col("_lo"), "_hi": start + F.col("_hi")})
+    met = interval_join(placed, named, by, ("_lo", "_hi"), "start", "end", size)
+    earlier = F.exists("_before", lambda s: (start + s["r"] < F.col("end")) & (F.col("start") < start + s["r"] + s["n"]))
+    return met.where(F.when(F.col("_before").isNull(), F.lit(True)).otherwise(~earlier)).drop("_before", "_lo", "_hi")
 
 
 def splice_counts(annotated: DataFrame, barcodes: DataFrame | None = None) -> DataFrame:
@@ -87,11 +93,11 @@ def splice_counts(annotated: DataFrame, barcodes: DataFrame | None = None) -> Da
     molecules = annotated.groupBy("sample", "cb", "ub", "hit_gene").agg(
         F.bool_or(F.col("kind") == "intron").alias("_intron")
     )
-    spread = molecules.groupBy("sample", "cb", "ub").agg(
+    gathered = molecules.groupBy("sample", "cb", "ub").agg(
         F.count("*").alias("_genes"), F.collect_set(F.struct("hit_gene", "_intron")).alias("_m")
     )
     # One molecule touches few genes, so its set is small.
-    flat = spread.select("sample", "cb", F.explode("_m").alias("_g"), (F.col("_genes") > 1).alias("_many"))
+    flat = gathered.select("sample", "cb", F.explode("_m").alias("_g"), (F.col("_genes") > 1).alias("_many"))
     intron = F.col("_g._intron")
     return flat.groupBy("sample", F.col("cb").alias("barcode"), F.col("_g.hit_gene").alias("gene_id")).agg(
         F.count_if(~F.col("_many") & ~intron).alias("spliced"),

@@ -28,7 +28,7 @@ def aligned_segments(cigar: Column) -> Column:
     )
 
     def walk(state, part):
-        n = F.regexp_extract(part, r"^([0-9]+)", 1).cast("int")
+        n = F.substr(part, F.lit(1), F.length(part) - 1).cast("int")
         kind = F.substr(part, F.length(part), F.lit(1))
         both = kind.isin(*ALIGNED)
         here = F.struct(state["q"].alias("q"), state["r"].alias("r"), n.alias("n"))

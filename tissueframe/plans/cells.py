@@ -60,32 +60,3 @@ def band_join(
     match = match & (F.col(f"a.{point}") < F.col(f"b.{high}"))
     kept = [F.col(f"a.{c}") for c in points.columns]
     return a.join(b, match, how).select(*kept, *[F.col(f"b.{c}") for c in right_only])
-
-
-def overlap_join(
-    spans: DataFrame,
-    ranges: DataFrame,
-    by: list[str],
-    span: tuple[str, str],
-    low: str,
-    high: str,
-    size: int,
-) -> DataFrame:
-    """Rows of ``spans`` with the rows of ``ranges`` whose ``[low, high)`` overlaps ``[span)``.
-
-    Both sides are repeated for the cells they touch and met by equality; of the
-    cells a pair shares only the first one keeps it, so every pair comes once.
-    """
-    width = F.lit(size)
-    begin, end = span
-    left = spans.withColumn("_cell", F.explode(cells_between(F.col(begin), F.col(end) - 1, width)))
-    right = ranges.withColumn("_cell", F.explode(cells_between(F.col(low), F.col(high) - 1, width)))
-    right_only = [c for c in ranges.columns if c not in by]
-    a, b = left.alias("a"), right.alias("b")
-    match = F.col("a._cell") == F.col("b._cell")
-    for key in by:
-        match = match & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    match = match & (F.col(f"a.{begin}") < F.col(f"b.{high}")) & (F.col(f"b.{low}") < F.col(f"a.{end}"))
-    first = F.greatest(cell_of(F.col(f"a.{begin}"), width), cell_of(F.col(f"b.{low}"), width))
-    met = a.join(b, match & (F.col("a._cell") == first))
-    return met.select(*[F.col(f"a.{c}") for c in spans.columns], *[F.col(f"b.{c}") for c in right_only])

@@ -182,7 +182,7 @@ def intervals(d):
 
 @query("annotate_intervals", sql("alignments", f"WITH {INTERVALS_SQL} SELECT sample, read_id, ub, pos, kind, hit_gene, junction FROM overlap"))
 def _(d):
-    found = counts.annotate_intervals(d.alignments, intervals(d), size=32)
+    found = counts.annotate_intervals(d.alignments, intervals(d), size=8)
     return found.select("sample", "read_id", "ub", "pos", "kind", "hit_gene", "junction")
 
 
@@ -192,7 +192,7 @@ def _(d):
     SELECT sample, cb AS barcode, hit_gene AS gene_id, count(*) FILTER (WHERE NOT many AND NOT intron) AS spliced,
         count(*) FILTER (WHERE NOT many AND intron) AS unspliced, count(*) FILTER (WHERE many) AS ambiguous FROM many GROUP BY 1, 2, 3"""))
 def _(d):
-    return counts.splice_counts(counts.annotate_intervals(d.alignments, intervals(d), size=32))
+    return counts.splice_counts(counts.annotate_intervals(d.alignments, intervals(d), size=8))
 
 
 # -------------------------------------------------------------------- variants
