@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tissueframe.functions.colour import concentration_to_rgb, lasso2, to_od
 from tissueframe.operators.raster import channel_mean, expand_labels, patch_index
 from tissueframe.plans.lineage import store
+from tissueframe.plans.quantile import weighted_quantiles
 from tissueframe.plans.skew import attach
 from tissueframe.schemas import DEFAULT_STAIN
 
@@ -102,25 +103,21 @@ def stain_matrix(pixels: DataFrame, by: Sequence[str], angle: float = 99.0) -> D
 def stain_of_colours(colours: DataFrame, by: Sequence[str], angle: float = 99.0) -> DataFrame:
     """:func:`stain_matrix` of colours counted before."""
     by = list(by)
-    plane = leading_vectors(od_covariance(colours, by), by)
+    plane = store(leading_vectors(od_covariance(colours, by), by), "stain-planes")
     projected = attach(with_od(colours), plane, by, "inner", spread=["r", "g", "b"])
 
     def along(v):
         return sum(F.col(o) * F.col(f"{v}_{i}") for i, o in enumerate(OD))
 
     turned = projected.withColumn("_phi", F.atan2(along("v2"), along("v1")))
-    # A group has at most as many distinct angles as distinct colours; the
-    # frequency argument keeps the exact percentile at that size.
     low, high = (100.0 - angle) / 100.0, angle / 100.0
-    ends = turned.groupBy(*by, *plane.columns[len(by):]).agg(
-        F.expr(f"percentile(if(isnan(_phi), NULL, _phi), array({low!r}D, {high!r}D), n)").alias("_ends")
-    )
+    ends = plane.join(weighted_quantiles(turned, by, "_phi", "n", {"_low": low, "_high": high}), by, "left")
 
-    def mixed(k):
-        phi = F.col("_ends")[k]
+    def mixed(phi):
+        phi = F.col(phi)
         return F.array(*[F.col(f"v1_{i}") * F.cos(phi) + F.col(f"v2_{i}") * F.sin(phi) for i in range(3)])
 
-    ends = ends.withColumn("_a", mixed(0)).withColumn("_b", mixed(1))
+    ends = ends.withColumn("_a", mixed("_low")).withColumn("_b", mixed("_high"))
     first = F.col("_a")[0] > F.col("_b")[0]
     ends = ends.withColumn("_h", F.when(first, F.col("_a")).otherwise(F.col("_b"))).withColumn(
         "_e", F.when(first, F.col("_b")).otherwise(F.col("_a"))
@@ -164,9 +161,10 @@ def max_concentration(colours: DataFrame, stains: DataFrame, by: Sequence[str],
     """99% quantile of both stain amounts per group of counted colours."""
     by = list(by)
     mixed = concentrations(attach(colours, stains, by, "inner", spread=["r", "g", "b"]), lam)
-    return mixed.groupBy(*by).agg(
-        F.expr("percentile(c1, 0.99D, n)").alias("max_c1"), F.expr("percentile(c2, 0.99D, n)").alias("max_c2")
-    )
+    stains = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("c")) for k in (1, 2)]))
+    long = mixed.select(*by, "n", stains.alias("_s")).select(*by, "n", "_s.*")
+    top = weighted_quantiles(long, [*by, "k"], "c", "n", {"q": 0.99})
+    return top.groupBy(*by).agg(*[F.max(F.when(F.col("k") == k, F.col("q"))).alias(f"max_c{k}") for k in (1, 2)])
 
 
 def channel_histogram(pixels: DataFrame) -> DataFrame:
