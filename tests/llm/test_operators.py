@@ -36,7 +36,6 @@ def test_packing_covers_every_id(spark, corpus):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     expected = Counter()
     for r in rows:
         expected[(r[0], tuple(tok.encode(r[1] or "", add_special_tokens=False).ids + [0]))] += 1
@@ -68,11 +67,14 @@ def test_packing_cuts():
 
 
 def test_chunks_tokenize_as_whole_texts():
-    encode = packing.ChunkEncoder(queries.tokenizer_path(), remembered=50)
-    texts = ["a b", " a", "a ", "  two", "a\nb c\n d", "x \n\n y", " z q", "don't it's", "", " ", "\t", "a　 b", "<|endoftext|> a", "1 22  333", "é ü", "a ​ b"]
+    from tokenizers import Tokenizer
+
+    encode, untouched = packing.ChunkEncoder(queries.tokenizer_path(), remembered=50), Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["a <|endoftext|>", "x<|endoftext|>y z", "a <|endoftext|> <|endoftext|>", "<|endoftext|", "a b", " a", "a ", "  two", "a\nb c\n d", "x \n\n y", " z q", "don't it's", "", " ", "\t", "a　 b", "<|endoftext|> a", "1 22  333", "é ü", "a ​ b"]
     got = encode(texts)
     for t, raw in zip(texts, got):
-        assert np.frombuffer(raw, "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids, t
+        assert np.frombuffer(raw, "<u4").tolist() == untouched.encode(t, add_special_tokens=False).ids, t
+    assert untouched.encode("a <|endoftext|>", add_special_tokens=False).ids == [64, 220, 50256]
 
 
 # 2: decontamination
@@ -454,6 +456,16 @@ def test_secrets(spark):
     assert by[10][0].n_owned == 1 and by[10][0].spans == "owned:16000:16032"  # one owner
     assert by[3][0].n_owned == by[2][0].n_owned == 0  # two owners hold the example
     assert by[1][0].n_owned == 0 and by[9][0].n_owned == 0  # owners a and c hold it
+    assert (by[10][0].repositories, by[10][0].owners) == ("1", "1") and by[6][0].owners == "2" and by[6][0].repositories == "3"
+
+
+def test_secrets_of_one_owner_in_the_main(spark):
+    leaked, shared = "Le4k" * 8, "Sh4r" * 8
+    rows = [(i, f"x {leaked} {i}", "a") for i in range(19)] + [(19, f"y {leaked}", "b")]
+    rows += [(100 + i, f"x {shared} {i}", "a" if i < 17 else "b") for i in range(20)] + [(200, None, None)]
+    found = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(found[i].n_owned == 1 and found[i].repositories == "20" and found[i].owners == "2" for i in range(20))
+    assert all(found[100 + i].n_owned == 0 and found[100 + i].spans == "" for i in range(20))
 
 
 # 10: rules
@@ -488,6 +500,70 @@ def test_rules_tell_junk_from_prose(spark):
     assert all(kept[i] for i in range(60)) and not any(kept[100 + i] for i in range(6)) and not kept[201]
 
 
+def plain_kept(rows):
+    """``kept`` of ``(doc_id, text, lang)`` in plain Python."""
+    from math import log2, sqrt
+
+    kinds = {**{c: 3 for c in "#*$%&|<>"}, **{c: 5 for c in ".,;:'\"()-"}, **{c: 7 for c in " \t\n\v\f\r"}}
+
+    def kind(c):
+        if c in kinds:
+            return kinds[c]
+        return 6 if c > "\x7f" else 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 4
+
+    def stripped(w):
+        for end in (-1, 0):
+            for _ in range(3):
+                w = (w[:-1] if end else w[1:]) if len(w) > 1 and kind(w[end]) in (4, 5) else w
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in w)
+
+    def far(p, q):
+        m = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in {*p, *q}}
+        return sqrt(max(0, sum(x.get(k, 0) * log2(x[k] / m[k]) for x in (p, q) for k in x if x[k]) / 2))
+
+    seen, classes, common = [], {}, {}
+    for _, text, lang in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", text or "")
+        windows = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        again = {i for k in range(len(w) - 4) if windows[tuple(w[k : k + 5])] > 1 for i in range(k, k + 5)}
+        bad = len(w) < 10 or 100 * len(again) > 20 * len(w)
+        seen.append((Counter(map(kind, text or "")), Counter(map(stripped, w)), len(w), bad))
+        if lang is not None and len(w) >= rules.COMMON_WORDS and not bad:
+            classes.setdefault(lang, Counter()).update(seen[-1][0])
+            common.setdefault(lang, Counter()).update(seen[-1][1])
+    kept = []
+    for own, words, n, bad in seen:
+        good = not classes
+        for lang in classes:
+            shares = [{k: v / sum(c.values()) for k, v in c.items()} for c in (own, classes[lang])]
+            ranked = sorted(common[lang].items(), key=lambda x: -x[1])[: rules.COMMON]
+            total, top = sum(common[lang].values()), dict(ranked)
+            mine = {k: words[k] / n for k in top if k in words}
+            theirs = {k: v / total for k, v in top.items()}
+            mine[None], theirs[None] = 1 - sum(mine.values()), 1 - sum(theirs.values())
+            near = n < rules.CLASS_WORDS or far(*shares) <= rules.CLASS_LIMIT
+            good |= near and (n < rules.COMMON_WORDS or far(mine, theirs) <= rules.COMMON_LIMIT)
+        kept.append(good and not bad)
+    return kept
+
+
+def test_rules_verdicts_equal_plain_python_for_any_partitioning(spark, monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randrange(5, 200), lang or "en"), lang) for i, lang in enumerate(["en", "de", "fr", None] * 40)]
+    rows += [(1000 + i, " ".join(f"{rng.randrange(16**6):06x}" for _ in range(100)), "zz") for i in range(300)]  # words hardly recur
+    rows += [(2000 + i, " ".join(rng.choice("AB#$%") * 4 for _ in range(90)), "en") for i in range(10)] + [(3000, None, "en"), (3001, "", None)]
+    expected = dict(zip((r[0] for r in rows), plain_kept(rows)))
+    assert 400 < sum(expected.values()) and sum(not v for v in expected.values()) > 15
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for parts, held in ((1, 1 << 20), (2, 100), (40, 1 << 20)):
+        monkeypatch.setattr(rules, "HELD", held)
+        known = rules.references(docs.repartition(parts))
+        assert known.langs == ["de", "en", "fr", "zz"]
+        assert {r.doc_id: r.kept for r in rules.apply_rules(docs, known).collect()} == expected
+
+
 def test_js_distance():
     p, q = np.array([[1.0, 0], [0.5, 0.5], [0, 1]]), np.array([1.0, 0])
     assert np.allclose(rules.distance(p, q), [0, 0.5579230452841438, 1])

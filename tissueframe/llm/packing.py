@@ -66,7 +66,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Tokens that are found in a text before it is cut anywhere; texts that hold one are taken whole.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         # Ids of a space with a word behind it, by word.
         self.remembered, self.known = remembered, {}
         # Tokens that begin with a space, which byte-level files write as the letter below.
@@ -89,7 +90,7 @@ class ChunkEncoder:
         known = self.known
         if len(known) > self.remembered:
             known.clear()
-        cut = [text.split(" ") if _plain(text) else None for text in texts]
+        cut = [text.split(" ") if _plain(text) and not any(a in text for a in self.added) else None for text in texts]
         fresh: set[str] = set()
         for chunks in cut:
             if chunks:

@@ -196,19 +196,23 @@ CHECKS = {
             SELECT doc_id, source, kind, name, stop - size AS start, stop, val FROM placed
             WHERE CASE kind WHEN 0 THEN length(val) >= 8 WHEN 1 THEN length(val) >= 16 WHEN 2 THEN length(val) >= 32
                   ELSE regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') END),
-        owners AS (SELECT val, count(DISTINCT coalesce(source, '')) AS n FROM spans GROUP BY val),
+        owners AS (
+            SELECT val, count(*) AS n, CAST(sum(docs) AS BIGINT) AS repos, count(*) >= 2 AND 100 * max(docs) < 90 * sum(docs) AS copied
+            FROM (SELECT val, coalesce(source, '') AS owner, count(DISTINCT doc_id) AS docs FROM spans GROUP BY ALL) GROUP BY val),
         judged AS (
-            SELECT s.*, o.n FROM spans s JOIN owners o ON o.val = s.val
-            WHERE s.kind < 3 OR (o.n < 2 AND NOT EXISTS (
+            SELECT s.*, o.n, o.repos, o.copied FROM spans s JOIN owners o ON o.val = s.val
+            WHERE s.kind < 3 OR (NOT o.copied AND NOT EXISTS (
                 SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind < 3 AND b.start < s.stop AND s.start < b.stop))),
         listed AS (
             SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
-                   count(*) FILTER (kind = 3) AS o, count(*) FILTER (n < 2) AS live, count(*) FILTER (n >= 2) AS copied,
+                   count(*) FILTER (kind = 3) AS o, count(*) FILTER (NOT copied) AS live, count(*) FILTER (copied) AS copied,
+                   string_agg(CAST(repos AS VARCHAR), ',' ORDER BY start, kind) AS repositories, string_agg(CAST(n AS VARCHAR), ',' ORDER BY start, kind) AS owners,
                    string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans,
                    string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base
             FROM judged GROUP BY doc_id)
         SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex, coalesce(o, 0) AS n_owned,
-               coalesce(live, 0) AS n_live, coalesce(copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+               coalesce(live, 0) AS n_live, coalesce(copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+               coalesce(repositories, '') AS repositories, coalesce(owners, '') AS owners
         FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id""",
     # CRC-32 bit by bit; nodes by the list of turns spelt out.
     "op11_radix_conversations": """

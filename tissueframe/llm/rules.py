@@ -8,8 +8,9 @@ comparison has a least number of words below which it does not reject.
 
 The references are counted over all documents with enough words that pass the
 base rule, by language; the common words of a language are those with the
-largest counts. A task reports the words that are at least one in ``RARE`` of
-its words of a language, so what it sends has a bound and no common word is lost.
+largest counts (of equal counts the smaller hashes as signed numbers). Every word counts: a task adds up
+what it meets and hands on its table whole whenever it holds ``HELD`` words, so no verdict depends on
+how documents are dealt.
 
 Defined cases: a null or empty text has no word and fails the base rule; rows
 with a null ``lang`` do not enter the references but are judged; without any
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueframe.llm.textops import Hasher, append, cover, find_words, mix, rolling, separator_table, slices, window_starts
+from tissueframe.plans.lineage import store
 
 #: Words that the comparison of character classes and of common words needs.
 CLASS_WORDS = 50
@@ -33,7 +35,8 @@ CLASS_LIMIT = 0.25
 COMMON_LIMIT = 0.5
 #: Common words of a language's histogram; all other words share one more bin.
 COMMON = 64
-RARE = 20_000
+#: Words a task adds up before it hands them on.
+HELD = 1 << 20
 
 #: The base rule: least words, words of a repeated window, and their largest share in percent.
 LEAST_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
@@ -130,11 +133,11 @@ class References:
     """Histograms by language: shares of character classes, common words (hashes) and their shares."""
 
     def __init__(self, classes: dict[str, np.ndarray], words: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(set(classes) & set(words))
+        self.langs = sorted(classes)
         self.classes = {k: classes[k] / classes[k].sum() for k in self.langs}
         self.words = {}
         for lang in self.langs:
-            keys, shares = words[lang]
+            keys, shares = words.get(lang, (np.empty(0, np.uint64), np.empty(0)))
             order = np.argsort(keys)
             self.words[lang] = keys[order], np.append(shares[order], max(0.0, 1 - shares.sum()))
 
@@ -170,8 +173,23 @@ def references(docs: DataFrame) -> References:
     def run(batches):
         measure = Measure()
         classes: dict[str, np.ndarray] = {}
-        words: dict[str, dict[int, int]] = {}
-        totals: dict[str, int] = {}
+        words: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held = 0
+
+        def batch_of(lang, kind, keys, n):
+            size = len(keys)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * size, pa.string()), pa.array(np.full(size, kind, np.int32)), pa.array(keys), pa.array(n.astype(np.int64))],
+                names=["lang", "kind", "key", "n"],
+            )
+
+        def tables():
+            for lang, parts in words.items():
+                keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                n = np.zeros(len(keys), np.int64)
+                np.add.at(n, at, np.concatenate([c for _, c in parts]))
+                yield lang, keys, n
+
         for batch in batches:
             for part, data, offsets in slices(batch):
                 found = measure(data, offsets)
@@ -182,39 +200,38 @@ def references(docs: DataFrame) -> References:
                     own = good & (langs == lang)
                     classes[lang] = classes.get(lang, 0) + found["classes"][own].sum(0)
                     keys, n = np.unique(found["words"][own[owner]], return_counts=True)
-                    totals[lang] = totals.get(lang, 0) + int(n.sum())
-                    table = words.setdefault(lang, {})
-                    for k, c in zip(keys[n * RARE >= n.sum()].tolist(), n[n * RARE >= n.sum()].tolist()):
-                        table[k] = table.get(k, 0) + c
-        rows = [(lang, -1 - k, int(c)) for lang, v in classes.items() for k, c in enumerate(v)]
-        rows += [(lang, -100, n) for lang, n in totals.items()]
-        kinds = [0] * len(rows)
-        for lang, table in words.items():
-            for k, c in table.items():
-                if c * RARE >= totals[lang]:
-                    rows.append((lang, int(np.uint64(k).astype(np.int64)), c))
-                    kinds.append(1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array(kinds, pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-            names=["lang", "kind", "key", "n"],
-        )
+                    words.setdefault(lang, []).append((keys, n))
+                    held += len(keys)
+                if held > HELD:
+                    words = {lang: [(keys, n)] for lang, keys, n in tables()}
+                    held = sum(len(parts[0][0]) for parts in words.values())
+                    if 2 * held > HELD:
+                        for lang, keys, n in tables():
+                            yield batch_of(lang, 1, keys.view(np.int64), n)
+                        words, held = {}, 0
+        for lang, keys, n in tables():
+            yield batch_of(lang, 1, keys.view(np.int64), n)
+        for lang, n in classes.items():
+            yield batch_of(lang, 0, -1 - np.arange(len(n)), n)
 
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text")
     found = labelled.mapInArrow(run, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    first = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    # Per language the class counts and the common words: a bounded number of rows comes to the driver.
-    rows = found.withColumn("_at", F.row_number().over(first)).where((F.col("kind") == 0) | (F.col("_at") <= COMMON)).collect()
-    classes, totals, words = {}, {}, {}
-    for r in rows:
-        if r["kind"] == 1:
-            words.setdefault(r["lang"], []).append((np.int64(r["key"]).astype(np.uint64), r["n"]))
-        elif r["key"] == -100:
-            totals[r["lang"]] = r["n"]
-        else:
-            classes.setdefault(r["lang"], np.zeros(len(_NAMES)))[-1 - r["key"]] = r["n"]
-    return References(classes, {
-        lang: (np.array([k for k, _ in w], np.uint64), np.array([n for _, n in w]) / totals[lang]) for lang, w in words.items()
-    })
+    found = store(found, "rule-counts")
+    # Per language the class counts, the sum of all words and the common words: a bounded number of rows comes to the driver.
+    words = found.where("kind = 1")
+    first = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+    classes: dict[str, np.ndarray] = {}
+    for r in found.where("kind = 0").collect():
+        classes.setdefault(r["lang"], np.zeros(len(_NAMES)))[-1 - r["key"]] = r["n"]
+    totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    top: dict[str, list] = {}
+    for r in words.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= COMMON).collect():
+        top.setdefault(r["lang"], []).append(r)
+    common = {
+        lang: (np.array([r["key"] for r in rows], np.int64).astype(np.uint64), np.array([r["n"] for r in rows]) / totals[lang])
+        for lang, rows in top.items()
+    }
+    return References(classes, common)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

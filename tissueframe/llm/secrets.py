@@ -2,9 +2,10 @@
 
 Base spans come from three patterns. On top, any long token of mixed letters and
 digits is a candidate. Candidate values are hashed and counted over the whole
-corpus by repository (a document) and owner (its source): a value that several
-owners hold is a copied example; one that a single owner holds looks live. The
-live candidates beside the base spans become spans of kind ``owned``.
+corpus by repository (a document) and owner (its source). A value that several
+owners hold is a copied example, unless one of them holds at least ``MAIN_SHARE`` percent of its
+repositories: then the others copied it from there, and it stays that owner's. A value of one
+owner looks live. The live candidates beside the base spans become spans of kind ``owned``.
 
 Positions come from the pieces between matches: a match begins where the
 lengths of all pieces and matches before it end, which is a running sum over the
@@ -38,6 +39,8 @@ BASE = 3
 
 #: Owners from which on a value is a copied example.
 COPIED_OWNERS = 2
+#: Percent of a value's repositories from which on they make it their owner's.
+MAIN_SHARE = 90
 
 _LAST = (1 << 63) - 1
 _ROW = ["_doc", "_hash"]
@@ -69,12 +72,12 @@ def _spans(rows: DataFrame) -> DataFrame:
     return hits.withColumn("end", ends).where("good").select(*_ROW, "owner", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "value")
 
 
-def find_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS, owner: str = "source") -> DataFrame:
+def find_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS, owner: str = "source", main_share: int = MAIN_SHARE) -> DataFrame:
     """One row per document: counts by kind, digests of the base spans, all spans, and how many values are live or copied.
 
     ``spans`` lists ``kind:start:end`` by start and then kind, comma-joined, code points with
-    the end exclusive. ``n_live`` and ``n_copied`` count the base and added spans whose value
-    one owner, or at least ``copied_owners`` owners, hold.
+    the end exclusive; ``repositories`` and ``owners`` list how many hold the values of these spans.
+    ``n_live`` and ``n_copied`` count the base and added spans by the verdict on their value.
     """
     text = F.coalesce("text", F.lit(""))
     own = F.col(owner).cast("string") if owner in docs.columns else F.lit(None).cast("string")
@@ -87,7 +90,9 @@ def find_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS, owner: str
     spans = store(_spans(rows).distinct(), "secret-spans")
     # Repositories by owner, then by value; every step adds up before it shuffles.
     held = spans.select("value", "owner", *_ROW).distinct().groupBy("value", "owner").agg(F.count("*").alias("_docs"))
-    held = held.groupBy("value").agg(F.sum("_docs").alias("repositories"), F.count("*").alias("owners"))
+    held = held.groupBy("value").agg(F.sum("_docs").alias("repositories"), F.count("*").alias("owners"), F.max("_docs").alias("_most"))
+    copied = (F.col("owners") >= copied_owners) & (100 * F.col("_most") < main_share * F.col("repositories"))
+    held = held.withColumn("copied", copied).drop("_most")
     known = attach(spans.drop("owner").distinct(), store(held, "secret-owners"), ["value"], spread=_ROW)
     # A candidate counts where no base span overlaps it: none that began before reaches in, none begins inside.
     by = Window.partitionBy(*_ROW)
@@ -95,21 +100,22 @@ def find_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS, owner: str
     reach = F.max(F.when(base, F.col("end"))).over(by.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
     following = F.min(F.when(base, F.col("start"))).over(by.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0))
     free = (F.coalesce(reach, F.lit(-1)) <= F.col("start")) & (F.coalesce(following, F.lit(_LAST)) >= F.col("end"))
-    judged = known.withColumn("_free", free).where(base | (F.col("_free") & (F.col("owners") < copied_owners)))
+    judged = known.withColumn("_free", free).where(base | (F.col("_free") & ~F.col("copied")))
     names = F.array(*[F.lit(k[0]) for k in KINDS])
-    span = F.struct("start", "kind", F.concat_ws(":", F.get(names, F.col("kind")), "start", "end").alias("text"))
+    span = F.struct("start", "kind", F.concat_ws(":", F.get(names, F.col("kind")), "start", "end").alias("text"), "repositories", "owners")
     listed = judged.groupBy(*_ROW).agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{KINDS[k][0]}") for k in range(len(KINDS))],
         F.array_sort(F.collect_list(F.when(base, span))).alias("_base"), F.array_sort(F.collect_list(span)).alias("_all"),
-        F.count(F.when(F.col("owners") < copied_owners, 1)).alias("n_live"), F.count(F.when(F.col("owners") >= copied_owners, 1)).alias("n_copied"),
+        F.count(F.when(~F.col("copied"), 1)).alias("n_live"), F.count(F.when(F.col("copied"), 1)).alias("n_copied"),
     )
 
-    def text_of(name: str) -> Column:
-        return F.coalesce(F.array_join(F.transform(name, lambda s: s["text"]), ","), F.lit(""))
+    def text_of(name: str, field: str = "text") -> Column:
+        return F.coalesce(F.array_join(F.transform(name, lambda s: s[field].cast("string")), ","), F.lit(""))
 
     out = rows.select("doc_id", *_ROW).join(listed, _ROW, "left")
     counts = [f"n_{k[0]}" for k in KINDS] + ["n_live", "n_copied"]
     return out.select(
         "doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
         F.sha2(text_of("_base").cast("binary"), 256).alias("base_sha256"), text_of("_all").alias("spans"),
+        text_of("_all", "repositories").alias("repositories"), text_of("_all", "owners").alias("owners"),
     )
