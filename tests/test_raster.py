@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tissueframe.operators import raster
@@ -131,3 +132,18 @@ def test_check_mask_of_another_size(spark):
     mask = [(s, x, y, int(x == 0)) for s in ("dark", "light") for x in range(2) for y in range(2)]
     found = raster.check_mask(spark.createDataFrame(thumb, schema), spark.createDataFrame(mask, "sample string, x int, y int, in_tissue int"))
     assert {(r.sample, r.x, r.y): r.in_tissue for r in found.collect()} == {(s, x, y): int(s == "dark" or x == 0) for s, x, y, _ in mask}
+
+
+def test_expand_labels_of_any_size(spark):
+    big = [3_000_000_000, (1 << 41) + 7, (1 << 59) - 1]
+    rows = [("s", 10 * i + 5, 5, v) for i, v in enumerate(big)] + [("s", 26, 5, 4)]
+    df = spark.createDataFrame(rows, "sample string, x int, y int, label long")
+    canvas = spark.createDataFrame([("s", 30, 10)], "sample string, width int, height int")
+    found = raster.expand_labels(df, 3, canvas)
+    assert dict(found.dtypes)["label"] == "bigint"
+    label = {(r.x, r.y): r.label for r in found.collect()}
+    assert label[4, 5] == label[8, 5] == big[0] and label[15, 8] == big[1] and label[22, 5] == big[2] and label[27, 5] == 4
+    for wrong in (1 << 59, -1):
+        broken = spark.createDataFrame([("s", 5, 5, wrong)], df.schema)
+        with pytest.raises(Exception, match="no room"):
+            raster.expand_labels(broken, 3, canvas).collect()

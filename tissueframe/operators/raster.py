@@ -209,31 +209,35 @@ def expand_labels(labels: DataFrame, d: int, canvas: DataFrame, by: Sequence[str
     per raster: ``width``, ``height`` and, if it does not begin at 0, ``x0`` and
     ``y0``; cells outside are not filled. The nearest label is
     found first along each row and then across rows, so a cell is sent to
-    ``2 (2d + 1)`` places instead of to a whole disk.
+    ``2 (2d + 1)`` places instead of to a whole disk. Labels keep their type. Distance and
+    label share one BIGINT, in which ``d * d`` leaves room for labels below 2^59 at the usual
+    three cells (2^48 at 181); a negative or larger label fails the job.
     """
     by = list(by)
+    room = 63 - (d * d).bit_length()
+    fits = F.col("label").between(F.lit(0), F.lit((1 << room) - 1))
+    label = F.when(fits, F.col("label").cast("long")).otherwise(F.raise_error(F.lit("a label leaves no room for its distance")).cast("long"))
+    bare = F.col("_k").bitwiseAND(F.lit((1 << room) - 1))
     steps = F.sequence(F.lit(-d), F.lit(d))
     own = spread(labels.select(*by, "x", "y", "label"), *by, "x", "y")
     sideways = own.withColumn("_dx", F.explode(steps)).select(
-        *by, (F.col("x") + F.col("_dx")).alias("x"), "y", (F.abs("_dx").cast("long") * (1 << 40) + F.col("label")).alias("_k")
+        *by, (F.col("x") + F.col("_dx")).alias("x"), "y", (F.abs("_dx").cast("long") * F.lit(1 << room) + label).alias("_k")
     )
     # Packed key: distance first, then label, so that one min() settles both.
     in_row = sideways.groupBy(*by, "x", "y").agg(F.min("_k").alias("_k"))
-    in_row = in_row.select(
-        *by, "x", "y", F.shiftright("_k", 40).alias("_d1"), F.col("_k").bitwiseAND(F.lit((1 << 40) - 1)).alias("label")
-    )
+    in_row = in_row.select(*by, "x", "y", F.shiftright("_k", room).alias("_d1"), bare.alias("label"))
     across = in_row.withColumn("_dy", F.explode(steps))
     d2 = F.col("_d1") * F.col("_d1") + F.col("_dy") * F.col("_dy")
     across = across.where(d2 <= d * d).select(
-        *by, "x", (F.col("y") + F.col("_dy")).alias("y"), (d2 * F.lit(1 << 40) + F.col("label")).alias("_k")
+        *by, "x", (F.col("y") + F.col("_dy")).alias("y"), (d2 * F.lit(1 << room) + F.col("label")).alias("_k")
     )
     nearest = across.groupBy(*by, "x", "y").agg(F.min("_k").alias("_k"))
-    empty = nearest.where(F.shiftright("_k", 40) > 0)
+    empty = nearest.where(F.shiftright("_k", room) > 0)
     origin = [F.col(c) if c in canvas.columns else F.lit(0) for c in ("x0", "y0")]
     edges = canvas.select(*by, origin[0].alias("_x0"), origin[1].alias("_y0"), F.col("width").alias("_w"), F.col("height").alias("_h"))
     empty = attach(empty, edges, by, "inner", spread=["x", "y"])
     empty = empty.where("x >= _x0 AND x < _x0 + _w AND y >= _y0 AND y < _y0 + _h")
-    return empty.select(*by, "x", "y", F.col("_k").bitwiseAND(F.lit((1 << 40) - 1)).cast("int").alias("label"))
+    return empty.select(*by, "x", "y", bare.cast(labels.schema["label"].dataType).alias("label"))
 
 
 def focus_score(pixels: DataFrame, tile: int) -> DataFrame:
