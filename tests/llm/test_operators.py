@@ -169,27 +169,29 @@ def test_recall_of_keys():
         b[np.arange(400), rng.integers(0, size, 400)] = 7
         line, at = np.concatenate([a, b]).ravel(), np.arange(800) * size
         keys = np.concatenate([decontaminate.walk_keys(line, at, size, w, -(-need // decontaminate.WALKS)) for w in range(decontaminate.WALKS)])
-        assert (keys[:, :400] == keys[:, 400:]).any(0).mean() >= 0.95
+        assert ((keys[:, :400] == keys[:, 400:]) & (keys[:, :400] != 0)).any(0).mean() >= 0.95
 
 
-@pytest.mark.parametrize("kind", ["swap", "insert", "delete", "mixed"])
-def test_decontamination_finds_all_edits_of_the_tolerance(kind):
-    """Per length class, against the edit distance of every item to every document."""
+@pytest.mark.parametrize("kind", ["swap", "insert", "delete", "mixed", "even"])
+@pytest.mark.parametrize("exact", [False, True])
+def test_decontamination_finds_edits_of_the_tolerance(kind, exact):
+    """Per item length, against the edit distance of every item to every document: the walks alone find 0.9, the exact search all."""
     rng = np.random.default_rng(9)
-    lengths = [n for n in (8, 10, 11, 12, 13, 15, 18, 19, 20, 27, 28, 30, 35, 40, 41, 60) for _ in range(6)]
+    lengths = [n for n in (8, 10, 11, 12, 13, 15, 18, 19, 20, 27, 28, 30, 35, 40, 41, 60) for _ in range(6 if exact else 24)]
     items = [rng.integers(0, 3000, n).tolist() for n in lengths]
     docs = []
     for item in items:
         own = list(item)
-        for _ in range(int(0.2 * len(item))):
-            way = kind if kind != "mixed" else rng.choice(["swap", "insert", "delete"])
-            at = int(rng.integers(0, len(own)))
+        many = int(0.2 * len(item))
+        for k in range(many):
+            way = {"mixed": rng.choice(["swap", "insert", "delete"]), "even": "swap"}.get(kind, kind)
+            at = int((k + 0.5) * len(item) / many) if kind == "even" else int(rng.integers(0, len(own)))
             if way == "delete":
                 del own[at]
             else:
                 own[at : at + (way == "swap")] = [int(rng.integers(3000, 6000))]
         docs.append(rng.integers(0, 3000, 30).tolist() + own + rng.integers(0, 3000, 30).tolist())
-    index = decontaminate.ItemIndex([(i, " ".join(f"w{w}" for w in item)) for i, item in enumerate(items)])
+    index = decontaminate.ItemIndex([(i, " ".join(f"w{w}" for w in item)) for i, item in enumerate(items)], exact=exact)
     raw = [" ".join(f"w{w}" for w in doc).encode() for doc in docs]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
     starts, ends, firsts = textops.find_words(data, offsets, decontaminate.word_separators())
@@ -199,13 +201,20 @@ def test_decontamination_finds_all_edits_of_the_tolerance(kind):
     for d in range(len(docs)):
         for i, item in enumerate(index.words):
             limit = int(0.2 * len(item))
+            if len(item) - np.isin(item, words[firsts[d] : firsts[d + 1]]).sum() > limit:  # as many words are nowhere in the document
+                continue
             distance, _, _ = decontaminate.stretch_distance(item, words[firsts[d] : firsts[d + 1]], limit)
             if distance <= limit:
                 expected[d, i] = distance
     assert all((i, i) in expected for i in range(len(items)))
     for n in sorted(set(lengths)):
         own = {k: v for k, v in expected.items() if lengths[k[1]] == n}
-        assert {k: v for k, v in found.items() if lengths[k[1]] == n} == own, n
+        got = {k: v for k, v in found.items() if lengths[k[1]] == n}
+        if exact:
+            assert got == own, n
+        else:
+            assert got.keys() <= own.keys() and all(got[k] == own[k] for k in got)
+            assert len(got) >= 0.9 * len(own), (n, len(got) / len(own))
 
 
 # 3: SimHash

@@ -8,21 +8,23 @@ distance becomes Hamming distance. Several walks are taken, and of each several
 samples of emitted places are keys; an item and a document meet where they share a
 key. Document windows start at every ``stride``-th word and item windows at every
 word, so a passage needs no alignment. Items fall into length classes, and each
-class has windows nearly as long as its items. Every candidate is then verified
-by the exact edit distance of the whole item to the best matching stretch around.
-
-The walks are sized for one edit and miss windows with more. Behind them stands
-an exact search: ``e`` edits leave an item of ``n`` words at most ``e + 1`` pieces
-of ``n - e`` words together, so one of ``(n - e) / (e + 1)`` words, rounded up, is
-whole (3 or 4 words at the tolerance of a fifth). Every run of an item of that
-length is looked up at every word of the documents, and what is found is a
-candidate like any other. No stretch within the tolerance is missed, and the
-distance is the least of all stretches of the document.
-
-The number of keys follows from the target recall: a window of ``w`` words
-holding one edit agrees on a key of ``k`` places with a chance of about
-``(1 - disagree)^k``; ``keys_needed`` repeats until the chance of no agreement
-at all is below ``1 - recall``.
+class has its own windows. Every candidate is then verified by the exact edit
+distance of the whole item to the best matching stretch around.
+
+Windows and strides of a class follow from the edits the tolerance allows: a fifth
+of the words may differ, so a window as long as its items would hold five edits
+or more, and few places agree behind that many. ``WINDOWS`` are about half of the shortest item
+of their class, hold one to three edits, and start often enough for a stretch at the
+tolerance to hold several. The number of keys follows from the target recall: a window holding one edit
+agrees on a key of ``k`` places with a chance of about ``(1 - disagree)^k``;
+``keys_needed`` repeats until the chance of no agreement at all is below
+``1 - recall``. The recall of the walks is tested for each item length and kind of
+edit, all at the whole tolerance, against the edit distance of all items to all documents.
+
+``exact=True`` adds a search that misses nothing: ``e`` edits leave an item of
+``n`` words at most ``e + 1`` pieces of ``n - e`` words together, so one of
+``(n - e) / (e + 1)`` words, rounded up, is whole. Every run of an item of that
+length is then looked up at every word of the documents. It is off by default.
 
 Items are a query set: they go to the tasks in blocks of at most ``BLOCK`` items,
 whatever their number, and documents are scanned once a block. Map-only.
@@ -58,12 +60,14 @@ PLACES = 4
 #: Chance that two windows one edit apart differ at an emitted place, measured over walks (see tests).
 DISAGREE = 0.16
 #: Independent walks; keys of one walk are alike, so several are needed.
-WALKS = 3
+WALKS = 4
 
 #: Longest runs of words looked up by the exact search.
 LONGEST_RUN = 8
 #: Upper word counts of the length classes; beyond the last one windows stay that long.
 CLASSES = (12, 18, 27, 40)
+#: Words of a window and words between the starts of two, by length class.
+WINDOWS = ((6, 2), (9, 3), (12, 4), (16, 4))
 
 
 def letter_table() -> np.ndarray:
@@ -91,13 +95,6 @@ def class_of(words: int) -> int:
     return sum(words > c for c in CLASSES[:-1])
 
 
-def shape(kind: int) -> tuple[int, int]:
-    """Window length and stride of a length class: any run of the class's shortest item holds a whole window."""
-    shortest = SHORTEST if kind == 0 else CLASSES[kind - 1] + 1
-    stride = max(2, shortest // 3)
-    return shortest - stride + 1, stride
-
-
 def whole_run(words: int, tolerance: float) -> int:
     """Words of an item that stay together whatever the edits within the tolerance, ``LONGEST_RUN`` at most."""
     edits = int(tolerance * words)
@@ -113,24 +110,23 @@ def lookup_map(keys: np.ndarray) -> tuple[np.uint64, np.ndarray]:
 
 
 def walk_keys(words: np.ndarray, starts: np.ndarray, size: int, walk: int, samples: int, places: int = PLACES) -> np.ndarray:
-    """Keys ``(samples, windows)`` of one random walk over the windows of ``size`` words."""
+    """Keys ``(samples, windows)`` of one random walk over the windows of ``size`` words; 0 where the walk leaves the window."""
     rng = np.random.default_rng(1000 * size + walk)
-    steps = min(2 * size, 64)
+    steps = min(size + size // 2, 64)
     taken = np.sort(np.stack([rng.choice(steps, places, replace=False) for _ in range(samples)]), 1)
     moves = mix(words ^ np.uint64(rng.integers(1, 1 << 62)))
     keys = np.zeros((samples, len(starts)), np.uint64)
+    left = np.zeros((samples, len(starts)), bool)
     at, end = starts.copy(), starts + size
     for j in range(int(taken.max()) + 1):
-        inside = at < end
-        here = np.minimum(at, len(words) - 1)
-        uses = np.flatnonzero((taken == j).any(1))
-        if len(uses):
-            emitted = np.where(inside, words[here], np.uint64(0))
-            for s in uses:
-                keys[s] = keys[s] * np.uint64(0x9E3779B97F4A7C15) + emitted
+        here = np.minimum(at, end - 1)
+        for s in np.flatnonzero((taken == j).any(1)):
+            keys[s] = keys[s] * np.uint64(0x9E3779B97F4A7C15) + words[here]
+            left[s] = at >= end
         at += ((moves[here] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
     for s in range(samples):  # walk, class and sample are part of the key
         keys[s] = mix(keys[s] + np.uint64(walk * 64 + s + 4096 * size))
+    keys[left] = 0
     return keys
 
 
@@ -159,7 +155,7 @@ def stretch_distance(item: np.ndarray, words: np.ndarray, limit: int) -> tuple[i
 class ItemIndex:
     """Keys of a block of items, sorted for lookup, and the items' words."""
 
-    def __init__(self, items: list[tuple[int, str]], recall: float = RECALL, tolerance: float = TOLERANCE):
+    def __init__(self, items: list[tuple[int, str]], recall: float = RECALL, tolerance: float = TOLERANCE, exact: bool = False):
         self.tolerance = tolerance
         self.samples = math.ceil(keys_needed(recall) / WALKS)
         raw = [t.encode() for _, t in items]
@@ -171,7 +167,7 @@ class ItemIndex:
         self.items, self.words = [items[i][0] for i in kept], [own[i] for i in kept]
         self.kinds, self.exact = {}, {}
         for kind in sorted({class_of(len(w)) for w in self.words if len(w) >= SHORTEST}):
-            size, stride = shape(kind)
+            size, stride = WINDOWS[kind]
             members = [i for i, w in enumerate(self.words) if len(w) >= SHORTEST and class_of(len(w)) == kind]
             line = np.concatenate([self.words[i] for i in members])
             lengths = np.array([len(self.words[i]) for i in members])
@@ -182,10 +178,11 @@ class ItemIndex:
             keys = np.concatenate([walk_keys(line, at, size, w, self.samples) for w in range(WALKS)]).ravel()
             item, place = np.tile(item, WALKS * self.samples), np.tile(place, WALKS * self.samples)
             order = np.argsort(keys, kind="stable")
+            order = order[keys[order] != 0]
             self.kinds[kind] = (size, stride, lookup_map(keys), keys[order], item[order], place[order])
         self.runs, by_run = {}, {}
         for i, w in enumerate(self.words):
-            if len(w) >= SHORTEST:
+            if exact and len(w) >= SHORTEST:
                 by_run.setdefault(whole_run(len(w), tolerance), []).append(i)
         for size, members in by_run.items():
             keys = np.concatenate([rolling(self.words[i], size) for i in members])
@@ -200,30 +197,31 @@ class ItemIndex:
     def search(self, words: np.ndarray, firsts: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
         """(document, item, distance, start, end, item words) of the best stretch of each item in each document."""
         spots: set[tuple[int, int, int]] = set()
-        counts = np.diff(firsts)
-        for size, stride, (bits, seen), keys, item, place in self.kinds.values():
-            n = np.maximum((counts - size) // stride + 1, 0) * (counts >= size)
-            docs = np.repeat(np.arange(len(counts)), n)
-            inner = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-            at = firsts[:-1][docs] + inner * stride
-            for walk in range(WALKS if len(at) else 0):
-                for row in walk_keys(words, at, size, walk, self.samples):
-                    maybe = np.flatnonzero(seen[row >> bits])
-                    low, high = np.searchsorted(keys, row[maybe], "left"), np.searchsorted(keys, row[maybe], "right")
-                    for w, a, b in zip(maybe.tolist(), low.tolist(), high.tolist()):
-                        for k in range(a, b):
-                            # Where the item would begin in the document; near places are one candidate.
-                            spots.add((int(docs[w]), int(item[k]), int(at[w] - place[k]) // 8))
-        for size, ((bits, seen), keys, item, place) in self.runs.items():
-            at, values = window_starts(firsts, size), rolling(words, size)
-            at = at[seen[values[at] >> bits]]
-            low, high = np.searchsorted(keys, values[at], "left"), np.searchsorted(keys, values[at], "right")
+
+        def meet(values, at, lookup, keys, item, place):
+            """Takes down where an item would begin in a document; near places are one candidate."""
+            bits, seen = lookup
+            maybe = seen[values >> bits] & (values != 0)
+            values, at = values[maybe], at[maybe]
+            low, high = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
             counts = high - low
-            k = np.arange(counts.sum()) + np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
+            k = np.arange(counts.sum()) + np.repeat(low - np.cumsum(counts) + counts, counts)
             at = np.repeat(at, counts)
             docs = np.searchsorted(firsts, at, "right") - 1
             rows = np.stack([docs, item[k], (at - place[k]) // 8], 1)
             spots.update(map(tuple, np.unique(rows, axis=0).tolist()))
+
+        counts = np.diff(firsts)
+        for size, stride, *index in self.kinds.values():
+            n = np.maximum((counts - size) // stride + 1, 0) * (counts >= size)
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(firsts[:-1], n) + inner * stride
+            for walk in range(WALKS if len(at) else 0):
+                for row in walk_keys(words, at, size, walk, self.samples):
+                    meet(row, at, *index)
+        for size, index in self.runs.items():
+            at, values = window_starts(firsts, size), rolling(words, size)
+            meet(values[at], at, *index)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for d, i, spot in sorted(spots):
             own, slack = self.words[i], int(self.tolerance * len(self.words[i]))
@@ -270,11 +268,11 @@ def _blocks(benchmark: DataFrame, block: int):
         yield part
 
 
-def _scan(docs: DataFrame, items: list, recall: float, tolerance: float, name: str) -> DataFrame:
+def _scan(docs: DataFrame, items: list, recall: float, tolerance: float, exact: bool, name: str) -> DataFrame:
     given = docs.sparkSession.sparkContext.broadcast(items)
 
     def kernel():
-        index, separators, hasher = ItemIndex(given.value, recall, tolerance), word_separators(), Hasher(0, letter_table())
+        index, separators, hasher = ItemIndex(given.value, recall, tolerance, exact), word_separators(), Hasher(0, letter_table())
 
         def compute(data, offsets):
             starts, ends, firsts = find_words(data, offsets, separators)
@@ -288,7 +286,7 @@ def _scan(docs: DataFrame, items: list, recall: float, tolerance: float, name: s
     return append(docs, f"`{name}` {_FOUND}", kernel)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL, tolerance: float = TOLERANCE, block: int = BLOCK, exact: bool = False) -> DataFrame:
     """Benchmark items found in documents, one row per document row and item.
 
     ``doc_id, item_id, distance, start_word, end_word, item_words``: the edit
@@ -297,7 +295,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL,
     """
     own = docs.select("doc_id", "text")
     parts = [
-        _scan(own, items, recall, tolerance, "_found").select("doc_id", F.inline("_found"))
+        _scan(own, items, recall, tolerance, exact, "_found").select("doc_id", F.inline("_found"))
         for items in _blocks(benchmark, block)
     ]
     if not parts:
@@ -308,12 +306,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL,
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL, tolerance: float = TOLERANCE, block: int = BLOCK, exact: bool = False) -> DataFrame:
     """The documents in which no benchmark item is found, with their columns."""
     kept = [F.col(f"`{c}`") for c in docs.columns]
     name = "_found"
     while name in docs.columns:
         name += "_"
     for items in _blocks(benchmark, block):
-        docs = _scan(docs, items, recall, tolerance, name).where(F.size(name) == 0).select(*kept)
+        docs = _scan(docs, items, recall, tolerance, exact, name).where(F.size(name) == 0).select(*kept)
     return docs
