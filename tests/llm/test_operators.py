@@ -1,6 +1,7 @@
 """Every operator against brute force on a small corpus with nulls, copies, ties and long texts."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -328,12 +329,93 @@ def test_language(spark, corpus):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         else:
             assert r.lang_pred in model.langs and 0 <= r.score <= 1
-            vectors = np.array([model.vector(w) for w in language.words_of(r.text)], np.float64).mean(0)
-            assert r.lang_pred == model.langs[int(vectors.argmax())]
     long_ones = [r for r in found if r.text and len(words(r.text)) > 30 and r.lang and "\n" not in r.text]
     assert np.mean([r.lang_pred == r.lang for r in long_ones]) > 0.7
 
 
+class PlainBackoff:
+    """The language model by its description: counts of words and grams in dictionaries, log frequencies one by one."""
+
+    def __init__(self, taught, sizes=range(5)):
+        self.counts = {}
+        for lang, text in taught:
+            for word in re.findall(r"[^\W\d_]+", text.lower()):
+                for size in sizes:
+                    padded = word if size < 2 else f"_{word}_"
+                    for gram in [word] if size == 0 else [padded[i : i + size] for i in range(len(padded) - size + 1)]:
+                        self.counts.setdefault(size, {}).setdefault(gram, Counter())[lang] += 1
+        self.langs = sorted({lang for lang, _ in taught})
+        self.total = {size: sum(table.values(), Counter()) for size, table in self.counts.items()}
+
+    def frequency(self, size, gram, lang):
+        table = self.counts[size]
+        return math.log((table[gram][lang] + 0.5) / (self.total[size][lang] + 0.5 * len(table)))
+
+    def word(self, word, lang):
+        if word in self.counts.get(0, {}):
+            return self.frequency(0, word, lang)
+        for size in (4, 3, 2, 1):
+            padded = word if size < 2 else f"_{word}_"
+            known = [g for g in (padded[i : i + size] for i in range(len(padded) - size + 1)) if g in self.counts.get(size, {})]
+            if known:
+                return sum(self.frequency(size, g, lang) for g in known) / len(known)
+        return 0.0
+
+    def best(self, text):
+        own = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not own:
+            return "und", 0.0
+        means = {lang: sum(self.word(w, lang) for w in own) / len(own) for lang in self.langs}
+        best = max(self.langs, key=lambda lang: means[lang])
+        return best, 1 / sum(math.exp((m - means[best]) * min(len(own), 12)) for m in means.values())
+
+
+def test_language_equals_the_plain_model(spark, corpus):
+    rows, docs = corpus
+    taught = [(r[2], r[1]) for r in docs.select("doc_id", "text", "lang").collect()
+              if r[0] is not None and r[1] is not None and r[2] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    plain = PlainBackoff(taught)
+    for r in language.predict(docs, language.train(docs)).select("text", "lang_pred", "score").collect():
+        lang, score = plain.best(r.text)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-3, r
+
+
+def test_language_knows_any_number_of_languages(spark):
+    """400 languages of twelve documents, one of them with 2,000: each is told, also where words are remembered a few at a time."""
+    def text(lang, d):
+        return " ".join(f"{chr(97 + lang % 26)}{chr(97 + lang // 26)}{chr(97 + k)}" for k in range(12)) + f" doc{chr(97 + d % 26)}"
+
+    rows = [(3000 * lang + d, text(lang, d), f"l{lang:03}") for lang in range(400) for d in range(2000 if lang == 0 else 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    model = language.train(docs, per_language=100, sample=900)
+    assert len(model.langs) == 400
+    found = language.predict(docs, model)
+    assert found.where("lang_pred <> lang").count() == 0
+    few = language.predict(docs.where("doc_id % 3000 < 12"), model, remembered=7)
+    narrow = {r[0]: r[1] for r in few.select("doc_id", "lang_pred").collect()}
+    assert all(lang == f"l{d // 3000:03}" for d, lang in narrow.items()) and len(narrow) == 4800
+
+
+def test_language_sample_is_the_least_hashes_in_rounds(spark):
+    rows = [(d, lang, "x") for lang, n in (("big", 3000), ("mid", 40), ("one", 1)) for d in range(n)] + [(9, "same", "x")] * 5000
+    own = spark.createDataFrame(rows, "_id long, lang string, text string")
+    hashed = {r[0]: r[1] for r in own.select("_id", F.xxhash64("_id")).distinct().collect()}
+    for parts in (1, 7):
+        got = Counter()
+        for r in language.sampled_ids(own.repartition(parts), 50, 10**6).collect():
+            got[r.lang, r._id] += 1
+        expected = {(lang, d) for lang in ("big", "mid", "one", "same") for d in sorted({r[0] for r in rows if r[1] == lang}, key=hashed.get)[:50]}
+        assert set(got) == expected and set(got.values()) == {1}
+        few = [r.lang for r in language.sampled_ids(own.repartition(parts), 50, 20).collect()]
+        assert Counter(few) == {"big": 9, "mid": 9, "one": 1, "same": 1}
+
+
+def test_language_entries_have_one_bound():
+    for languages in (1, 4, 256, 5000, 50_000):
+        share = language.share_of(languages)
+        assert 1 <= share <= language.ENTRIES and share * languages * (language.ORDER + 1) <= language.ALL_ENTRIES
+
+
 def test_backoff_goes_from_words_to_letters():
     model = language.BackoffModel([("a", 0, "cat", 5), ("b", 0, "dog", 5), ("a", 2, "xy", 3), ("b", 2, "uv", 3), ("b", 1, "z", 4), ("a", 1, "q", 2)])
     assert model.vector("cat")[0] > model.vector("cat")[1] and model.vector("dog")[1] > model.vector("dog")[0]

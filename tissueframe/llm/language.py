@@ -5,13 +5,17 @@ in each language. An unseen word falls back to its character ``ORDER``-grams; if
 none of them is known, to shorter ones, down to single letters. The language of
 the highest mean wins.
 
-The model is fitted on at most ``PER_LANGUAGE`` documents of each language (those
-with the smallest hash of the id among the ones learning may use); word and gram
-tables keep the most frequent entries, so its size has a bound.
+The model is fitted on a bounded sample of the documents learning may use: of every
+language those with the smallest hash of the id, ``PER_LANGUAGE`` at most, and of all
+languages ``SAMPLE``, dealt in rounds, so each language gives one document before any
+gives two. No language is left out for being rare. Word and gram tables keep the most
+frequent entries, ``ENTRIES`` of a language and ``ALL_ENTRIES`` of all; entries hold only
+the languages they were seen in, so the model's size has a bound whatever the number of languages.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows with a null ``lang`` teach nothing; without any labelled row all texts are ``und``;
-ties go to the language first in order of its name.
+ties go to the language first in order of its name; rows of one ``doc_id`` and language teach
+together and count as one document of the sample; columns ``lang_pred`` and ``score`` of the input are replaced.
 """
 
 from __future__ import annotations
@@ -25,18 +29,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueframe.llm.textops import append, held_out, slices
+from tissueframe.plans.lineage import drop_stored, store
 
-#: Languages at most, the ones with most documents; with the next figure it bounds the sample's ids.
-LANGUAGES = 256
 #: Documents of a language the model is fitted on at most; up to 1000 Spark cuts each task to them before the shuffle.
 PER_LANGUAGE = 1000
+#: Documents of all languages the model is fitted on at most.
+SAMPLE = 50_000
+#: Times ``PER_LANGUAGE`` rows expected below the hash limit of a large language, of which the least are taken.
+MARGIN = 4
 ORDER = 4
 #: Entries of a language's word table and of each of its gram tables.
 ENTRIES = 30_000
+#: Entries of all tables of all languages; each table gets the same share where it is less than ``ENTRIES``.
+ALL_ENTRIES = 1_000_000
 #: Words whose log frequencies count at most towards the score's sharpness.
 SHARPNESS = 12
-#: Words a task remembers before it starts anew.
+#: Words a task remembers before it starts anew, and figures (words times languages) they may take.
 REMEMBERED = 300_000
+REMEMBERED_FIGURES = 20_000_000
 
 UNKNOWN = "und"
 
@@ -82,87 +92,123 @@ def count_grams(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
     return found.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= entries).drop("_at")
 
 
+def share_of(languages: int, entries: int = ENTRIES, all_entries: int = ALL_ENTRIES) -> int:
+    """Entries of one table of one language."""
+    return max(1, min(entries, all_entries // ((ORDER + 1) * max(1, languages))))
+
+
 class BackoffModel:
-    """Log frequencies of words and grams: one table a size, a vector over the languages an entry."""
+    """Log frequencies of words and grams: one table a size. An entry holds the languages it was seen in and
+    what its log frequency there exceeds that of an unseen entry by; ``floors`` are the unseen ones."""
 
     def __init__(self, rows: list[tuple[str, int, str, int]]):
         self.langs = sorted({r[0] for r in rows})
         at = {lang: i for i, lang in enumerate(self.langs)}
-        counts: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER + 1)]
+        seen: list[dict[str, list[tuple[int, int]]]] = [{} for _ in range(ORDER + 1)]
+        total = np.zeros((ORDER + 1, len(self.langs)))
         for lang, size, gram, n in rows:
-            counts[size].setdefault(gram, np.zeros(len(self.langs)))[at[lang]] += n
-        self.tables: list[dict[str, np.ndarray]] = []
-        for table in counts:
-            total = sum(table.values()) if table else np.zeros(len(self.langs))
-            size = max(1, len(table))
-            self.tables.append({g: np.log((v + 0.5) / (total + 0.5 * size)).astype(np.float32) for g, v in table.items()})
+            seen[size].setdefault(gram, []).append((at[lang], n))
+            total[size, at[lang]] += n
+        below = total + 0.5 * np.array([max(1, len(table)) for table in seen])[:, None]
+        self.floors = np.log(0.5 / below).astype(np.float32)
+        entries = [own for table in seen for own in table.values()]
+        self.bounds = np.concatenate(([0], np.cumsum([len(own) for own in entries]))).astype(np.int64)
+        self.at = np.array([i for own in entries for i, _ in own], np.int32)
+        self.above = np.log([2 * n + 1 for own in entries for _, n in own]).astype(np.float32)
+        self.tables: list[dict[str, int]] = []
+        count = 0
+        for table in seen:
+            self.tables.append({gram: count + k for k, gram in enumerate(table)})
+            count += len(table)
 
     def vector(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        for order in range(ORDER, 0, -1):
+        """Log frequencies of a word in all languages; zeros where not even a letter is known."""
+        for order in (0, *range(ORDER, 0, -1)):
             table = self.tables[order]
-            found = [table[g] for g in grams_of(word, order) if g in table]
+            found = [table[g] for g in (grams_of(word, order) if order else [word]) if g in table]
             if found:
-                return np.mean(found, axis=0, dtype=np.float32)
+                out = self.floors[order].copy()
+                for entry in found:
+                    own = slice(self.bounds[entry], self.bounds[entry + 1])
+                    out[self.at[own]] += self.above[own] / len(found)
+                return out
         return np.zeros(len(self.langs), np.float32)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, entries: int = ENTRIES, languages: int = LANGUAGES) -> BackoffModel | None:
+def sampled_ids(own: DataFrame, per_language: int, sample: int) -> DataFrame:
+    """``(_id, lang)`` of at most ``sample`` documents, the least hashes of each language in rounds.
+
+    Ids only. Of a large language just the ids below a limit of the hash, a few times as many as are wanted, leave
+    their task; the limit follows from the language's count of ids, so what one task reads does not grow with the input.
+    """
+    sizes = own.groupBy("lang").agg(F.approx_count_distinct("_id").alias("_size"))
+    share = F.xxhash64("_id") / F.lit(float(2**64)) + 0.5  # of the hashes, those that are smaller
+    few = own.select("_id", "lang").join(sizes, "lang").where(share * F.col("_size") <= MARGIN * per_language)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
+    few = few.select("_id", "lang").distinct().withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= per_language)
+    return few.orderBy("_at", F.xxhash64("_id", "lang"), "_id", "lang").limit(sample).select("_id", "lang")
+
+
+def train(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, entries: int = ENTRIES, sample: int = SAMPLE, all_entries: int = ALL_ENTRIES
+) -> BackoffModel | None:
     """A model of the labelled documents outside the held-out third; None if there are none.
 
-    The sample's ids, ``languages * per_language`` at most, are broadcast, so no text is shuffled.
+    The sample's ids, ``sample`` at most, are broadcast, so no text is shuffled.
     """
-    own = docs.select(F.col("doc_id").alias("_id"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
+    own = docs.select(F.col("doc_id").alias("_id"), F.col("lang").cast("string").alias("lang"), "text")
+    own = own.where("lang IS NOT NULL AND text IS NOT NULL")
     own = own.where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
-    # Ids only; Spark cuts every task to the first rows of a language before the shuffle.
-    largest = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    chosen = own.select("_id", "lang").withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= per_language)
-    chosen = chosen.join(F.broadcast(largest), "lang").select("_id", "lang").distinct()
-    sample = own.join(F.broadcast(chosen), ["_id", "lang"])
-    table = count_grams(sample.select("lang", "text"), entries).toArrow()
+    chosen = store(sampled_ids(own, per_language, sample), "language-sample")
+    languages = chosen.select("lang").distinct().count()
+    taught = own.join(F.broadcast(chosen), ["_id", "lang"])
+    table = count_grams(taught.select("lang", "text"), share_of(languages, entries, all_entries)).toArrow()
+    drop_stored(chosen)
     if not table.num_rows:
         return None
     return BackoffModel(list(zip(*(table.column(c).to_pylist() for c in ("lang", "size", "gram", "n")))))
 
 
-def predict(docs: DataFrame, model: BackoffModel | None) -> DataFrame:
+def predict(docs: DataFrame, model: BackoffModel | None, remembered: int = REMEMBERED) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the share of the winner among all languages. Whole texts, map-only."""
     given = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its tables
 
     def kernel():
         model = given.value
-        width = len(model.langs) if model else 0
+        width = len(model.langs) if model else 1
+        most = max(1, min(remembered, REMEMBERED_FIGURES // width))
         known: dict[str, int] = {}
-        vectors = np.zeros((1024, width), np.float32)
+        vectors = np.zeros((min(1024, most), width), np.float32)
 
-        def compute(data, offsets):
+        def places(words):
+            """Rows of ``vectors`` of at most ``most`` words."""
             nonlocal vectors
-            raw, n = data.tobytes(), len(offsets) - 1
-            found = [words_of(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            if model is None:
-                return pa.array([UNKNOWN] * n), pa.array(np.zeros(n))
-            if len(known) > REMEMBERED:
+            fresh = set(words).difference(known)
+            if len(known) + len(fresh) > most:
                 known.clear()
-            fresh = set()
-            for words in found:
-                fresh.update(words)
-            fresh -= known.keys()
+                fresh = set(words)
             if len(known) + len(fresh) > len(vectors):
-                vectors = np.concatenate([vectors, np.zeros((len(known) + len(fresh), width), np.float32)])
+                more = min(most, 2 * (len(known) + len(fresh)))
+                vectors = np.concatenate([vectors, np.zeros((more - len(vectors), width), np.float32)])
             for word in fresh:
                 vectors[len(known)] = model.vector(word)
                 known[word] = len(known)
+            return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+        def compute(data, offsets):
+            raw = data.tobytes()
             names, scores = [], []
-            for words in found:
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                words = words_of(raw[a:b].decode()) if model else []
                 if not words:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                mean = vectors[at].mean(0, dtype=np.float64)
+                mean = np.zeros(width)
+                for at in range(0, len(words), most):
+                    rows = places(words[at : at + most])  # may replace ``vectors``
+                    mean += vectors[rows].sum(0, dtype=np.float64)
+                mean /= len(words)
                 best = int(mean.argmax())
                 share = 1 / np.exp((mean - mean[best]) * min(len(words), SHARPNESS)).sum()
                 names.append(model.langs[best])
