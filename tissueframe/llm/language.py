@@ -46,7 +46,7 @@ ALL_ENTRIES = 1_000_000
 SHARPNESS = 12
 #: Words a task remembers before it starts anew, and figures (words times languages) they may take.
 REMEMBERED = 300_000
-REMEMBERED_FIGURES = 20_000_000
+REMEMBERED_FIGURES = 8_000_000
 
 UNKNOWN = "und"
 
@@ -121,18 +121,38 @@ class BackoffModel:
             self.tables.append({gram: count + k for k, gram in enumerate(table)})
             count += len(table)
 
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of words in all languages, a row a word; zeros where not even a letter is known."""
+        entries, counts, orders = [], [], []
+        known, (letters, *longer) = self.tables[0], self.tables[1:]
+        for word in words:
+            entry = known.get(word)
+            if entry is not None:
+                entries.append(entry)
+                counts.append(1)
+                orders.append(0)
+                continue
+            found = []
+            for order in range(ORDER, 0, -1):
+                table = longer[order - 2] if order > 1 else letters
+                found = [table[g] for g in grams_of(word, order) if g in table]
+                if found:
+                    break
+            entries += found
+            counts.append(len(found))
+            orders.append(order if found else ORDER + 1)
+        width, rows = len(self.langs), np.repeat(np.arange(len(words)), counts)
+        share = 1 / np.maximum(counts, 1)
+        first = self.bounds[np.array(entries, np.int64)]
+        held = self.bounds[np.array(entries, np.int64) + 1] - first
+        own = np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)
+        rows = np.repeat(rows, held)
+        above = np.bincount(rows * width + self.at[own], self.above[own] * share[rows], len(words) * width)
+        unseen = np.concatenate([self.floors, np.zeros((1, width), np.float32)])[orders]
+        return unseen + above.reshape(len(words), width).astype(np.float32)
+
     def vector(self, word: str) -> np.ndarray:
-        """Log frequencies of a word in all languages; zeros where not even a letter is known."""
-        for order in (0, *range(ORDER, 0, -1)):
-            table = self.tables[order]
-            found = [table[g] for g in (grams_of(word, order) if order else [word]) if g in table]
-            if found:
-                out = self.floors[order].copy()
-                for entry in found:
-                    own = slice(self.bounds[entry], self.bounds[entry + 1])
-                    out[self.at[own]] += self.above[own] / len(found)
-                return out
-        return np.zeros(len(self.langs), np.float32)
+        return self.vectors([word])[0]
 
 
 def sampled_ids(own: DataFrame, per_language: int, sample: int) -> DataFrame:
@@ -180,33 +200,39 @@ def predict(docs: DataFrame, model: BackoffModel | None, remembered: int = REMEM
         known: dict[str, int] = {}
         vectors = np.zeros((min(1024, most), width), np.float32)
 
-        def places(words):
-            """Rows of ``vectors`` of at most ``most`` words."""
+        def remember(words: set[str]):
+            """Rows of ``vectors`` for at most ``most`` words; ``vectors`` may be replaced."""
             nonlocal vectors
-            fresh = set(words).difference(known)
+            fresh = list(words.difference(known))
             if len(known) + len(fresh) > most:
                 known.clear()
-                fresh = set(words)
-            if len(known) + len(fresh) > len(vectors):
-                more = min(most, 2 * (len(known) + len(fresh)))
-                vectors = np.concatenate([vectors, np.zeros((more - len(vectors), width), np.float32)])
-            for word in fresh:
-                vectors[len(known)] = model.vector(word)
-                known[word] = len(known)
-            return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                fresh = list(words)
+            end = len(known) + len(fresh)
+            if end > len(vectors):
+                vectors = np.concatenate([vectors, np.zeros((min(most, 2 * end) - len(vectors), width), np.float32)])
+            if fresh:
+                vectors[len(known) : end] = model.vectors(fresh)
+                known.update(zip(fresh, range(len(known), end)))
 
         def compute(data, offsets):
             raw = data.tobytes()
+            found = [words_of(raw[a:b].decode()) if model else [] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            distinct = set().union(*found)
+            at_once = len(distinct) <= most
+            if at_once and distinct:
+                remember(distinct)
             names, scores = [], []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-                words = words_of(raw[a:b].decode()) if model else []
+            for words in found:
                 if not words:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     continue
                 mean = np.zeros(width)
                 for at in range(0, len(words), most):
-                    rows = places(words[at : at + most])  # may replace ``vectors``
+                    part = words[at : at + most]
+                    if not at_once:
+                        remember(set(part))
+                    rows = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
                     mean += vectors[rows].sum(0, dtype=np.float64)
                 mean /= len(words)
                 best = int(mean.argmax())
