@@ -161,7 +161,8 @@ def sampled_ids(own: DataFrame, per_language: int, sample: int) -> DataFrame:
     Ids only. Of a large language just the ids below a limit of the hash, a few times as many as are wanted, leave
     their task; the limit follows from the language's count of ids, so what one task reads does not grow with the input.
     """
-    sizes = own.groupBy("lang").agg(F.approx_count_distinct("_id").alias("_size"))
+    # Written down, its size is known: Spark then joins without moving the ids, and cuts them before the shuffle.
+    sizes = store(own.groupBy("lang").agg(F.approx_count_distinct("_id").alias("_size")), "language-sizes")
     share = F.xxhash64("_id") / F.lit(float(2**64)) + 0.5  # of the hashes, those that are smaller
     few = own.select("_id", "lang").join(sizes, "lang").where(share * F.col("_size") <= MARGIN * per_language)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
