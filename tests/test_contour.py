@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tissueframe.functions import contour as C
@@ -58,3 +60,26 @@ def test_filled_cells_include_the_border(spark):
     assert len(cells) == 15 + 9 - 1 + 1
     # "9" is after "10" in string order, so it keeps the shared corner.
     assert cells[(4, 2)] == 10 and cells[(6, 4)] == 11 and cells[(20, 20)] == 4
+
+
+def test_spans_hold_the_cells_that_are_covered(spark):
+    rng = np.random.default_rng(8)
+    shapes = [rng.integers(0, 14, (n, 2)).tolist() for n in (1, 2, 3, 4, 5, 7, 9, 12, 20) for _ in range(4)]
+    shapes += [[[-3, -2], [5, -2], [5, 6], [-3, 6]], [[0, 0], [9, 0], [9, 0], [0, 0]], [[2, 1], [2, 8]]]
+    df = spark.createDataFrame([(f"s{i}", "7", c) for i, c in enumerate(shapes)], "sample string, ids string, contour array<array<int>>")
+    around = spark.range(-5, 16).select(F.col("id").cast("int").alias("x"))
+    box = df.withColumn("e", C.edges_of(F.col("contour"))).join(around).join(around.withColumnRenamed("x", "y"))
+    box = box.where(C.covered(F.col("e"), F.col("x"), F.col("y")))
+    want = {(r.sample, r.x, r.y) for r in box.collect()}
+    rows = nuclei.rasterize_nuclei(df).collect()
+    assert {(r.sample, r.x, r.y) for r in rows} == want and len(rows) == len(want)
+
+
+def test_id_order_is_the_order_of_texts(spark):
+    ids = ["0", "00", "7", "07", "10", "1", "100", "99", "9", "12345678901234567", "12345678901234568", "2147483648"]
+    df = spark.createDataFrame([(i,) for i in ids], "ids string").withColumn("o", nuclei.id_order(F.col("ids")))
+    rows = df.withColumn("back", nuclei.id_of_order(F.col("o"))).collect()
+    assert [r.ids for r in sorted(rows, key=lambda r: r.o)] == sorted(ids)
+    assert all(r.back == int(r.ids) for r in rows)
+    with pytest.raises(Exception, match="not an id"):
+        spark.createDataFrame([("a1",)], "ids string").select(nuclei.id_order(F.col("ids"))).collect()

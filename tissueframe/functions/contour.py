@@ -187,3 +187,41 @@ def covered(edges: Column, x: Column, y: Column) -> Column:
         )
     )
     return on_border | (crossings % 2 == 1)
+
+
+def row_spans(edges: Column, y: Column) -> Column:
+    """Spans ``(a, b)`` of whole x that :func:`covered` holds in row ``y``, for contours of whole numbers.
+
+    The edges that cross the row are cut once; between an odd crossing and the
+    next one lies the inside. Whole points on the border, which a crossing may leave out on the right,
+    are spans of their own, so spans may overlap.
+    """
+
+    def slope(e):
+        return F.try_divide((e["u"] - e["x"]) * (y - e["y"]), e["v"] - e["y"]) + e["x"]
+
+    crossing = F.filter(edges, lambda e: (e["y"] > y) != (e["v"] > y))
+    cuts = F.sort_array(F.transform(crossing, slope))
+    inside = _once(
+        cuts,
+        lambda c: F.transform(
+            c,
+            lambda at, i: F.struct(
+                F.ceil(at).alias("a"), F.when(i % 2 == 0, F.ceil(F.get(c, i + 1)) - 1).alias("b")
+            ),
+        ),
+    )
+    touching = F.filter(edges, lambda e: (y >= F.least(e["y"], e["v"])) & (y <= F.greatest(e["y"], e["v"])))
+
+    def border(e):
+        over = (e["u"] - e["x"]) * (y - e["y"])
+        rise = e["v"] - e["y"]
+        whole = F.when(F.try_mod(over, rise) == 0, (F.try_divide(over, rise) + e["x"]).cast("long"))
+        flat = rise == 0
+        return F.struct(
+            F.when(flat, F.least(e["x"], e["u"]).cast("long")).otherwise(whole).alias("a"),
+            F.when(flat, F.greatest(e["x"], e["u"]).cast("long")).otherwise(whole).alias("b"),
+        )
+
+    # A span without cells has no end, or one before its start.
+    return F.filter(F.concat(inside, F.transform(touching, border)), lambda p: p["a"] <= p["b"])

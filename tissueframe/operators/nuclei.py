@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tissueframe.functions.contour import contour_moments, contour_perimeter, contour_shape, covered, edges_of
+from tissueframe.functions.contour import contour_moments, contour_perimeter, contour_shape, edges_of, row_spans
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.schemas import CELL_CLASSES
 from tissueframe.plans.spread import spread
@@ -53,33 +53,55 @@ def nan_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def rasterize_nuclei(nuclei: DataFrame) -> DataFrame:
-    """Label raster ``(sample, x, y, label)`` of filled contours; label is id + 1.
+    """Label raster ``(sample, x, y, label)`` of filled contours of whole numbers; label is id + 1.
 
     Where nuclei overlap the one whose id is last in string order is kept. A
-    nucleus becomes the cells of its bounding box, tested against its own edges;
+    nucleus becomes the rows of its box, a row its spans between the sorted
+    crossings of the contour, and only covered cells are made;
     nuclei never meet each other before the per-cell choice.
     """
-    xs = F.transform("contour", lambda p: p[0])
     ys = F.transform("contour", lambda p: p[1])
-    boxed = spread(nuclei.where(F.size("contour") > 0), "sample", "ids").select(
+    rows = spread(nuclei.where(F.size("contour") > 0), "sample", "ids").select(
         "sample",
-        F.col("ids").cast("string").alias("_key"),
+        id_order(F.col("ids")).alias("_key"),
         edges_of(F.col("contour")).alias("_edges"),
-        F.array_min(ys).alias("_y0"),
-        F.array_max(ys).alias("_y1"),
-        F.explode(F.sequence(F.array_min(xs), F.array_max(xs))).alias("x"),
+        F.explode(F.sequence(F.array_min(ys), F.array_max(ys))).alias("y"),
     )
-    cells = boxed.withColumn("y", F.explode(F.sequence(F.col("_y0"), F.col("_y1"))))
-    return last_writer(cells.where(covered(F.col("_edges"), F.col("x"), F.col("y"))))
+    spans = F.transform(row_spans(F.col("_edges"), F.col("y")), lambda p: F.sequence(p["a"].cast("int"), p["b"].cast("int")))
+    # Spans of a row overlap at the border only.
+    cells = rows.select("sample", "_key", F.explode(F.array_distinct(F.flatten(spans))).alias("x"), "y")
+    return last_writer(cells)
 
 
-def last_writer(cells: DataFrame) -> DataFrame:
-    """One label per raster cell: the last id in string order as a number, plus one.
+# An id has at most this many digits: its order, five bits of length included, must fit in a BIGINT.
+ID_DIGITS = 17
+_TENS = [10**i for i in range(ID_DIGITS + 1)]
+
 
-    Ids are compared whole, as strings; an id that is no whole number is an error.
+def id_order(ids: Column) -> Column:
+    """BIGINT that orders whole numbers given as text as their texts are ordered: digits from the left, then length.
+
+    A NULL id stays NULL; one that is no whole number of up to 17 digits is an error.
     """
+    text = ids.cast("string")
+    size = F.length(text)
+    tens = F.get(F.array(*[F.lit(t).cast("long") for t in _TENS]), ID_DIGITS - size)
+    digits = text.rlike(f"^[0-9]{{1,{ID_DIGITS}}}$")
+    order = F.shiftleft(F.when(digits, text).cast("long") * tens, 5) + size
+    wrong = F.raise_error(F.concat(F.lit("not an id of whole digits: "), text)).cast("long")
+    return F.when(text.isNull() | digits, order).otherwise(wrong)
+
+
+def id_of_order(order: Column) -> Column:
+    """The number :func:`id_order` was made from."""
+    tens = F.array(*[F.lit(t).cast("long") for t in _TENS])
+    return F.call_function("div", F.shiftright(order, 5), F.get(tens, (F.lit(ID_DIGITS) - order.bitwiseAND(31)).cast("int")))
+
+
+def last_writer(cells: DataFrame) -> DataFrame:
+    """One label per raster cell: the last id in string order (``_key`` of :func:`id_order`) as a number, plus one."""
     best = cells.groupBy("sample", "x", "y").agg(F.max("_key").alias("_key"))
-    return best.select("sample", "x", "y", (F.col("_key").cast("long") + 1).alias("label"))
+    return best.select("sample", "x", "y", (id_of_order(F.col("_key")) + 1).alias("label"))
 
 
 def auto_offset(nuclei: DataFrame) -> DataFrame:
