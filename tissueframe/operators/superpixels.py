@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +13,8 @@ from tissueframe.functions.colour import rgb_to_lab
 from tissueframe.operators.assignment import assign_superpixel
 from tissueframe.operators.raster import patch_index
 from tissueframe.operators.stain import MEASURES
-from tissueframe.plans.lineage import store
 from tissueframe.plans.quantile import exact_quantiles
 from tissueframe.plans.skew import attach
-from tissueframe.plans.spread import spread
 
 # Id step between patches, and the level cells are scaled to.
 PATCH_STEP = 10000
@@ -104,62 +103,70 @@ def superpixels(
 
     Stands in for the sequential priority-queue segmentation. Seeds lie on a
     square lattice of about ``pixels_per_segment`` cells; a pixel only compares
-    the nine seeds around its own lattice cell, which arrive as one array by an
-    equality join, so no row is multiplied. ``meta`` has the slide's ``width``.
+    the nine seeds around its own lattice cell. Costs are compared in
+    millionths, equal ones go to the first seed of the lattice, and a seed that
+    lost all pixels keeps its place. ``meta`` has the slide's ``width``.
     The number of ``rounds`` is the method's own parameter, as in the published
     k-means form: labels are the nearest seeds after that many moves.
+
+    Pixels are shuffled once. A patch stays in one task through all rounds; it
+    has at most ``s`` x ``s`` pixels of five numbers however large the slide is
+    (about half a gigabyte of working arrays at 2048).
     """
     side = max(1, round(pixels_per_segment**0.5))
     keys = ["sample", "pi", "pj"]
     lab = rgb_to_lab(F.col("r"), F.col("g"), F.col("b"))
-    cut = patch_index(spread(pixels, "sample", "x", "y"), s).withColumn("_lab", lab)
-    points = cut.select(
-        *keys,
-        "x",
-        "y",
-        F.col("_lab.l").alias("l"),
-        F.col("_lab.a").alias("a"),
-        F.col("_lab.b").alias("b"),
-        F.floor((F.col("y") - F.col("pi") * s) / side).cast("int").alias("ci"),
-        F.floor((F.col("x") - F.col("pj") * s) / side).cast("int").alias("cj"),
-    )
-    points = store(points, "lab")
-    features = ("l", "a", "b", "x", "y")
-    seeds = points.groupBy(*keys, "ci", "cj").agg(*[F.avg(c).alias(c) for c in features])
-    seeds = store(seeds, "seeds")
-    steps = F.sequence(F.lit(-1), F.lit(1))
-    weight = compactness * compactness / (side * side)
-
-    def labelled(centres: DataFrame) -> DataFrame:
-        sent = centres.withColumn("_di", F.explode(steps)).withColumn("_dj", F.explode(steps))
-        near = sent.groupBy(
-            *keys, (F.col("ci") + F.col("_di")).alias("ci"), (F.col("cj") + F.col("_dj")).alias("cj")
-        ).agg(
-            F.collect_list(
-                F.struct(*[F.col(c).alias(c) for c in features], F.col("ci").alias("si"), F.col("cj").alias("sj"))
-            ).alias("_near")
-        )
-        met = points.join(near, [*keys, "ci", "cj"])
-
-        def cost(c):
-            colour = sum((F.col(n) - c[n]) * (F.col(n) - c[n]) for n in ("l", "a", "b"))
-            place = sum((F.col(n) - c[n]) * (F.col(n) - c[n]) for n in ("x", "y"))
-            return F.struct((colour + weight * place).alias("d"), c["si"].alias("si"), c["sj"].alias("sj"))
-
-        return met.withColumn("_best", F.array_min(F.transform("_near", cost)))
-
-    for _ in range(rounds):
-        chosen = labelled(seeds)
-        moved = chosen.groupBy(*keys, F.col("_best.si").alias("ci"), F.col("_best.sj").alias("cj")).agg(
-            *[F.avg(c).alias(c) for c in features]
-        )
-        # A seed without pixels keeps its place.
-        kept = seeds.join(moved, [*keys, "ci", "cj"], "left_anti")
-        seeds = store(moved.unionByName(kept), "seeds")
-
-    per_row = F.ceil(F.lit(s) / side).cast("int")
-    local = F.col("_best.si") * per_row + F.col("_best.sj")
-    final = labelled(seeds).select(*keys, "x", "y", local.alias("_local"))
-    wide = attach(final, meta.select("sample", "width"), ["sample"], "inner", spread=["x", "y"])
+    wide = attach(pixels, meta.select("sample", "width"), ["sample"], "inner", spread=["x", "y"])
+    cut = patch_index(wide, s).withColumn("_lab", lab)
+    points = cut.select(*keys, "width", "x", "y", F.col("_lab.l").alias("l"), F.col("_lab.a").alias("a"), F.col("_lab.b").alias("b"))
+    # Few bytes, much arithmetic: patches are spread by count, not by size.
+    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = points.repartition(parts, *keys).groupBy(*keys)
+    kinds = dict(points.dtypes)
+    shape = f"sample {kinds['sample']}, pi int, pj int, width {kinds['width']}, x {kinds['x']}, y {kinds['y']}, _local int"
+    final = dealt.applyInPandas(_segment(s, side, compactness * compactness / (side * side), rounds), shape)
     patch = F.col("pi") * (F.floor(F.col("width") / s) + 1) + F.col("pj")
-    return wide.select("sample", "x", "y", superpixel_id(patch, F.col("_local"), patch_step(s, pixels_per_segment)).alias("label"))
+    return final.select("sample", "x", "y", superpixel_id(patch, F.col("_local"), patch_step(s, pixels_per_segment)).alias("label"))
+
+
+def _segment(s: int, side: int, weight: float, rounds: int):
+    """Local label of a patch's pixels; its seeds are kept as a small lattice."""
+    lattice = math.ceil(s / side)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        points = [frame[c].to_numpy(dtype=float) for c in ("l", "a", "b", "x", "y")]
+        ci = (frame["y"].to_numpy() - int(frame["pi"].iloc[0]) * s) // side
+        cj = (frame["x"].to_numpy() - int(frame["pj"].iloc[0]) * s) // side
+        # One ring of empty cells round the lattice, so that every cell has nine around it.
+        ring = lattice + 2
+        home = ((ci + 1) * ring + cj + 1).astype(np.int64)
+
+        def centres(at, before):
+            n = np.bincount(at, minlength=ring * ring)
+            sums = [np.bincount(at, weights=p, minlength=ring * ring) for p in points]
+            return [np.where(n > 0, v / np.maximum(n, 1), b) for v, b in zip(sums, before)]
+
+        def nearest(seeds):
+            least, chosen = np.full(len(home), np.inf), home.copy()
+            for step in (di * ring + dj for di in (-1, 0, 1) for dj in (-1, 0, 1)):
+                at = home + step
+                cost = np.zeros(len(home))
+                for p, seed, w in zip(points, seeds, (1.0, 1.0, 1.0, weight, weight)):
+                    gap = p - seed[at]
+                    cost += w * gap * gap
+                cost = np.floor(cost * 1e6 + 0.3)
+                # A cell without a seed costs NaN and is never less.
+                better = cost < least
+                least[better], chosen[better] = cost[better], at[better]
+            return chosen
+
+        seeds = centres(home, [np.nan] * 5)
+        for _ in range(rounds):
+            seeds = centres(nearest(seeds), seeds)
+        chosen = nearest(seeds)
+        label = (chosen // ring - 1) * lattice + chosen % ring - 1
+        return frame[["sample", "pi", "pj", "width", "x", "y"]].assign(_local=label.astype("int32"))
+
+    return run

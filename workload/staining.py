@@ -210,11 +210,14 @@ def _(d):
     return rounded(stain.merge_fragments(pieces, cols), *cols)
 
 
-@query("rgb_to_lab", sql("pixels", f"""WITH lin AS (SELECT sample, x, y,
+LAB_SQL = f"""lin AS (SELECT sample, x, y,
       {', '.join(f"CASE WHEN {c} / 255 > {num(0.04045)} THEN pow(({c} / 255 + {num(0.055)}) / {num(1.055)}, {num(2.4)}) ELSE {c} / 255 / {num(12.92)} END AS l{c}" for c in 'rgb')} FROM pixels),
     t AS (SELECT *, {', '.join(f"{dot(row, ('lr', 'lg', 'lb'))} / {num(w)} AS t{n}" for n, (row, w) in zip('xyz', zip(colour.RGB_TO_XYZ, colour.WHITE_D65)))} FROM lin),
-    f AS (SELECT *, {', '.join(f"CASE WHEN t{n} > {num(0.008856)} THEN cbrt(t{n}) ELSE {num(7.787)} * t{n} + {num(16 / 116)} END AS f{n}" for n in 'xyz')} FROM t)
-    SELECT sample, x, y, round(116 * fy - 16, 5) AS l, round(500 * (fx - fy), 5) AS a, round(200 * (fy - fz), 5) AS b FROM f"""))
+    f AS (SELECT *, {', '.join(f"CASE WHEN t{n} > {num(0.008856)} THEN cbrt(t{n}) ELSE {num(7.787)} * t{n} + {num(16 / 116)} END AS f{n}" for n in 'xyz')} FROM t),
+    lab AS (SELECT sample, x, y, 116 * fy - 16 AS l, 500 * (fx - fy) AS a, 200 * (fy - fz) AS b FROM f)"""
+
+
+@query("rgb_to_lab", sql("pixels", f"WITH {LAB_SQL} SELECT sample, x, y, round(l, 5) AS l, round(a, 5) AS a, round(b, 5) AS b FROM lab"))
 def _(d):
     lab = colour.rgb_to_lab(F.col("r"), F.col("g"), F.col("b"))
     return rounded(d.pixels.select("sample", "x", "y", lab.alias("c")).select("sample", "x", "y", "c.l", "c.a", "c.b"), "l", "a", "b", digits=5)
@@ -342,7 +345,27 @@ def _(d):
     return d.raster.select("sample", "label").distinct()
 
 
-@query("superpixels")
+def superpixels_sql(s: int, side: int, weight: float, rounds: int) -> str:
+    """Every pixel with the cheapest of the nine seeds around it, ``rounds`` moves written one after the other."""
+    channels = ("l", "a", "b", "x", "y")
+    means = ", ".join(f"avg({c}) AS {c}" for c in channels)
+    cell = "sample, pi, pj"
+    cost = " + ".join(f"{num(w)} * (p.{c} - s.{c}) * (p.{c} - s.{c})" for c, w in zip(channels, (1.0, 1.0, 1.0, weight, weight)))
+    steps = [
+        f"cut AS MATERIALIZED (SELECT *, y // {s} AS pi, x // {s} AS pj, (y % {s}) // {side} AS ci, (x % {s}) // {side} AS cj FROM lab)",
+        f"s0 AS MATERIALIZED (SELECT {cell}, ci AS si, cj AS sj, {means} FROM cut GROUP BY ALL)",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""c{r} AS MATERIALIZED (SELECT {cell}, p.l, p.a, p.b, p.x, p.y,
+          min([CAST(floor(({cost}) * 1000000 + {num(0.3)}) AS BIGINT), si, sj]) AS best
+        FROM cut p JOIN s{r} s USING ({cell}) WHERE abs(si - ci) <= 1 AND abs(sj - cj) <= 1 GROUP BY ALL)""")
+        steps.append(f"""s{r + 1} AS MATERIALIZED (SELECT {cell}, best[2] AS si, best[3] AS sj, {means} FROM c{r} GROUP BY ALL
+        UNION ALL SELECT * FROM s{r} ANTI JOIN (SELECT {cell}, best[2] AS si, best[3] AS sj FROM c{r}) USING ({cell}, si, sj))""")
+    return ", ".join(steps)
+
+
+@query("superpixels", sql("pixels thumbs", f"""WITH {LAB_SQL}, {superpixels_sql(64, 10, 1.0, 3)}
+    SELECT sample, CAST(c.x AS INT) AS x, CAST(c.y AS INT) AS y,
+      CAST((pi * (width // 64 + 1) + pj) * 10000 + best[2] * 7 + best[3] AS BIGINT) AS label FROM c3 c JOIN thumbs USING (sample)"""))
 def _(d):
-    labels = superpixels.superpixels(d.pixels, d.thumbs, s=64, pixels_per_segment=100, compactness=10.0, rounds=3)
-    return labels.groupBy("sample", "label").agg(F.count("*").alias("n_cells"))
+    return superpixels.superpixels(d.pixels, d.thumbs, s=64, pixels_per_segment=100, compactness=10.0, rounds=3)
