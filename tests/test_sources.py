@@ -136,6 +136,20 @@ def test_images_as_blocks(spark, tmp_path):
     assert {(r.x, r.y): (r.r, r.g, r.b) for r in px} == {(x, y): rows[y][x] for x in range(5) for y in range(4)}
 
 
+def test_images_written_and_read_back(spark, tmp_path):
+    from tissueframe.operators.features import blocks_to_pixels, pixels_to_blocks
+
+    # Odd widths need padded rows; cells without a pixel are white.
+    cells = [("a", x, y, x * 20, y * 30, 10) for x in range(7) for y in range(5) if (x, y) != (3, 2)] + [("b", 0, 0, 13, 10, 26)]
+    px = spark.createDataFrame(cells, "sample string, x int, y int, r int, g int, b int")
+    path = str(tmp_path / "slides")
+    images.write_images(pixels_to_blocks(px, 4), path)
+    meta = {r["sample"]: (r.width, r.height, r.channels) for r in images.read_image_meta(spark, path + "/*").collect()}
+    assert meta == {"a": (7, 5, 3), "b": (1, 1, 3)}
+    back = {tuple(r) for r in blocks_to_pixels(images.read_image_blocks(spark, path + "/*", size=3)).collect()}
+    assert back == set(cells) | {("a", 3, 2, 255, 255, 255)}
+
+
 def test_publish_keeps_or_replaces(spark, tmp_path):
     a = spark.createDataFrame([("s1", 1), ("s2", 1)], "sample string, v int")
     b = spark.createDataFrame([("s2", 2), ("s3", 2)], "sample string, v int")

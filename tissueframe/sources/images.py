@@ -51,3 +51,35 @@ def read_image_blocks(spark: SparkSession, path: str, size: int = 256) -> DataFr
         F.col("image.data").alias("data"),
     )
     return flat.mapInPandas(cut, "sample string, bx int, by int, x0 int, y0 int, w int, h int, data binary")
+
+
+def write_images(blocks: DataFrame, path: str) -> None:
+    """One bitmap file per sample from its RGB blocks, in folders ``sample=..``.
+
+    Cells that no block covers stay white. A file is one image, so one task puts
+    it together: meant for thumbnails and small images, as the reader is. The
+    bytes go through Spark's text sink, which writes a row as it is; the
+    line end behind the image is not read by decoders.
+    """
+
+    def encode(frame: pd.DataFrame) -> pd.DataFrame:
+        import struct
+
+        import numpy as np
+
+        width = int((frame["x0"] + frame["w"]).max())
+        height = int((frame["y0"] + frame["h"]).max())
+        raster = np.full((height, width, 3), 255, dtype=np.uint8)
+        for b in frame.itertuples(index=False):
+            raster[b.y0 : b.y0 + b.h, b.x0 : b.x0 + b.w] = np.frombuffer(b.data, dtype=np.uint8).reshape(b.h, b.w, 3)
+        # Bitmaps hold blue first, the last row first, and rows padded to four bytes.
+        rows = np.pad(raster[::-1, :, ::-1].reshape(height, -1), ((0, 0), (0, -3 * width % 4)))
+        info = struct.pack("<IiiHHIIiiII", 40, width, height, 1, 24, 0, rows.size, 2835, 2835, 0, 0)
+        head = struct.pack("<2sIHHI", b"BM", 14 + len(info) + rows.size, 0, 0, 14 + len(info))
+        return pd.DataFrame({"sample": [frame["sample"].iloc[0]], "data": [head + info + rows.tobytes()]})
+
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = dict(blocks.dtypes)["sample"]
+    dealt = blocks.select("sample", "x0", "y0", "w", "h", "data").repartition(parts, "sample")
+    files = dealt.groupBy("sample").applyInPandas(encode, f"sample {kind}, data binary")
+    files.select("sample", F.col("data").cast("string").alias("value")).write.partitionBy("sample").mode("overwrite").text(path)

@@ -11,8 +11,9 @@ import itertools
 from pyspark.sql import functions as F
 
 from tissueframe.operators import reads
+from tissueframe.operators.features import blocks_to_pixels, pixels_to_blocks
 from tissueframe.plans.lineage import scratch_path
-from tissueframe.sources import mtx, sequences, tables
+from tissueframe.sources import images, mtx, sequences, tables
 from workload.imaging import HEX, HEX_SQL, hex_grid, hex_info, rounded, shapes
 from workload.sequencing import SPLIT_SQL, named
 from workload.views import Data, num, sql
@@ -245,3 +246,15 @@ def _(d):
     species = F.when(F.col("p_size") % 2 == 0, "mouse").otherwise("human")
     twice.select(species.alias("species"), line.alias("value")).write.partitionBy("species").text(path)
     return sequences.read_gtf(d.spark, path)
+
+
+@query("file_images", sql("pixels", """SELECT s.sample, CAST(i AS INT) AS x, CAST(j AS INT) AS y, CAST(s.width AS INT) AS width, CAST(s.height AS INT) AS height,
+      coalesce(r, 255) AS r, coalesce(g, 255) AS g, coalesce(b, 255) AS b
+    FROM (SELECT sample, max(x) + 1 AS width, max(y) + 1 AS height FROM pixels GROUP BY 1) s
+    JOIN range(0, 100) a(i) ON i < s.width JOIN range(0, 100) c(j) ON j < s.height
+    LEFT JOIN pixels p ON p.sample = s.sample AND p.x = i AND p.y = j"""))
+def _(d):
+    path = scratch_path(d.spark, "images")
+    images.write_images(pixels_to_blocks(d.pixels, 32), path)
+    pixels = blocks_to_pixels(images.read_image_blocks(d.spark, f"{path}/*", 48))
+    return pixels.join(images.read_image_meta(d.spark, f"{path}/*").drop("channels"), "sample")

@@ -349,12 +349,45 @@ def _(d):
     return raster.binarise_half_max(d.pixels.select("sample", "x", "y", "g"), "g")
 
 
-@query("tissue_mask")
+# Disks as starts and ends along a row, closing by running maxima and minima, holes by a flood over the gaps of rows.
+def tissue_mask_sql(chunk: int, kernel: int) -> str:
+    around = f"ROWS BETWEEN {kernel // 2} PRECEDING AND {kernel - kernel // 2 - 1} FOLLOWING"
+    across, down = "PARTITION BY sample, y ORDER BY x", "PARTITION BY sample, x ORDER BY y"
+    return f"""{HEX_SQL},
+    info AS (SELECT sample, f, CAST(trunc(trunc({num(HEX["tile"])}) * {num(1.5)} / f) AS INT) AS r,
+        CAST(ceil(x / f) AS INT) AS width, CAST(ceil(y / f) AS INT) AS height
+      FROM (SELECT *, CAST(ceil(greatest(x, y) / {chunk}) AS INT) AS f FROM slides)),
+    tiles AS (SELECT sample, r, width, height, pxl_col_in_fullres // f AS cx, pxl_row_in_fullres // f AS cy
+      FROM grid JOIN info USING (sample) WHERE array_col % 3 <> 1),
+    rows_ AS (SELECT sample, cy + dy AS y, width, cx - CAST(ceil(sqrt(r * r - dy * dy)) AS INT) + 1 AS x0, cx + CAST(ceil(sqrt(r * r - dy * dy)) AS INT) AS x1
+      FROM tiles JOIN range(-200, 201) d(dy) ON abs(dy) < r WHERE cy + dy BETWEEN 0 AND height - 1),
+    marks AS (SELECT sample, y, x, sum(v) AS v FROM (
+        SELECT sample, y, greatest(x0, 0) AS x, 1 AS v FROM rows_ WHERE x1 > 0 AND x0 < width
+        UNION ALL SELECT sample, y, x1, -1 FROM rows_ WHERE x1 > 0 AND x0 < width) GROUP BY ALL),
+    canvas AS (SELECT sample, i AS x, j AS y, width, height FROM info JOIN range(0, {chunk}) a(i) ON i < width JOIN range(0, {chunk}) b(j) ON j < height),
+    marked AS (SELECT sample, x, y, width, height, coalesce(v, 0) AS v FROM canvas LEFT JOIN marks USING (sample, x, y)),
+    drawn AS (SELECT * EXCLUDE (v), sum(v) OVER ({across}) > 0 AS m FROM marked),
+    wide AS (SELECT * REPLACE (bool_or(m) OVER ({across} {around}) AS m) FROM drawn),
+    grown AS MATERIALIZED (SELECT * REPLACE (bool_or(m) OVER ({down} {around}) AS m) FROM wide),
+    gaps AS MATERIALIZED (SELECT sample, y, min(x) AS a, max(x) AS b,
+        bool_or(x = 0 OR y = 0 OR x = width - 1 OR y = height - 1) AS edge
+      FROM (SELECT *, x - row_number() OVER ({across}) AS island FROM grown WHERE NOT m) GROUP BY sample, y, island),
+    outside AS (SELECT sample, y, a, b FROM gaps WHERE edge
+      UNION SELECT g.sample, g.y, g.a, g.b FROM outside o JOIN gaps g ON g.sample = o.sample AND abs(g.y - o.y) = 1 AND g.a <= o.b AND g.b >= o.a),
+    free AS (SELECT sample, y, unnest(range(a, b + 1)) AS x FROM outside),
+    filled AS (SELECT c.sample, c.x, c.y, o.x IS NULL AS m FROM canvas c LEFT JOIN free o ON o.sample = c.sample AND o.y = c.y AND o.x = c.x),
+    thin AS (SELECT * REPLACE (bool_and(m) OVER ({across} {around}) AS m) FROM filled),
+    closed AS (SELECT * REPLACE (bool_and(m) OVER ({down} {around}) AS m) FROM thin)"""
+
+
+@query("tissue_mask", sql("slides", f"""WITH {tissue_mask_sql(300, 10)}
+    SELECT sample, CAST(y AS INT) AS y, count(*) AS cells, CAST(min(x) AS INT) AS x0, CAST(max(x) AS INT) AS x1, CAST(sum(x * x) AS BIGINT) AS spread
+    FROM closed WHERE m GROUP BY 1, 2""").replace("WITH ", "WITH RECURSIVE ", 1))
 def _(d):
     # Every third tile column is tissue, so the mask has bands and holes.
     flagged = hex_grid(d).withColumn("in_tissue", (F.col("array_col") % 3 != 1).cast("int"))
-    return raster.tissue_mask(flagged, hex_info(d), chunk=300, kernel=10).groupBy("sample").agg(
-        F.count("*").alias("cells"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
+    return raster.tissue_mask(flagged, hex_info(d), chunk=300, kernel=10).groupBy("sample", "y").agg(
+        F.count("*").alias("cells"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.sum(F.col("x").cast("long") * F.col("x")).alias("spread")
     )
 
 
