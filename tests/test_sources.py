@@ -191,3 +191,16 @@ def test_fasta_ranges_and_long_lines(spark, tmp_path):
             assert all(text[a : a + len(s)] == s and len(s) <= 304 for a, s in own)
             assert "".join(s[:300] if a + len(s) < len(text) else s for a, s in own) == text
     assert {c.species for c in chunks} == {"human"}
+
+
+def test_many_folders_are_written_by_several_tasks(spark, tmp_path):
+    info = spark.range(40).coalesce(1).selectExpr("concat('S', id) AS sample", "CAST(id AS INT) AS x", "CAST(7 AS INT) AS y")
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    tables.write_grid_info(info, str(tmp_path / "grid"))
+    files = [f.name for f in (tmp_path / "grid").rglob("part-*.json")]
+    assert len(files) == 40 and len({f.split("-")[1] for f in files}) > 1
+    found = {(r["sample"], r.x, r.y) for r in tables.read_grid_info(spark, str(tmp_path / "grid")).collect()}
+    assert found == {(f"S{i}", i, 7) for i in range(40)}
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    tables.export_run(spark, {"a": 1}, info, str(tmp_path / "run"))
+    assert len({f.name.split("-")[1] for f in (tmp_path / "run" / "info").rglob("part-*.txt")}) > 1

@@ -10,11 +10,12 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from tissueframe.operators import reads
+from tissueframe.operators import grid, reads
 from tissueframe.operators.features import blocks_to_pixels, pixels_to_blocks
 from tissueframe.plans.lineage import scratch_path
+from tissueframe.plans.spread import spread_evenly
 from tissueframe.sources import images, mtx, sequences, tables
-from workload.imaging import HEX, HEX_SQL, hex_grid, hex_info, rounded, shapes
+from workload.imaging import HEX, HEX_SQL, hex_info, rounded, shapes
 from workload.sequencing import SPLIT_SQL, named
 from workload.views import Data, num, sql
 
@@ -43,7 +44,8 @@ def _(d):
 @query("file_positions", sql("slides", f"WITH {HEX_SQL} SELECT sample, barcode, in_tissue, array_row, array_col, pxl_row_in_fullres, pxl_col_in_fullres FROM grid"))
 def _(d):
     path = scratch_path(d.spark, "positions")
-    hex_grid(d).select("sample", *tables.schemas.OBS_COLUMNS).write.partitionBy("sample").csv(path)
+    spots = grid.make_grid(spread_evenly(d.slides, "sample"), "hex")
+    tables.folder_writer(spots.select("sample", *tables.schemas.OBS_COLUMNS)).csv(path)
     return tables.read_positions(d.spark, path).drop("grid_ord")
 
 
@@ -58,8 +60,8 @@ def _(d):
 def _(d):
     path = scratch_path(d.spark, "roi")
     text = F.lit('{"0":{"location":0.25,"size":0.5},"1":{"location":0,"size":1}}')
-    d.slides.where("x % 2 = 0").select("sample", text.alias("value")).repartition("sample").write.partitionBy("sample").text(path)
-    roi = tables.with_full_roi(d.slides, tables.read_roi(d.spark, path + "/*/*"))
+    tables.folder_writer(spread_evenly(d.slides.where("x % 2 = 0").select("sample", text.alias("value")), "sample")).text(path)
+    roi = tables.with_full_roi(d.slides, tables.read_roi(d.spark, path))
     return roi.select("sample", F.col("roi")["0"]["location"].alias("location"), F.col("roi")["0"]["size"].alias("size"))
 
 
@@ -210,7 +212,9 @@ def _(d):
     path = scratch_path(d.spark, "run")
     tables.export_run(d.spark, {"target_mpp": 0.25, "grid_type": "hex"}, d.slides, path)
     params = d.spark.read.schema("target_mpp STRING, grid_type STRING").json(f"{path}/parameters")
-    return d.spark.read.schema("sample STRING, x INT").json(f"{path}/info").crossJoin(params)
+    with tables.folder_reader(d.spark) as reader:
+        info = reader.schema("sample STRING, x INT").json(f"{path}/info")
+    return info.crossJoin(params)
 
 
 @query("file_reads_by_class", sql("reads", f"""WITH {SPLIT_SQL} SELECT sample, mate, read_id, regexp_replace(seq, '[\\r\\n]+', ' ', 'g') AS seq,
