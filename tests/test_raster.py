@@ -147,3 +147,15 @@ def test_expand_labels_of_any_size(spark):
         broken = spark.createDataFrame([("s", 5, 5, wrong)], df.schema)
         with pytest.raises(Exception, match="no room"):
             raster.expand_labels(broken, 3, canvas).collect()
+
+
+def test_a_slide_stays_in_one_task_until_its_mask_is_closed(spark):
+    from tissueframe.operators import grid
+
+    slides = spark.createDataFrame([("a", 900, 700), ("b", 800, 900)], "sample string, x int, y int")
+    flagged = grid.make_grid(slides, "hex").withColumn("in_tissue", (F.col("array_col") % 3 != 1).cast("int"))
+    mask = raster.tissue_mask(flagged, grid.grid_info(slides, "hex"), chunk=90, kernel=4)
+    # The tiles are placed once; the old plan shuffled runs for their union and placed them again.
+    assert mask._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    assert "Generate explode(sequence(0, 15" not in mask._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["sample"] for r in mask.select("sample").distinct().collect()} == {"a", "b"}
