@@ -28,7 +28,7 @@ def kmers(
     s = F.col(seq)
     starts = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE)))
     explode = F.explode_outer if keep_short else F.explode
-    piece = spread(df, *keys).select(
+    piece = spread(df, *keys, seq).select(
         *keys, explode(F.transform(starts, lambda at: F.substr(s, at, F.lit(PIECE + k - 1)))).alias("_piece")
     ).withColumn("_back", revcomp(F.col("_piece")))
     size = F.length("_piece")
