@@ -84,3 +84,14 @@ def test_jumping_reads_equal_all_pairs(spark, size):
     )
     expected = sorted((r, f"g{j}") for r, own in pieces.items() for j, (s, e) in enumerate(spots) if any(a < e and s < b for a, b in own))
     assert sorted((r.read_id, r.hit_gene) for r in got.collect()) == expected
+
+
+def test_an_alignment_asks_each_bin_once(spark):
+    from tissueframe.operators import counts
+
+    reads = spark.createDataFrame([("r1", "h", "c", 10, "2M1D2M"), ("r2", "h", "c", 10, "2M3N3M"), ("r3", "h", "c", 10, "*")], "read_id string, species string, chrom string, pos long, cigar string")
+    genes = spark.createDataFrame([("h", "c", 8, 16, "exon", "G1"), ("h", "c", 12, 15, "intron", "G2"), ("h", "c", 12, 13, "exon", "G3")], "species string, chrom string, start long, end long, kind string, gene_id string")
+    found = counts.annotate_intervals(reads, genes, size=8)
+    assert "array_distinct" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.read_id, r.hit_gene) for r in found.collect())
+    assert got == [("r1", "G1"), ("r1", "G2"), ("r2", "G1"), ("r3", "G1")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tissueframe.operators.variants import aligned_segments
-from tissueframe.plans.intervals import interval_join
+from tissueframe.plans.intervals import spans_join
 from tissueframe.plans.spread import spread
 
 
@@ -52,8 +52,8 @@ def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int =
     ``intervals`` has ``species, chrom, start, end, kind, gene_id``, half open,
     and ``strand`` if strands are to agree (alignments need it too). A read whose
     alignment jumps (``N``) overlaps what its segments cover and not the gap;
-    ``junction`` marks it. An alignment meets an interval once: by the first of its
-    segments that covers it. Intervals up to ``size`` long share the first level of bins
+    ``junction`` marks it. An alignment meets an interval once, however many of its
+    segments cover it: it looks up each bin once for all of them. Intervals up to ``size`` long share the first level of bins
     (see :func:`interval_join`); the result does not depend on it.
     """
     named = intervals.withColumnRenamed("gene_id", "hit_gene")
@@ -63,20 +63,16 @@ def annotate_intervals(alignments: DataFrame, intervals: DataFrame, size: int =
         named = named if "strand" in by else named.drop("strand")
     start = F.col("pos").cast("long")
     mapped = F.col("cigar").isNotNull() & (F.col("cigar") != "*")
-    # The lambda names the parsed segments, and the generator keeps them from being parsed again.
+    # The generator keeps the segments from being parsed again for each of their uses.
     parts = F.transform(
-        F.filter(F.array(aligned_segments(F.when(mapped, F.col("cigar")).otherwise("1M"))), lambda p: F.size(p) > 0),
-        lambda p: F.transform(p, lambda s, i: F.struct(
-            s["r"].cast("long").alias("_lo"), (s["r"] + s["n"]).cast("long").alias("_hi"), F.when(i > 0, F.slice(p, F.lit(1), i)).alias("_before"),
-        )),
+        F.array(aligned_segments(F.when(mapped, F.col("cigar")).otherwise("1M"))),
+        lambda p: F.struct(F.transform(p, lambda s: F.struct(
+            (start + s["r"]).alias("lo"), (start + s["r"] + s["n"]).alias("hi"))).alias("_spans")),
     )
     junction = F.coalesce(F.col("cigar").contains("N"), F.lit(False))
     dealt = spread(alignments, *[c for c in ("sample", "read_id") if c in alignments.columns] or by)
-    placed = dealt.select(*[F.col(c) for c in alignments.columns], junction.alias("junction"), F.inline(F.flatten(parts)))
-    placed = placed.withColumns({"_lo": start + F.col("_lo"), "_hi": start + F.col("_hi")})
-    met = interval_join(placed, named, by, ("_lo", "_hi"), "start", "end", size)
-    earlier = F.exists("_before", lambda s: (start + s["r"] < F.col("end")) & (F.col("start") < start + s["r"] + s["n"]))
-    return met.where(F.when(F.col("_before").isNull(), F.lit(True)).otherwise(~earlier)).drop("_before", "_lo", "_hi")
+    placed = dealt.select(*[F.col(c) for c in alignments.columns], junction.alias("junction"), F.inline(parts))
+    return spans_join(placed, named, by, "_spans", "start", "end", size).drop("_spans")
 
 
 def splice_counts(annotated: DataFrame, barcodes: DataFrame | None = None) -> DataFrame:

@@ -43,22 +43,31 @@ def interval_join(
     skew splitting, which applies as the result is not assumed to keep the join's partitioning.
     """
     begin, end = span
+    one = spans.withColumn("_spans", F.array(F.struct(F.col(begin).alias("lo"), F.col(end).alias("hi"))))
+    return spans_join(one, ranges, by, "_spans", low, high, base).drop("_spans")
+
+
+def spans_join(
+    rows: DataFrame, ranges: DataFrame, by: Sequence[str], spans: str, low: str, high: str, base: int
+) -> DataFrame:
+    """As :func:`interval_join`, for rows with several spans ``array<struct<lo, hi>>``; a pair meets once for all of them."""
     length = F.col(high) - F.col(low)
     binned = ranges.where(length > 0).withColumn("_level", _level(length, base))
     levels = sorted(r["_level"] for r in binned.select("_level").distinct().collect())
     right = binned.withColumn("_bin", _bin(F.col(low), F.col("_level"), base))
 
-    def asked(n: int) -> Column:
-        first, last = F.col(begin) - _reach(F.lit(n), base) + 1, F.col(end) - 1
+    def asked(span: Column, n: int) -> Column:
+        first, last = span["lo"] - _reach(F.lit(n), base) + 1, span["hi"] - 1
         bins = F.sequence(_bin(first, F.lit(n), base), _bin(last, F.lit(n), base))
         return F.transform(bins, lambda b: F.struct(F.lit(n).alias("_level"), b.alias("_bin")))
 
-    probes = F.flatten(F.array(*map(asked, levels))) if levels else F.expr("cast(array() as array<struct<_level:int,_bin:bigint>>)")
-    left = spans.select(*[F.col(c) for c in spans.columns], F.inline(probes))
+    probes = F.flatten(F.transform(spans, lambda s: F.flatten(F.array(*[asked(s, n) for n in levels])))) if levels else None
+    empty = F.expr("cast(array() as array<struct<_level:int,_bin:bigint>>)")
+    left = rows.select(*[F.col(c) for c in rows.columns], F.inline(empty if probes is None else F.array_distinct(probes)))
     kept = [c for c in ranges.columns if c not in by]
     a, b = left.alias("a"), right.alias("b")
     match = (F.col("a._level") == F.col("b._level")) & (F.col("a._bin") == F.col("b._bin"))
     for key in by:
         match = match & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    match = match & (F.col(f"a.{begin}") < F.col(f"b.{high}")) & (F.col(f"b.{low}") < F.col(f"a.{end}"))
-    return a.join(b, match).select(*[F.col(f"a.{c}") for c in spans.columns], *[F.col(f"b.{c}") for c in kept])
+    match = match & F.exists(f"a.{spans}", lambda s: (s["lo"] < F.col(f"b.{high}")) & (F.col(f"b.{low}") < s["hi"]))
+    return a.join(b, match).select(*[F.col(f"a.{c}") for c in rows.columns], *[F.col(f"b.{c}") for c in kept])
