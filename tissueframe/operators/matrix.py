@@ -22,9 +22,9 @@ def merged_barcodes(merged: DataFrame) -> DataFrame:
 
 def dense_view(merged: DataFrame, genes: Sequence[str]) -> DataFrame:
     """Chosen genes as columns, absent counts as 0."""
-    return (
-        merged.groupBy("sample", "barcode").pivot("gene_id", list(genes)).agg(F.sum("count")).na.fill(0)
-    )
+    # One sum a gene: a pivot would first add up every gene of every barcode.
+    sums = [F.coalesce(F.sum(F.when(F.col("gene_id") == g, F.col("count"))), F.lit(0)).alias(g) for g in genes]
+    return merged.groupBy("sample", "barcode").agg(*sums)
 
 
 def union_genes(*dims: DataFrame) -> DataFrame:
