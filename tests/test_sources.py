@@ -44,6 +44,44 @@ def test_fastq_ranges_lose_nothing(spark, tmp_path, split):
     assert all(len(r.seq) == len(r.qual) and r.qual[0] == "@" for r in rows)
 
 
+def test_small_fastq_ranges_are_merged(spark, tmp_path, monkeypatch):
+    (tmp_path / "sample=s" / "mate=R2").mkdir(parents=True)
+    path = tmp_path / "sample=s" / "mate=R2" / "part-0.txt"
+    fastq(path, 3000)
+    size = path.stat().st_size
+    assert len(sequences._ranges([(str(path), size)], 64)) <= sequences.MOST_PARTS < size / 64
+    assert [(r.start, r.end) for r in sequences._ranges([("x", 1000)], 400)] == [(0, 400), (400, 800), (800, 1000)]
+    rows = sequences.read_fastq(spark, str(tmp_path), split_bytes=64, endings=(".txt",)).collect()
+    assert sorted(r.read_id for r in rows) == sorted(f"read{i}" for i in range(3000))
+    assert {(r.sample, r.mate) for r in rows} == {("s", 2)}
+    # A range reads what it holds and little more, not a megabyte.
+    read = []
+    system, local = sequences._filesystem(str(path))
+
+    class Seen:
+        def open_input_file(self, name):
+            self.file = system.open_input_file(name)
+            return self
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def seek(self, at):
+            self.file.seek(at)
+
+        def read(self, n):
+            chunk = self.file.read(n)
+            read.append(len(chunk))
+            return chunk
+
+    monkeypatch.setattr(sequences, "_filesystem", lambda _: (Seen(), local))
+    assert list(sequences._fastq_records(sequences.FileRange(str(path), 1000, 2000)))
+    assert sum(read) <= 1 << 14 < size
+
+
 def test_gzip_fastq(spark, tmp_path):
     fastq(tmp_path / "x_R1_001.fastq.gz", 50, gzip.open)
     assert sequences.read_fastq(spark, str(tmp_path)).where("mate = 1").count() == 50

@@ -12,6 +12,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tissueframe.functions.scalar import mate_of_path, sample_of_path, species_of_path
 
 SPLIT_BYTES = 64 << 20
+#: Partitions into which small ranges of files are cut at most; neighbours are read as one beyond it.
+MOST_PARTS = 1024
+#: Bytes that are read at once, and by a range no more than it holds, but for its last record.
+READ_BYTES = 1 << 20
 BATCH_ROWS = 10_000
 
 
@@ -44,8 +48,13 @@ def _files(path: str, endings: tuple[str, ...]) -> list:
 
 
 def _ranges(files: list, split: int) -> list[FileRange]:
-    """One range per compressed file, several per large plain file."""
+    """One range per compressed file, several per large plain file.
+
+    Ranges of ``split`` bytes grow up to :data:`SPLIT_BYTES` where there would be more than :data:`MOST_PARTS`.
+    """
     out = []
+    plain = sum(size for path, size in files if not path.endswith(".gz"))
+    split = max(split, min(SPLIT_BYTES, -(-plain // MOST_PARTS)))
     for path, size in files:
         if path.endswith(".gz") or size <= split:
             out.append(FileRange(path))
@@ -55,8 +64,8 @@ def _ranges(files: list, split: int) -> list[FileRange]:
     return out
 
 
-def _lines_from(path: str, start: int) -> Iterator[tuple[int, str]]:
-    """Lines with their byte offset, from the first whole line at or after ``start``."""
+def _lines_from(path: str, start: int, end: int | None = None) -> Iterator[tuple[int, str]]:
+    """Lines with their byte offset, from the first whole line at or after ``start``; beyond ``end`` little is read at once."""
     system, local = _filesystem(path)
     if path.endswith(".gz"):
         stream = system.open_input_stream(local, compression="gzip")
@@ -68,10 +77,12 @@ def _lines_from(path: str, start: int) -> Iterator[tuple[int, str]]:
     with stream:
         rest = b""
         skip = start > 0
+        left = READ_BYTES if end is None else end - start
         while True:
-            chunk = stream.read(1 << 20)
+            chunk = stream.read(max(1 << 14, min(READ_BYTES, left)))
             if not chunk:
                 break
+            left = READ_BYTES if end is None else left - len(chunk)
             parts = (rest + chunk).split(b"\n")
             rest = parts.pop()
             for line in parts:
@@ -127,7 +138,7 @@ def _fastq_records(part: FileRange) -> Iterator[tuple[str, str, str]]:
     """Four-line records of a range; a range inside a file finds its first record."""
     window: list[tuple[int, str]] = []
     synced = part.start == 0
-    for item in _lines_from(part.path, part.start):
+    for item in _lines_from(part.path, part.start, part.end):
         window.append(item)
         if len(window) < 4:
             continue

@@ -119,22 +119,11 @@ def _(d):
     path = scratch_path(d.spark, "fastq")
     kept = reads.split_reads(fastq_rows(d), named(d))
     record = F.concat_ws("\n", F.concat(F.lit("@"), F.col("read_id")), "seq", F.lit("+"), "qual")
-    # Plain files are cut into ranges by the reader.
-    for species in ("mouse", "human"):
-        for mate in (1, 2):
-            part = kept.where((F.col("species") == species) & (F.col("mate") == mate)).select(record.alias("value"))
-            part.write.mode("overwrite").option("compression", "none").text(f"{path}/{species}/sample=x/mate=R{mate}")
-    return _read_fastq_parts(d, path)
-
-
-def _read_fastq_parts(d, path):
-    found = None
-    for species in ("mouse", "human"):
-        for mate in (1, 2):
-            part = sequences.read_fastq(d.spark, f"{path}/{species}/sample=x/mate=R{mate}", split_bytes=1 << 16, endings=(".txt",))
-            part = part.select(F.lit(mate).alias("mate"), "read_id", "seq", "qual", F.lit(species).alias("species"))
-            found = part if found is None else found.unionByName(part)
-    return found
+    # Written once, in a folder for each species and mate; plain files are cut into ranges by the reader.
+    parts = kept.where(F.col("mate").isin(1, 2)).select(F.col("species").alias("sample"), F.concat(F.lit("R"), "mate").alias("mate"), record.alias("value"))
+    parts.write.partitionBy("sample", "mate").option("compression", "none").text(path)
+    found = sequences.read_fastq(d.spark, path, split_bytes=1 << 16, endings=(".txt",))
+    return found.select("mate", "read_id", "seq", "qual", F.col("sample").alias("species"))
 
 
 @query("file_fasta", sql("genomes", """SELECT name, length(seq) AS length,
