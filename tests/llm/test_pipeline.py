@@ -49,6 +49,19 @@ def test_stages(spark, tmp_path):
     assert sorted(map(repr, expected)) == sorted(map(repr, whole))
 
 
+def test_texts_go_to_python_in_small_batches(spark, tmp_path):
+    write(spark, tmp_path)
+    docs, name = spark.read.parquet(f"{tmp_path}/documents.parquet"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("50", 50)):
+            spark.conf.set(name, given)
+            corpus_pipeline.pack_tokens(spark, docs, str(tmp_path))
+            assert int(spark.conf.get(name)) == kept
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_registered():
     named = contract.queries()
     assert set(queries.QUERIES) <= set(named) and named["pipeline"] is corpus_pipeline.run
