@@ -242,3 +242,42 @@ def test_many_folders_are_written_by_several_tasks(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
     tables.export_run(spark, {"a": 1}, info, str(tmp_path / "run"))
     assert len({f.name.split("-")[1] for f in (tmp_path / "run" / "info").rglob("part-*.txt")}) > 1
+
+
+def test_dimensions_of_a_matrix_are_several_parts(spark, tmp_path):
+    """A large dimension table is neither written by one task nor read as one row; its lines are numbered over all parts."""
+    rows = [(s, f"b{i % 37:02}", f"g{i:04}", 1 + i % 5) for s in ("s", "t") for i in range(900)]
+    counts = spark.createDataFrame(rows, "sample string, barcode string, gene_id string, count int")
+    root = str(tmp_path / "out")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mtx.write_mtx(counts, root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = sorted((tmp_path / "out" / "features.tsv.gz" / "sample=s" / "species=none").glob("part-*.gz"))
+    assert len(parts) > 1
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in parts).decode().splitlines()
+    assert [line.split("\t")[0] for line in text] == [f"g{i:04}" for i in range(900)]
+    genes = mtx.read_mtx_genes(spark, root, written=True)
+    assert sorted((r.sample, r.ordinal, r.gene_id) for r in genes.collect()) == [(s, i + 1, f"g{i:04}") for s in ("s", "t") for i in range(900)]
+    assert "wholetext" not in genes._jdf.queryExecution().toString() and "Generate" not in genes._jdf.queryExecution().toString()
+    found = mtx.read_mtx(spark, root, written=True)
+    assert sorted((r.sample, r.barcode, r.gene_id, r["count"]) for r in found.collect()) == sorted(rows)
+
+
+def test_lines_of_plain_dimension_files_are_numbered_over_blocks(spark, tmp_path):
+    for sample, ending in (("s1", "\n"), ("s2", "\r\n")):
+        (tmp_path / sample).mkdir()
+        (tmp_path / sample / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n300 1 1\n300 1 5\n")
+        (tmp_path / sample / "features.tsv").write_bytes("".join(f"G{i}\tn{i}{ending}" if i != 4 else ending for i in range(1, 301)).encode())
+        (tmp_path / sample / "barcodes.tsv").write_bytes(f"B1{ending}".encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        genes = mtx.read_mtx_genes(spark, str(tmp_path)).collect()
+        found = mtx.read_mtx(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.sample, r.ordinal, r.gene_id) for r in genes) == [(s, i, f"G{i}") for s in ("s1", "s2") for i in range(1, 301) if i != 4]
+    assert sorted((r.sample, r.barcode, r.gene_id, r["count"]) for r in found) == [(s, "B1", "G300", 5) for s in ("s1", "s2")]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tissueframe.operators import grid, reads
 from tissueframe.operators.features import blocks_to_pixels, pixels_to_blocks
-from tissueframe.plans.lineage import scratch_path
+from tissueframe.plans.lineage import scratch_path, store
 from tissueframe.plans.spread import spread_evenly
 from tissueframe.sources import images, mtx, sequences, tables
 from workload.imaging import HEX, HEX_SQL, hex_info, rounded, shapes
@@ -93,12 +93,13 @@ def _(d):
 def _(d):
     path = scratch_path(d.spark, "mtx")
     key = ["sample", "species"]
-    own = d.matrix.select(*key, "gene_id").distinct()
+    counts = store(d.matrix, "matrix")
+    own = counts.select(*key, "gene_id").distinct()
     genes = own.select(*key, "gene_id", F.concat(F.lit("part "), "gene_id").alias("gene_name"), F.lit("Gene Expression").alias("gene_type"))
     spare = own.select(*key, F.concat(F.lit("none-"), "gene_id").alias("gene_id"), F.lit("spare").alias("gene_name"), F.lit("Antibody").alias("gene_type"))
-    empty = d.matrix.select(*key, F.concat(F.lit("empty-"), "barcode").alias("barcode")).distinct()
-    mtx.write_mtx(d.matrix, path, genes.unionByName(spare), empty)
-    found = mtx.read_mtx(d.spark, path, written=True)
+    empty = counts.select(*key, F.concat(F.lit("empty-"), "barcode").alias("barcode")).distinct()
+    mtx.write_mtx(counts, path, genes.unionByName(spare), empty)
+    found = store(mtx.read_mtx(d.spark, path, written=True), "mtx-read")
     kinds = mtx.read_mtx_genes(d.spark, path, written=True).drop("ordinal")
     full = found.drop("gene_name").join(kinds, [*key, "gene_id"], "full").withColumn("count", F.coalesce("count", F.lit(0)))
     listed = mtx.read_mtx_barcodes(d.spark, path, written=True).select(*key, "barcode")
