@@ -75,7 +75,7 @@ def match_reads(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | No
     keys = keys or ["sample", "read_id"]
     hits = match_pieces(reads, index, keys, k, alphabet)
     names = [n for n in hits.columns if n not in keys]
-    zeros = reads.select(*keys, *[F.lit(0).cast("long").alias(n) for n in names]).distinct()
+    zeros = reads.select(*keys, *[F.lit(0).cast("long").alias(n) for n in names])
     return hits.unionByName(zeros).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
