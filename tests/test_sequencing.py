@@ -103,3 +103,22 @@ def test_merged_matrix_keeps_species_apart(spark):
     assert merged.count() == 2 and matrix.merged_barcodes(merged).count() == 2
     dense = {r.barcode: (r.g, r.z) for r in matrix.dense_view(merged, ["g", "z"]).collect()}
     assert dense == {"b1": (2, 0), "b2": (3, 0)}
+
+
+def test_pileup_takes_as_many_tasks_as_its_bases_need(spark, monkeypatch):
+    """The counts that a task holds stay bounded however many alignments there are; deep positions are counted before they meet."""
+    rows = [("s", "human", f"r{i}", "c" if i % 3 else f"c{i % 40}", 1 + i % 3 * 1022, 60, "2M1D3M" if i % 2 else "5M", "ACgTA", "IIIII") for i in range(3000)]
+    rows += [("s", "human", "null", "c", 5, 60, "5M", None, None), (None, None, "none", None, 5, 60, "2M", "AC", "II"), (None, None, "none", None, 5, 60, "2M", "AC", "II")]
+    schema = "sample string, species string, read_id string, chrom string, pos long, mapq int, cigar string, seq string, qual string"
+    df = spark.createDataFrame(rows, schema)
+    want = {}
+    for sample, species, _, chrom, pos, _, cigar, seq, _ in rows:
+        steps = {"5M": [0, 1, 2, 3, 4], "2M1D3M": [0, 1, 3, 4, 5], "2M": [0, 1]}[cigar]
+        for q, r in enumerate(steps):
+            key = (sample, species, chrom, pos + r, seq and seq[q].upper())
+            want[key] = want.get(key, 0) + 1
+    for share in (variants.SHARE, 1000):
+        monkeypatch.setattr(variants, "SHARE", share)
+        piles = variants.pileup(df)
+        assert {(r.sample, r.species, r.chrom, r.pos, r.base): r.n for r in piles.collect()} == want
+    assert variants.locus_share(piles).rdd.getNumPartitions() == 16  # 15,004 bases, 1,000 a task; the window needs no shuffle

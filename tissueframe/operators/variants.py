@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tissueframe.functions.sequence import capital
-from tissueframe.plans.spread import spread
+from tissueframe.plans.skew import SALTS
+from tissueframe.plans.spread import tasks_for
+
+# Bases that a task of the pileup counts at a time, and positions whose alignments are dealt together.
+SHARE = 1 << 20
+REGION = 1024
 
 # CIGAR letters by what they advance.
 ALIGNED = ("M", "=", "X")
@@ -45,25 +50,31 @@ def pileup(alignments: DataFrame, min_mapq: int = 50, min_bq: int = 0) -> DataFr
     """Reads per base at each position: ``sample, species, chrom, pos, base, n``.
 
     Reads below the mapping quality and bases below the base quality are left
-    out. Bases are counted per task before the shuffle, so deep positions do not
-    gather in one place.
+    out. Alignments are dealt by region and salt over as many tasks as their
+    bases need, and each task counts its bases before they are shuffled by
+    position: deep positions do not gather in one place, and the counts that a
+    task holds do not grow with the input.
     """
-    good = spread(alignments, "sample", "species", "read_id").where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
-    segments = good.select("sample", "species", "chrom", "pos", "seq", "qual", F.explode(aligned_segments(F.col("cigar"))).alias("_s"))
+    good = alignments.where((F.col("mapq") >= min_mapq) & F.col("cigar").isNotNull() & (F.col("cigar") != "*"))
+    parts = tasks_for(good, F.length("seq"), SHARE)
+    place = ["sample", "species", "chrom"]
+    deal = F.xxhash64(*place, F.floor(F.col("pos") / REGION), F.pmod(F.xxhash64("read_id"), F.lit(SALTS)))
+    good = good.select(*place, "pos", "cigar", "seq", "qual", deal.alias("_deal")).repartition(parts, "_deal")
+    segments = good.select(*place, "_deal", "pos", "seq", "qual", F.explode(aligned_segments(F.col("cigar"))).alias("_s"))
     bases = segments.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_s.n") - 1)))
     at = F.col("_s.q") + F.col("_i") + 1
     quality = F.ascii(F.substr(F.col("qual"), at, F.lit(1))) - 33
     bases = bases.select(
-        "sample",
-        "species",
-        "chrom",
+        *place,
+        "_deal",
         (F.col("pos") + F.col("_s.r") + F.col("_i")).alias("pos"),
         capital(F.substr(F.col("seq"), at, F.lit(1))).alias("base"),
         quality.alias("_q"),
     )
     if min_bq > 0:
         bases = bases.where(F.col("_q") >= min_bq)
-    return bases.groupBy("sample", "species", "chrom", "pos", "base").agg(F.count("*").alias("n"))
+    counted = bases.groupBy("_deal", *place, "pos", "base").agg(F.count("*").alias("n")).drop("_deal")
+    return counted.repartition(parts, *place, "pos").groupBy(*place, "pos", "base").agg(F.sum("n").alias("n"))
 
 
 def pileup_with_ref(piles: DataFrame, contigs: DataFrame, size: int) -> DataFrame:
